@@ -101,23 +101,35 @@ def piece_words(docs: DataFrame, size: int, key: str = "doc_id", text: str = "te
 
 
 def piece_themes(docs: DataFrame, size: int = 1000, n: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The ``n`` words of each piece with the highest TF-IDF: ``<key>, piece, word, score``."""
+    """The ``n`` words of each piece with the highest TF-IDF: ``<key>, piece, word, score``.
+
+    Scores are decimals of 6 places: equal ones tie, so that the word decides, and sums of them
+    do not depend on the order.
+    """
     n_docs = docs.agg(F.count("*")).scalar()
     df = document_frequencies(docs, text)
     idf = F.log((n_docs + 1) / (F.col("df") + 1))
     scored = heavy_join(piece_words(docs, size, key, text), df, "word", "df").select(
-        key, "piece", "word", (F.col("tf") * idf).alias("score")
+        key, "piece", "word", (F.col("tf") * idf).cast("decimal(18,6)").alias("score")
     )
     rank = F.row_number().over(Window.partitionBy(key, "piece").orderBy(F.desc("score"), F.asc("word")))
     return scored.select("*", rank.alias("__r")).where(F.col("__r") <= n).drop("__r")
 
 
+def primary_topics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The word of each document with the highest TF-IDF."""
+    whole = piece_themes(docs, size=1_000_000_000, n=1, key=key, text=text)
+    return whole.select(key, F.col("word").alias("primary_topic"))
+
+
 def theme_summary(themes: DataFrame, n: int = 10, key: str = "doc_id") -> DataFrame:
     """Merge the themes of a document's pieces: scores add up, the ``n`` best remain.
 
     A sum combines in any grouping, so there is no size at which pieces need an extra merge round.
     """
-    merged = themes.groupBy(key, "word").agg(F.sum("score").alias("score"), F.count("*").alias("n_pieces"))
+    merged = themes.groupBy(key, "word").agg(
+        F.sum("score").alias("score"), F.count("*").alias("n_pieces")
+    )
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), F.asc("word")))
     return merged.select("*", rank.alias("rank")).where(F.col("rank") <= n)
 

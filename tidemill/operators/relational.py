@@ -82,7 +82,7 @@ def accuracy_by_class(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 def confusion_matrix(df: DataFrame, actual: str, predicted: str, classes: Sequence) -> DataFrame:
     """One row per actual class, one column per class of ``classes``, absent pairs 0."""
-    counts = df.groupBy(actual).pivot(predicted, list(classes)).agg(F.count("*"))
+    counts = df.groupBy(actual).pivot(predicted, list(classes)).agg(F.count(F.lit(1)))
     return counts.select(
         actual, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(f"predicted_{c}") for c in classes]
     )

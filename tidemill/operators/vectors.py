@@ -83,6 +83,9 @@ def nearest(
     """
     if not 1 <= k <= MAX_RESULTS:
         raise ValueError(f"k must be 1 to {MAX_RESULTS}")
+    if not queries:
+        empty = corpus.sparkSession.createDataFrame([], f"query_id long, {key} long, score double")
+        return _rank(empty, k, key)
     ids = np.array([q for q, _ in queries], dtype=np.int64)
     matrix = np.array([v for _, v in queries], dtype=np.float64)
     length = np.linalg.norm(matrix, axis=1, keepdims=True)
@@ -178,13 +181,16 @@ def nearest_approximate(
     batch = spark.createDataFrame(
         [(q, [float(x) for x in v]) for q, v in query_batch(queries)], "query_id long, vector array<double>"
     )
-    asked = _hashed(model, batch, "query_id", "vector")
-    asked = asked.select("query_id", "vector", F.posexplode("buckets").alias("table", "bucket"))
-    stored = _hashed(model, corpus, key, vector).select(key, vector, "buckets", F.posexplode("buckets").alias("table", "bucket"))
+    asked = _hashed(model, batch, "query_id", "vector").withColumnRenamed("buckets", "__asked")
+    asked = asked.select("*", F.posexplode("__asked").alias("table", "bucket"))
+    stored = _hashed(model, corpus, key, vector).select("*", F.posexplode("buckets").alias("table", "bucket"))
     found = stored.join(F.broadcast(asked), ["table", "bucket"])
-    # A row meets a query once per shared table: keep the first, decided within the row.
-    hits = found.select("query_id", key, F.round(dot(F.col("vector"), F.col(vector)), 6).alias("score"))
-    return _rank(hits.distinct(), k, key)
+    # A row meets a query in every table they share: only the first meeting counts.
+    shared = F.zip_with("buckets", "__asked", lambda a, b: a == b)
+    hits = found.where(F.array_position(shared, True) - 1 == F.col("table")).select(
+        "query_id", key, F.round(dot(F.col("vector"), F.col(vector)), 6).alias("score")
+    )
+    return _rank(hits, k, key)
 
 
 def pair_similarity(pairs: DataFrame, vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:

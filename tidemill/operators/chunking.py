@@ -1,8 +1,8 @@
 """Splitting, packing, summarising and tagging of documents.
 
-Steps on one document are column expressions on its row. Steps across documents (how many
-documents use a word) are sums per word, joined back without shuffling the frequent words. The
-summaries and tags are word statistics, not the output of a language model.
+Steps on one document are column expressions on its row. The only step across documents, how many
+use a word, is a sum over a fixed number of hash buckets. The summaries and tags are word
+statistics, not the output of a language model.
 """
 
 from __future__ import annotations
@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.functions.text import tokens, words
-from tidemill.operators.skew import heavy_join
+from tidemill.functions.text import TOKEN, tokens, words
 
 # Frequent function words of five languages.
 STOP_WORDS = {
@@ -35,25 +34,32 @@ def split_tokens(docs: DataFrame, size: int = 1000, overlap: int = 0, key: str =
     """
     if not 0 <= overlap < size:
         raise ValueError("need 0 <= overlap < size")
-    step = size - overlap
-    n = F.size("__t")
-    starts = F.sequence(F.lit(0), F.greatest(n - 1 - overlap, F.lit(0)), F.lit(step))
+    step, together = size - overlap, 32
+    n_pieces = F.greatest(F.ceil((F.size("__t") - overlap) / F.lit(step)), F.lit(1)).cast("int")
+    # A generator copies its row's columns to each row it makes. Cutting blocks of 32 pieces first,
+    # then pieces from a block, keeps these copies small beside the text.
+    at = F.col("__i") * step
     return (
         docs.select(key, tokens(F.col(text)).alias("__t"))
         .where(F.size("__t") > 0)
-        .select(key, "__t", F.posexplode(starts).alias("piece", "__at"))
-        .select(key, "piece", F.slice("__t", F.col("__at") + 1, F.lit(size)).alias("__p"))
+        .select(key, "__t", n_pieces.alias("__n"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.col("__n") - 1, F.lit(together))).alias("__first"))
+        .select(
+            key, "__first", F.least(F.lit(together), F.col("__n") - F.col("__first")).alias("__n"),
+            F.slice("__t", F.col("__first") * step + 1, F.lit(together * step + overlap)).alias("__b"),
+        )
+        .select("*", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("__i"))
+        .select(key, (F.col("__first") + F.col("__i")).alias("piece"), F.slice("__b", at + 1, F.lit(size)).alias("__p"))
         .select(key, "piece", F.size("__p").alias("n_tokens"), F.array_join("__p", " ").alias("text"))
     )
 
 
 def piece_sizes(text: Column, size: int) -> Column:
     """Token counts of a text's pieces, from its token count alone."""
-    n = F.regexp_count(text, F.lit(r"\S+"))
-    return F.transform(
-        F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(size)),
-        lambda at: F.least(n - at, F.lit(size)),
-    )
+    n = F.regexp_count(text, F.lit(TOKEN))
+    full = F.floor(n / F.lit(size)).cast("int")
+    rest = F.filter(F.array(n - full * size), lambda r: r > 0)
+    return F.concat(F.array_repeat(F.lit(size), full), rest)
 
 
 def pack(sizes: Column, budget: int) -> Column:
@@ -82,12 +88,26 @@ def stuff(text: Column, separator: str = " ") -> Column:
     return F.array_join(tokens(text), separator)
 
 
-def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``word, df``: documents using each word. Counted map-side first, so a word that every
-    document uses costs one row per task."""
-    return docs.select(F.explode(F.array_distinct(words(F.col(text)))).alias("word")).groupBy("word").agg(
-        F.count("*").alias("df")
-    )
+BUCKETS = 1 << 20
+
+
+def word_bucket(word: Column) -> Column:
+    """Hash of a word in 0 … 2**20 - 1: the first five hex digits of its md5.
+
+    Never null, else a join on it would hash every word a second time to filter nulls.
+    """
+    return F.coalesce(F.conv(F.substring(F.md5(word), 1, 5), 16, 10).cast("int"), F.lit(0))
+
+
+def word_weights(docs: DataFrame, n_docs: Column, text: str = "text") -> DataFrame:
+    """``bucket, idf`` with idf = ln((n_docs + 1) / (uses + 1)), at most 2**20 rows.
+
+    Uses are counted per hash bucket, map-side first, so neither the vocabulary nor a word that
+    every document uses makes the result or the shuffle grow.
+    """
+    uses = docs.select(F.explode(F.array_distinct(words(F.col(text)))).alias("word"))
+    per_bucket = uses.groupBy(word_bucket(F.col("word")).alias("bucket")).agg(F.count("*").alias("uses"))
+    return per_bucket.select("bucket", F.log((n_docs + 1) / (F.col("uses") + 1)).alias("idf"))
 
 
 def piece_words(docs: DataFrame, size: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -105,12 +125,15 @@ def piece_themes(docs: DataFrame, size: int = 1000, n: int = 5, key: str = "doc_
 
     Scores are decimals of 6 places: equal ones tie, so that the word decides, and sums of them
     do not depend on the order.
+
+    Texts are shuffled once, by document; counting, weighting (a broadcast of at most 2**20 rows)
+    and ranking then stay where the document is.
     """
-    n_docs = docs.agg(F.count("*")).scalar()
-    df = document_frequencies(docs, text)
-    idf = F.log((n_docs + 1) / (F.col("df") + 1))
-    scored = heavy_join(piece_words(docs, size, key, text), df, "word", "df").select(
-        key, "piece", "word", (F.col("tf") * idf).cast("decimal(18,6)").alias("score")
+    by_doc = docs.select(key, text).repartition(key)
+    weights = F.broadcast(word_weights(by_doc, docs.agg(F.count("*")).scalar(), text))
+    counted = piece_words(by_doc, size, key, text).withColumn("bucket", word_bucket(F.col("word")))
+    scored = counted.join(weights, "bucket").select(
+        key, "piece", "word", (F.col("tf") * F.col("idf")).cast("decimal(18,6)").alias("score")
     )
     rank = F.row_number().over(Window.partitionBy(key, "piece").orderBy(F.desc("score"), F.asc("word")))
     return scored.select("*", rank.alias("__r")).where(F.col("__r") <= n).drop("__r")
@@ -137,7 +160,7 @@ def theme_summary(themes: DataFrame, n: int = 10, key: str = "doc_id") -> DataFr
 def refine_summary(themes: DataFrame, key: str = "doc_id") -> DataFrame:
     """The summary after each piece, in order: a piece adds its themes unless already there."""
     per_piece = themes.groupBy(key, "piece").agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "word"))).alias("__t")
+        F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "word"))).alias("__t")
     )
     frame = Window.partitionBy(key).orderBy("piece").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     so_far = F.flatten(F.collect_list(F.transform("__t", lambda t: t["word"])).over(frame))
@@ -149,23 +172,16 @@ def _share(ws: Column, vocabulary: str) -> Column:
     return F.size(F.filter(ws, lambda w: w.isin(known)))
 
 
-def language_scores(text: Column) -> Column:
-    """Stop words found per language, as ``array<struct<score, language>>`` in name order."""
-    ws = words(text)
-    return F.array(
-        *[F.struct(_share(ws, STOP_WORDS[name]).alias("score"), F.lit(name).alias("language"))
-          for name in sorted(STOP_WORDS)]
-    )
-
-
-def detect_language(text: Column) -> Column:
-    """The language with the most stop words in the whole text; the first by name on a tie."""
-    best = F.aggregate(
-        language_scores(text),
-        F.struct(F.lit(-1).alias("score"), F.lit("").alias("language")),
-        lambda a, b: F.when(b["score"] > a["score"], b).otherwise(a),
-    )
-    return best["language"]
+def with_language(docs: DataFrame, text: str = "text", out: str = "language") -> DataFrame:
+    """Add the language with the most stop words in the whole text; the first by name on a tie."""
+    every = sorted({w for listed in STOP_WORDS.values() for w in listed.split()})
+    # A column of its own, so that texts are split once and not once per language.
+    found = docs.select("*", F.filter(words(F.col(text)), lambda w: w.isin(every)).alias("__s"))
+    scores = [
+        F.struct(_share(F.col("__s"), STOP_WORDS[name]).alias("score"), F.lit(-i).alias("order"), F.lit(name).alias("name"))
+        for i, name in enumerate(sorted(STOP_WORDS))
+    ]
+    return found.withColumn(out, F.array_max(F.array(*scores))["name"]).drop("__s")
 
 
 def tag_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

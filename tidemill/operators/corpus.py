@@ -117,36 +117,37 @@ def quota_violations(
     quota = {**QUOTAS, **(quotas or {})}
     found = []
 
-    def check(rule: str, df: DataFrame, key: Column, observed: Column) -> None:
-        found.append(
-            df.select(
-                F.lit(rule).alias("rule"), key.cast("string").alias("key"), observed.cast("long").alias("observed")
-            ).where(F.col("observed") > quota[rule]).withColumn("quota", F.lit(quota[rule]).cast("long"))
-        )
-
-    def check_metadata(df: DataFrame) -> None:
+    def check(df: DataFrame, key: Column, **observed: Column) -> None:
+        """All rules on the rows of ``df`` in one pass."""
+        results = [
+            F.struct(F.lit(rule).alias("rule"), key.cast("string").alias("key"),
+                     value.cast("long").alias("observed"), F.lit(quota[rule]).cast("long").alias("quota"))
+            for rule, value in observed.items()
+        ]
+        found.append(df.select(F.inline(F.array(*results))).where(F.col("observed") > F.col("quota")))
+
+    def metadata_rules(df: DataFrame) -> dict[str, Column]:
         if "custom_metadata" not in df.columns:
-            return
-        check("metadata_keys", df, F.col("name"), F.size("custom_metadata"))
-        longest = F.array_max(
-            F.transform(F.map_values("custom_metadata"), lambda m: F.coalesce(F.size(m["string_list_value"]), F.lit(0)))
+            return {}
+        lists = F.transform(
+            F.map_values("custom_metadata"), lambda m: F.coalesce(F.size(m["string_list_value"]), F.lit(0))
         )
-        check("list_values", df, F.col("name"), longest)
+        return {"metadata_keys": F.size("custom_metadata"), "list_values": F.array_max(lists)}
+
+    def children(df: DataFrame) -> DataFrame:
+        return df.groupBy("corpus").agg(F.count("*").alias("n"))
 
-    last = F.substring_index("name", "/", -1)
+    name, last = F.col("name"), F.substring_index("name", "/", -1)
     if corpora is not None:
-        check("corpora", corpora.agg(F.count("*").alias("n")), F.lit("all"), F.col("n"))
-        check("name_chars", corpora, F.col("name"), F.length(last))
-        check("corpus_display_chars", corpora, F.col("name"), F.length("display_name"))
+        check(corpora.agg(F.count("*").alias("n")), F.lit("all"), corpora=F.col("n"))
+        check(corpora, name, name_chars=F.length(last), corpus_display_chars=F.length("display_name"))
     if documents is not None:
-        check("documents_per_corpus", documents.groupBy("corpus").agg(F.count("*").alias("n")), F.col("corpus"), F.col("n"))
-        check("name_chars", documents, F.col("name"), F.length(last))
-        check("document_display_chars", documents, F.col("name"), F.length("display_name"))
-        check_metadata(documents)
+        check(children(documents), F.col("corpus"), documents_per_corpus=F.col("n"))
+        check(documents, name, name_chars=F.length(last), document_display_chars=F.length("display_name"),
+              **metadata_rules(documents))
     if chunks is not None:
-        check("chunks_per_corpus", chunks.groupBy("corpus").agg(F.count("*").alias("n")), F.col("corpus"), F.col("n"))
-        check("tokens_per_chunk", chunks, F.col("name"), token_count(F.col("text")))
-        check_metadata(chunks)
+        check(children(chunks), F.col("corpus"), chunks_per_corpus=F.col("n"))
+        check(chunks, name, tokens_per_chunk=token_count(F.col("text")), **metadata_rules(chunks))
     return reduce(DataFrame.unionByName, found)
 
 

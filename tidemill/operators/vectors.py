@@ -142,12 +142,10 @@ def build_index(df: DataFrame, key: str, vector: str, dim: int, *payload: str) -
     checked = F.when(F.size(vector) == dim, F.col(vector)).otherwise(
         F.raise_error(F.format_string(f"vector %s has not {dim} elements", F.col(key)))
     )
-    length = norm(F.col("__v"))
-    return (
-        df.select(key, *payload, checked.alias("__v"))
-        .where(length > 0)
-        .select(key, *payload, F.transform("__v", lambda x: x.cast("double") / length).alias(vector))
-    )
+    # The length is an array beside the vector: inside the lambda it would be summed per element.
+    sized = df.select(key, *payload, checked.alias("__v")).withColumn("__n", norm(F.col("__v")))
+    unit = F.zip_with("__v", F.array_repeat("__n", F.size("__v")), lambda x, n: x.cast("double") / n)
+    return sized.where(F.col("__n") > 0).select(key, *payload, unit.alias(vector))
 
 
 def lsh_model(df: DataFrame, vector: str, tables: int = 8, bucket: float = 0.5, seed: int = 0) -> BucketedRandomProjectionLSHModel:

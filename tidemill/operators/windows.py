@@ -69,7 +69,7 @@ def transcript_pages(messages: DataFrame, page: int = PAGE) -> DataFrame:
     The pages of a conversation, in order, joined by a newline, are its transcript.
     """
     line = F.concat(speaker(), F.lit(": "), F.col("text")).alias("line")
-    lines = F.array_sort(F.collect_list(F.struct("turn", line)))
+    lines = F.sort_array(F.collect_list(F.struct("turn", line)))
     return messages.groupBy("conv_id", page_of("turn", page).alias("page")).agg(
         F.count("*").alias("n_messages"),
         F.array_join(F.transform(lines, lambda m: m["line"]), "\n").alias("transcript"),
@@ -78,7 +78,7 @@ def transcript_pages(messages: DataFrame, page: int = PAGE) -> DataFrame:
 
 def history_json(messages: DataFrame, page: int = PAGE) -> DataFrame:
     """Messages as a JSON array of ``{role, content}``, one row per page of a conversation."""
-    items = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
+    items = F.sort_array(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
     plain = F.transform(items, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
     return messages.groupBy("conv_id", page_of("turn", page).alias("page")).agg(
         F.to_json(plain).alias("messages")

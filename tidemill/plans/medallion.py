@@ -22,11 +22,9 @@ def nest_books(orders: DataFrame, items: DataFrame, packet: int = PACKET) -> Dat
     ``orders`` and ``items`` share ``order_id``; items are sorted by their columns, left to right.
     """
     books = items.select("order_id", F.struct(*[c for c in items.columns if c != "order_id"]).alias("book"))
-    oversize = (
-        books.groupBy("order_id")
-        .agg(F.count("*").alias("__n"), F.min("book").alias("__first"))
-        .where(F.col("__n") > packet)
-    )
+    # Counting needs one column; the first book is looked up for oversize orders alone.
+    oversize = items.groupBy("order_id").agg(F.count("*").alias("__n")).where(F.col("__n") > packet)
+    firsts = books.join(oversize, "order_id").groupBy("order_id", "__n").agg(F.min("book").alias("__first"))
     packets = F.ceil(F.col("__n") / F.lit(packet)).cast("long")
     number = (
         F.when(F.col("__n").isNull() | (F.col("book") == F.col("__first")), F.lit(0))
@@ -34,10 +32,10 @@ def nest_books(orders: DataFrame, items: DataFrame, packet: int = PACKET) -> Dat
         .cast("long")
     )
     nested = (
-        books.join(oversize, "order_id", "left")
+        books.join(firsts, "order_id", "left")
         .select("order_id", "book", number.alias("packet"))
         .groupBy("order_id", "packet")
-        .agg(F.array_sort(F.collect_list("book")).alias("books"))
+        .agg(F.sort_array(F.collect_list("book")).alias("books"))
     )
     return orders.join(nested, "order_id", "left").select(
         *orders.columns,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import chunking, corpus
 from tidemill.plans.registry import Tables, query
+from tidemill.sources.files import spread
 
 PIECE = 200
 
@@ -27,7 +28,8 @@ def corpora(t: Tables) -> DataFrame:
 def documents(t: Tables) -> DataFrame:
     title = F.concat(F.lit("doc "), F.col("doc_id").cast("string"))
     parent = corpus.resource_name("corpora", F.col("source"))
-    return t.documents.select(
+    docs = spread(t.documents.select("doc_id", "source", "lang", "n_chars", "text"), "doc_id")
+    return docs.select(
         "doc_id",
         corpus.resource_name("documents", title, F.col("text"), parent=parent).alias("name"),
         parent.alias("corpus"),
@@ -67,7 +69,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("html_passages")
 def _(t: Tables) -> DataFrame:
-    passages = corpus.page_passages(t.pages, max_words=200, merge=True)
+    passages = corpus.page_passages(spread(t.pages.select("page_id", "html"), "page_id"), max_words=200, merge=True)
     tagged = corpus.with_chunk_metadata(
         passages, F.array(F.lit("page"), F.lit("crawl")), "greedily_aggregate_sibling_nodes", F.lit(20240101)
     )
@@ -81,7 +83,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("html_passages_flat")
 def _(t: Tables) -> DataFrame:
-    return corpus.page_passages(t.pages, max_words=100, merge=False)
+    return corpus.page_passages(spread(t.pages.select("page_id", "html"), "page_id"), max_words=100, merge=False)
 
 
 @query("build_corpus", f"WITH {NAMES_SQL} SELECT doc_id, corpus, corpus || '/' || doc AS name FROM named")
@@ -128,8 +130,9 @@ def _(t: Tables) -> DataFrame:
         SELECT rule, key, observed, CAST(quota AS BIGINT) AS quota FROM found WHERE observed > quota""",
 )
 def _(t: Tables) -> DataFrame:
-    whole = chunks(t, size=1_000_000_000)  # each document as one chunk
-    return corpus.quota_violations(corpora(t), documents(t), whole)
+    docs = documents(t)
+    whole = docs.select(F.concat("name", F.lit("/chunks/0")).alias("name"), "corpus", "text")
+    return corpus.quota_violations(corpora(t), docs, whole)
 
 
 @query(

@@ -12,7 +12,7 @@ from tidemill.functions.vector_math import epoch_text
 from tidemill.operators import chunking, learning, relational as rel, windows
 from tidemill.plans.registry import Tables, as_double, query
 from tidemill.schemas import REPLY_WITH_PARTS
-from tidemill.sources.files import rescue_json
+from tidemill.sources.files import rescue_json, spread
 
 EMAIL_SQL = r"regexp_replace(text, '[\w\.-]+@[\w\.-]+', '', 'g')"
 CLEAN_SQL = rf"replace(replace(regexp_replace({EMAIL_SQL}, '\([^()]*\)', '', 'g'), 'From: ', ''), chr(10) || 'Subject: ', '')"
@@ -21,14 +21,18 @@ WORDS_SQL = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'),
 SPEAKER_SQL = "CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'Human' WHEN 'assistant' THEN 'AI Assistant' ELSE role END"
 
 
+def texts(t: Tables) -> DataFrame:
+    return spread(t.documents.select("doc_id", "text"), "doc_id")
+
+
 @query("clean_text", f"SELECT doc_id, {CLEAN_SQL} AS text FROM documents")
 def _(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", tx.clean(F.col("text")).alias("text"))
+    return texts(t).select("doc_id", tx.clean(F.col("text")).alias("text"))
 
 
 @query("truncate_text", f"SELECT doc_id, substr({CLEAN_SQL}, 1, 5000) AS text FROM documents")
 def _(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", tx.clean(F.col("text"), max_chars=5000).alias("text"))
+    return texts(t).select("doc_id", tx.clean(F.col("text"), max_chars=5000).alias("text"))
 
 
 @query(
@@ -36,7 +40,7 @@ def _(t: Tables) -> DataFrame:
     """SELECT doc_id, CASE WHEN instr(text, '. ') > 0 THEN substr(text, instr(text, '. ')) END AS rest FROM documents""",
 )
 def _(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", tx.from_marker(F.col("text"), ". ").alias("rest"))
+    return texts(t).select("doc_id", tx.from_marker(F.col("text"), ". ").alias("rest"))
 
 
 @query("text_length", "SELECT page_id, length(html) AS n_chars FROM pages")
@@ -79,7 +83,7 @@ def _reply_json(t: Tables) -> DataFrame:
         "turn", F.col("role").alias("sub_header"), F.col("text").alias("code"), F.lit("as said").alias("explanation")
     )
     parts = F.transform(
-        F.array_sort(F.collect_list(part)), lambda p: F.struct(p["sub_header"], p["code"], p["explanation"])
+        F.sort_array(F.collect_list(part)), lambda p: F.struct(p["sub_header"], p["code"], p["explanation"])
     )
     paged = t.conversations.groupBy("conv_id", windows.page_of().alias("page")).agg(parts.alias("parts"))
     reply = F.struct(F.lit("Talk").alias("summary"), F.size("parts").alias("number_of_parts"), "parts")
@@ -204,7 +208,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("token_count", rf"SELECT doc_id, {TOKENS_SQL} AS n_tokens FROM documents")
 def _(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", tx.token_count(F.col("text")).alias("n_tokens"))
+    return texts(t).select("doc_id", tx.token_count(F.col("text")).alias("n_tokens"))
 
 
 @query(
@@ -283,7 +287,7 @@ PIECES_SQL = r"""
         FROM ({PIECES_SQL.format(size=1000)})""",
 )
 def _(t: Tables) -> DataFrame:
-    return chunking.split_tokens(t.documents, 1000)
+    return chunking.split_tokens(texts(t), 1000)
 
 
 @query(
@@ -291,13 +295,13 @@ def _(t: Tables) -> DataFrame:
     f"""SELECT doc_id, piece, CAST(piece // 100 AS INTEGER) AS batch FROM ({PIECES_SQL.format(size=20)})""",
 )
 def _(t: Tables) -> DataFrame:
-    pieces = chunking.split_tokens(t.documents, 20)
+    pieces = chunking.split_tokens(texts(t), 20)
     return pieces.select("doc_id", "piece", F.floor(F.col("piece") / F.lit(100)).cast("int").alias("batch"))
 
 
 @query("stuff_docs", r"SELECT doc_id, array_to_string(regexp_extract_all(text, '\S+'), ' ') AS text FROM documents")
 def _(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", chunking.stuff(F.col("text")).alias("text"))
+    return texts(t).select("doc_id", chunking.stuff(F.col("text")).alias("text"))
 
 
 @query(
@@ -305,23 +309,24 @@ def _(t: Tables) -> DataFrame:
     # Pieces of 300 tokens in groups of 4000: 13 full pieces a group, the last piece may be smaller.
     rf"""SELECT doc_id, piece, CAST(CASE WHEN piece % 13 = 0 AND piece > 0 AND n - piece * 300 <= 100
                     THEN piece // 13 - 1 ELSE piece // 13 END AS INTEGER) AS grp
-         FROM (SELECT doc_id, n, CAST(unnest(range(0, greatest((n + 299) // 300, 1))) AS INTEGER) AS piece
+         FROM (SELECT doc_id, n, CAST(unnest(range(0, (n + 299) // 300)) AS INTEGER) AS piece
                FROM (SELECT doc_id, {TOKENS_SQL} AS n FROM documents))""",
 )
 def _(t: Tables) -> DataFrame:
     groups = chunking.pack(chunking.piece_sizes(F.col("text"), 300), 4000)
-    return t.documents.select("doc_id", F.posexplode(groups).alias("piece", "grp"))
+    return texts(t).select("doc_id", F.posexplode(groups).alias("piece", "grp"))
 
 
+BUCKET_SQL = "('0x' || substr(md5(w), 1, 5))::INTEGER"
 THEMES_SQL = rf"""
     words AS (SELECT doc_id, w, CAST((pos - 1) // 1000 AS INTEGER) AS piece FROM (
         SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos
         FROM (SELECT doc_id, {WORDS_SQL} AS ws FROM documents))),
-    df AS (SELECT w, count(DISTINCT doc_id) AS df FROM words GROUP BY 1),
-    tf AS (SELECT doc_id, piece, w, count(*) AS tf FROM words GROUP BY 1, 2, 3),
+    uses AS (SELECT bucket, count(*) AS uses FROM (SELECT DISTINCT doc_id, w, {BUCKET_SQL} AS bucket FROM words) GROUP BY 1),
+    tf AS (SELECT doc_id, piece, w, count(*) AS tf, {BUCKET_SQL} AS bucket FROM words GROUP BY 1, 2, 3),
     scored AS (SELECT doc_id, piece, w,
-                      CAST(tf * ln((SELECT count(*) + 1 FROM documents) / (df + 1)) AS DECIMAL(18,6)) AS score
-               FROM tf JOIN df USING (w)),
+                      CAST(tf * ln((SELECT count(*) + 1 FROM documents) / (uses + 1)) AS DECIMAL(18,6)) AS score
+               FROM tf JOIN uses USING (bucket)),
     themes AS (SELECT doc_id, piece, w, score FROM (SELECT *, row_number() OVER (
         PARTITION BY doc_id, piece ORDER BY score DESC, w) AS rn FROM scored) WHERE rn <= 5)"""
 
@@ -351,7 +356,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     steps = chunking.refine_summary(chunking.piece_themes(t.documents))
-    return steps.select("doc_id", "piece", F.array_join(F.array_sort("summary"), " ").alias("summary"))
+    return steps.select("doc_id", "piece", F.array_join(F.sort_array("summary"), " ").alias("summary"))
 
 
 def _count_sql(words: str) -> str:
@@ -376,7 +381,8 @@ def _detected(t: Tables) -> DataFrame:
     named: Column = F.col("lang")
     for code, name in CODES.items():
         named = F.when(F.col("lang") == code, F.lit(name)).otherwise(named)
-    return t.documents.select("doc_id", named.alias("actual"), chunking.detect_language(F.col("text")).alias("detected"))
+    docs = spread(t.documents.select("doc_id", "lang", "text"), "doc_id")
+    return chunking.with_language(docs, out="detected").select("doc_id", named.alias("actual"), "detected")
 
 
 @query("detect_language", f"SELECT doc_id, {NAMED_SQL} AS actual, detected FROM ({LANGUAGE_SQL})")
@@ -422,14 +428,15 @@ def _(t: Tables) -> DataFrame:
 
 @query("embed_text")
 def _(t: Tables) -> DataFrame:
-    vectors = learning.embed_text(learning.text_features(t.documents), t.documents, "doc_id", "lang")
+    docs = spread(t.documents.select("doc_id", "lang", "text"), "doc_id")
+    vectors = learning.embed_text(learning.text_features(docs), docs, "doc_id", "lang")
     values = vector_to_array("features")
     return vectors.select("doc_id", "lang", F.round(F.array_max(values), 6).alias("peak"), F.size(values).alias("dim"))
 
 
 @query("classify_quality")
 def _(t: Tables) -> DataFrame:
-    labelled = t.documents.select("doc_id", "text").join(t.labels, "doc_id")
+    labelled = texts(t).join(t.labels, "doc_id")
     features = learning.embed_text(learning.text_features(labelled), labelled, "doc_id", "quality")
     model = learning.train_logistic(features, "features", "quality", max_iter=20)
     label = F.when(F.col("prediction") == 1, "positive").otherwise("negative")

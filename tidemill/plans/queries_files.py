@@ -145,7 +145,6 @@ def _(t: Tables) -> DataFrame:
     source = t.orders.select("o_orderkey", "o_custkey")
     source.write.parquet(f"{root}/landing")
     landed = files.stream_files(t.spark, "parquet", f"{root}/landing", source.schema)
-    runner.append_stream(landed, f"{name}.first", root).awaitTermination()
+    runner.finish(runner.append_stream(landed, f"{name}.first", root), t.spark, f"{name}.first")
     chained = t.spark.readStream.table(f"{name}.first")
-    runner.append_stream(chained, f"{name}.second", root).awaitTermination()
-    return t.spark.table(f"{name}.second")
+    return runner.finish(runner.append_stream(chained, f"{name}.second", root), t.spark, f"{name}.second")

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tidemill.plans.medallion import order_facts, stream_sales_by_author
 from tidemill.sources.files import stream_files, with_lineage
-from tidemill.streaming.runner import append_stream, replace_stream
+from tidemill.streaming.runner import append_stream, finish, replace_stream
 
 
 @dataclass(frozen=True)
@@ -44,10 +44,9 @@ def run(
     files_per_batch: int | None = None,
 ) -> DataFrame:
     """Drain the landing folder through the layers; each layer ends before the next one starts."""
-    append_stream(bronze(spark, landing, schema, files_per_batch), layers.bronze, root).awaitTermination()
-    append_stream(silver(spark, layers.bronze, customers), layers.silver, root).awaitTermination()
-    replace_stream(gold(spark, layers.silver, books), layers.gold, root).awaitTermination()
-    return spark.table(layers.gold)
+    finish(append_stream(bronze(spark, landing, schema, files_per_batch), layers.bronze, root), spark, layers.bronze)
+    finish(append_stream(silver(spark, layers.bronze, customers), layers.silver, root), spark, layers.silver)
+    return finish(replace_stream(gold(spark, layers.silver, books), layers.gold, root), spark, layers.gold)
 
 
 def land_csv(
@@ -55,5 +54,4 @@ def land_csv(
 ) -> DataFrame:
     """Drain a folder of CSV files with header into ``table``, with the ingest clock."""
     rows = with_lineage(stream_files(spark, "csv", folder, schema, header=True), stamp).drop("file_name")
-    append_stream(rows, table, root).awaitTermination()
-    return spark.table(table)
+    return finish(append_stream(rows, table, root), spark, table)

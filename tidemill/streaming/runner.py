@@ -47,10 +47,20 @@ def append_stream(df: DataFrame, table: str, root: str, interval: str | None = N
     return query
 
 
-def publish(df: DataFrame, table: str, path: str) -> None:
-    """Write ``df`` to ``path`` and make it the content of ``table``."""
+def finish(query: StreamingQuery, spark: SparkSession, table: str) -> DataFrame:
+    """Wait for a draining query and return its table, with the files it has now.
+
+    A session remembers a table's files; the query ran in a session of its own.
+    """
+    query.awaitTermination()
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def publish(df: DataFrame, table: str, path: str, spark: SparkSession | None = None) -> None:
+    """Write ``df`` to ``path`` and make it the content of ``table``, as seen from ``spark``."""
     df.write.mode("overwrite").parquet(path)
-    spark = df.sparkSession
+    spark = spark or df.sparkSession
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.sql(f"REFRESH TABLE {table}")
@@ -64,8 +74,8 @@ def replace_stream(df: DataFrame, table: str, root: str) -> StreamingQuery:
     checkpoint = _claim(spark, table, root)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        publish(batch, table, f"{root}/versions/{table}/{batch_id:010d}")
-        _mark(batch.sparkSession, table, checkpoint)
+        publish(batch, table, f"{root}/versions/{table}/{batch_id:010d}", spark)
+        _mark(spark, table, checkpoint)
 
     return (
         df.writeStream.queryName(table.replace(".", "_"))

@@ -29,7 +29,7 @@ def plan(spark, small, name):
 
 # Vector search runs numpy in tasks by design and HTML the standard parser; nothing else leaves the JVM.
 IN_PYTHON = {
-    "cosine_topk", "grounded_answer", "context_budget", "html_passages", "html_passages_flat",
+    "cosine_topk", "filtered_topk", "grounded_answer", "context_budget", "html_passages", "html_passages_flat",
 }
 
 

@@ -71,3 +71,16 @@ def test_context_budget_keeps_the_best_prefix(spark):
     passages = spark.createDataFrame(rows, "query_id long, passage_id long, score double, tokens long")
     kept = windows.context_budget(passages, 9).orderBy("rank").collect()
     assert [(r.passage_id, r.used) for r in kept] == [(0, 5), (2, 9)]
+
+
+def test_repeated_turns_are_split_and_whole(spark):
+    rows = [(0, i % 4, "user", f"m{i}") for i in range(1000)] + [(1, 0, "user", "x")]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    pages = windows.transcript_pages(messages, page=16).collect()
+    assert max(p.n_messages for p in pages) <= 40  # about 16: parts are chosen by hash
+    assert sorted(line for p in pages for line in p.transcript.split("\n")) == sorted(f"Human: {r[3]}" for r in rows)
+    turn_of = {r[3]: r[1] for r in rows if r[0] == 0}
+    ordered = sorted((p for p in pages if p.conv_id == 0), key=lambda p: (p.page, p.part))
+    turns = [turn_of[line.removeprefix("Human: ")] for p in ordered for line in p.transcript.split("\n")]
+    assert turns == sorted(turns)
+    assert max(len(r.history) for r in windows.chat_history(messages, page=16).collect()) <= 40

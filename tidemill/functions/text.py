@@ -115,3 +115,11 @@ def tokens(text: Column) -> Column:
 def words(text: Column) -> Column:
     """Lower-case words: runs of letters and digits."""
     return F.array_remove(F.split(F.lower(text), NON_WORD), "")
+
+
+def word_bucket(word: Column) -> Column:
+    """Hash of a text in 0 … 2**20 - 1: the first five hex digits of its md5.
+
+    Never null, else a join on it would hash every text a second time to filter nulls.
+    """
+    return F.coalesce(F.conv(F.substring(F.md5(word), 1, 5), 16, 10).cast("int"), F.lit(0))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.functions.text import TOKEN, tokens, words
+from tidemill.functions.text import TOKEN, tokens, word_bucket, words
 
 # Frequent function words of five languages.
 STOP_WORDS = {
@@ -88,17 +88,6 @@ def stuff(text: Column, separator: str = " ") -> Column:
     return F.array_join(tokens(text), separator)
 
 
-BUCKETS = 1 << 20
-
-
-def word_bucket(word: Column) -> Column:
-    """Hash of a word in 0 … 2**20 - 1: the first five hex digits of its md5.
-
-    Never null, else a join on it would hash every word a second time to filter nulls.
-    """
-    return F.coalesce(F.conv(F.substring(F.md5(word), 1, 5), 16, 10).cast("int"), F.lit(0))
-
-
 def word_weights(docs: DataFrame, n_docs: Column, text: str = "text") -> DataFrame:
     """``bucket, idf`` with idf = ln((n_docs + 1) / (uses + 1)), at most 2**20 rows.
 

@@ -1,8 +1,9 @@
 """Order-dependent operators on conversations: history, running size, pages, caps.
 
-A message is keyed by ``(conv_id, turn)``, with integer turns. A conversation may be arbitrarily
-long, so nothing here gathers a whole one: messages are grouped in pages of ``page`` turns, and a
-page is what one row may hold.
+A message has a conversation and an integer turn. A conversation may be arbitrarily long, so
+nothing here gathers a whole one: messages are grouped in pages of ``page`` turns. Where a log
+repeats turns and a page would hold more messages than that, it is split in parts. A page, or a
+part of one, is what one row may hold; (page, part, turn) keeps the order of turns.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.functions.text import word_bucket
 from tidemill.operators.skew import totals_before
 
 PAGE = 64
@@ -18,23 +20,33 @@ PAGE = 64
 SPEAKERS = {"system": "System", "user": "Human", "assistant": "AI Assistant"}
 
 
-def page_of(turn: str = "turn", page: int = PAGE) -> Column:
-    return F.floor(F.col(turn) / F.lit(page)).cast("long")
+def paged(messages: DataFrame, page: int = PAGE) -> DataFrame:
+    """Add ``page`` and ``part``; part 0 everywhere when (conversation, turn) is a key.
+
+    A page with more than ``page`` messages has parts by turn and, within a turn, by a hash of the
+    text, in about equal numbers. Only the keys are counted to find such pages, usually none.
+    """
+    number = F.floor(F.col("turn") / F.lit(page)).cast("long").alias("page")
+    crowded = messages.groupBy("conv_id", number).agg(F.count("*").alias("__n")).where(F.col("__n") > page)
+    slices = F.ceil(F.col("__n") / F.lit(page)).cast("long")
+    part = 1 + F.pmod(F.col("turn"), F.lit(page)) * slices + F.pmod(word_bucket(F.col("text")), slices)
+    return messages.select("*", number).join(crowded, ["conv_id", "page"], "left").select(
+        *messages.columns, "page", F.when(F.col("__n").isNull(), F.lit(0)).otherwise(part).cast("long").alias("part")
+    )
 
 
 def chat_history(messages: DataFrame, page: int = PAGE) -> DataFrame:
     """The history visible at each turn, the turn included.
 
-    ``history`` holds the messages of the turn's own page up to the turn; everything on pages
-    ``< page`` comes before it (see :func:`transcript_pages`). A conversation of at most ``page``
+    ``history`` holds the messages of the turn's own page (and part) up to the turn; everything on
+    earlier ones comes before it (see :func:`transcript_pages`). A conversation of at most ``page``
     turns has one page, so there ``history`` is the complete list.
     """
-    paged = messages.select("*", page_of("turn", page).alias("page"))
-    frame = Window.partitionBy("conv_id", "page").orderBy("turn").rowsBetween(
+    frame = Window.partitionBy("conv_id", "page", "part").orderBy("turn", "role", "text").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return paged.select(
-        "conv_id", "turn", "page",
+    return paged(messages, page).select(
+        "conv_id", "turn", "page", "part",
         F.collect_list(F.struct("turn", "role", "text")).over(frame).alias("history"),
     )
 
@@ -52,37 +64,34 @@ def cap_turns(messages: DataFrame, max_turns: int) -> DataFrame:
 
     Spark applies the rank limit inside each input partition before the shuffle.
     """
-    rank = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
+    rank = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
     return messages.select("*", rank.alias("__rank")).where(F.col("__rank") <= max_turns).drop("__rank")
 
 
-def speaker(role: str = "role") -> Column:
-    out = F.col(role)
+def speaker(role: Column) -> Column:
+    out = role
     for key, name in SPEAKERS.items():
-        out = F.when(F.col(role) == key, F.lit(name)).otherwise(out)
+        out = F.when(role == key, F.lit(name)).otherwise(out)
     return out
 
 
 def transcript_pages(messages: DataFrame, page: int = PAGE) -> DataFrame:
-    """``Speaker: text`` lines in turn order, one row per page of a conversation.
+    """``Speaker: text`` lines in turn order, one row per page (and part) of a conversation.
 
     The pages of a conversation, in order, joined by a newline, are its transcript.
     """
-    line = F.concat(speaker(), F.lit(": "), F.col("text")).alias("line")
-    lines = F.sort_array(F.collect_list(F.struct("turn", line)))
-    return messages.groupBy("conv_id", page_of("turn", page).alias("page")).agg(
-        F.count("*").alias("n_messages"),
-        F.array_join(F.transform(lines, lambda m: m["line"]), "\n").alias("transcript"),
+    lines = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
+    said = F.transform(lines, lambda m: F.concat(speaker(m["role"]), F.lit(": "), m["text"]))
+    return paged(messages, page).groupBy("conv_id", "page", "part").agg(
+        F.count("*").alias("n_messages"), F.array_join(said, "\n").alias("transcript")
     )
 
 
 def history_json(messages: DataFrame, page: int = PAGE) -> DataFrame:
-    """Messages as a JSON array of ``{role, content}``, one row per page of a conversation."""
-    items = F.sort_array(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
-    plain = F.transform(items, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
-    return messages.groupBy("conv_id", page_of("turn", page).alias("page")).agg(
-        F.to_json(plain).alias("messages")
-    )
+    """Messages as a JSON array of ``{role, content}``, one row per page (and part)."""
+    items = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
+    plain = F.transform(items, lambda m: F.struct(m["role"].alias("role"), m["text"].alias("content")))
+    return paged(messages, page).groupBy("conv_id", "page", "part").agg(F.to_json(plain).alias("messages"))
 
 
 def usage_totals(messages: DataFrame, size: Column) -> DataFrame:

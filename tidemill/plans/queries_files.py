@@ -123,9 +123,7 @@ def run_order_stream(t: Tables, batches: int = 3) -> medallion.Layers:
     records = shop.raw_orders(t)
     replay.stage(records, "order_id", batches, f"{root}/staged")
     replay.land_next(t.spark, f"{root}/staged", f"{root}/landing", everything=True)
-    medallion.run(
-        t.spark, layers, root, f"{root}/landing", records.schema, shop.customers(t), shop.books(t), files_per_batch=8
-    )
+    medallion.run(t.spark, layers, root, f"{root}/landing", records.schema, shop.customers(t), shop.books(t))
     return layers
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions import jsonx, text as tx
-from tidemill.functions.vector_math import epoch_text
+from tidemill.functions.vector_math import dot, epoch_text
 from tidemill.operators import chunking, learning, relational as rel, windows
 from tidemill.plans.registry import Tables, as_double, query
 from tidemill.schemas import REPLY_WITH_PARTS
@@ -18,6 +18,10 @@ EMAIL_SQL = r"regexp_replace(text, '[\w\.-]+@[\w\.-]+', '', 'g')"
 CLEAN_SQL = rf"replace(replace(regexp_replace({EMAIL_SQL}, '\([^()]*\)', '', 'g'), 'From: ', ''), chr(10) || 'Subject: ', '')"
 TOKENS_SQL = r"len(regexp_extract_all(text, '\S+'))"
 WORDS_SQL = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+PAGED_SQL = """
+    sized AS (SELECT *, turn // 64 AS page, count(*) OVER (PARTITION BY conv_id, turn // 64) AS n FROM conversations),
+    paged AS (SELECT conv_id, turn, role, text, page, CASE WHEN n <= 64 THEN 0 ELSE 1 + (turn % 64) * ((n + 63) // 64)
+                     + ('0x' || substr(md5(text), 1, 5))::BIGINT % ((n + 63) // 64) END::BIGINT AS part FROM sized)"""
 SPEAKER_SQL = "CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'Human' WHEN 'assistant' THEN 'AI Assistant' ELSE role END"
 
 
@@ -79,29 +83,29 @@ def _(t: Tables) -> DataFrame:
 
 def _reply_json(t: Tables) -> DataFrame:
     """Model replies with parts, made of each conversation page's messages."""
-    part = F.struct(
+    message = F.struct(
         "turn", F.col("role").alias("sub_header"), F.col("text").alias("code"), F.lit("as said").alias("explanation")
     )
     parts = F.transform(
-        F.sort_array(F.collect_list(part)), lambda p: F.struct(p["sub_header"], p["code"], p["explanation"])
+        F.sort_array(F.collect_list(message)), lambda p: F.struct(p["sub_header"], p["code"], p["explanation"])
     )
-    paged = t.conversations.groupBy("conv_id", windows.page_of().alias("page")).agg(parts.alias("parts"))
+    paged = windows.paged(t.conversations).groupBy("conv_id", "page", "part").agg(parts.alias("parts"))
     reply = F.struct(F.lit("Talk").alias("summary"), F.size("parts").alias("number_of_parts"), "parts")
-    return paged.select("conv_id", "page", F.to_json(reply).alias("reply"))
+    return paged.select("conv_id", "page", "part", F.to_json(reply).alias("reply"))
 
 
 @query(
     "assemble_parts",
-    r"""SELECT conv_id, turn // 64 AS page, '# Talk' || chr(10) || string_agg(
-            chr(10) || '## ' || role || chr(10) || 'as said' || chr(10) || text || chr(10), '' ORDER BY turn)
+    rf"""WITH {PAGED_SQL} SELECT conv_id, page, part, '# Talk' || chr(10) || string_agg(
+            chr(10) || '## ' || role || chr(10) || 'as said' || chr(10) || text || chr(10), '' ORDER BY turn, role, text)
             || chr(10) || 'End' AS document
-        FROM conversations GROUP BY 1, 2""",
+        FROM paged GROUP BY 1, 2, 3""",
 )
 def _(t: Tables) -> DataFrame:
     reply = jsonx.parse_reply(F.col("reply"), REPLY_WITH_PARTS)
-    parsed = _reply_json(t).select("conv_id", "page", reply.alias("r"))
+    parsed = _reply_json(t).select("conv_id", "page", "part", reply.alias("r"))
     return parsed.select(
-        "conv_id", "page", tx.join_parts(F.col("r.summary"), F.col("r.parts"), F.lit("End")).alias("document")
+        "conv_id", "page", "part", tx.join_parts(F.col("r.summary"), F.col("r.parts"), F.lit("End")).alias("document")
     )
 
 
@@ -213,23 +217,23 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "chat_history",
-    f"""SELECT conv_id, turn, string_agg(role || ': ' || text, chr(10)) OVER (
-            PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS history, count(*) OVER (
-            PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS n_messages
-        FROM conversations""",
+    f"""WITH {PAGED_SQL} SELECT conv_id, turn, page, part, string_agg(role || ': ' || text, chr(10)) OVER w AS history,
+               count(*) OVER w AS n_messages
+        FROM paged WINDOW w AS (PARTITION BY conv_id, page, part ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)""",
 )
 def _(t: Tables) -> DataFrame:
     seen = windows.chat_history(t.conversations)
     line = F.transform("history", lambda m: F.concat(m["role"], F.lit(": "), m["text"]))
     return seen.select(
-        "conv_id", "turn", F.array_join(line, "\n").alias("history"), F.size("history").cast("long").alias("n_messages")
+        "conv_id", "turn", "page", "part", F.array_join(line, "\n").alias("history"), F.size("history").cast("long").alias("n_messages")
     )
 
 
 @query(
     "running_prompt_tokens",
-    rf"""SELECT conv_id, turn, CAST({TOKENS_SQL} AS BIGINT) AS size, CAST(sum({TOKENS_SQL}) OVER (
-             PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS running_size FROM conversations""",
+    rf"""SELECT conv_id, turn, CAST(size AS BIGINT) AS size, CAST(sum(size) OVER (
+             PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS running_size
+         FROM (SELECT conv_id, turn, sum({TOKENS_SQL}) AS size FROM conversations GROUP BY 1, 2)""",
 )
 def _(t: Tables) -> DataFrame:
     return windows.running_size(t.conversations, tx.token_count(F.col("text")))
@@ -248,7 +252,7 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "cap_turns",
-    """SELECT conv_id, turn, role FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn
+    """SELECT conv_id, turn, role FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS rn
        FROM conversations) WHERE rn <= 5""",
 )
 def _(t: Tables) -> DataFrame:
@@ -257,9 +261,9 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "render_transcript",
-    f"""SELECT conv_id, turn // 64 AS page, count(*) AS n_messages,
-               string_agg({SPEAKER_SQL} || ': ' || text, chr(10) ORDER BY turn) AS transcript
-        FROM conversations GROUP BY 1, 2""",
+    f"""WITH {PAGED_SQL} SELECT conv_id, page, part, count(*) AS n_messages,
+               string_agg({SPEAKER_SQL} || ': ' || text, chr(10) ORDER BY turn, role, text) AS transcript
+        FROM paged GROUP BY 1, 2, 3""",
 )
 def _(t: Tables) -> DataFrame:
     return windows.transcript_pages(t.conversations)
@@ -267,9 +271,9 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "history_json",
-    """SELECT conv_id, turn // 64 AS page,
-              to_json(list({'role': role, 'content': text} ORDER BY turn))::VARCHAR AS messages
-       FROM conversations GROUP BY 1, 2""",
+    "WITH " + PAGED_SQL + """ SELECT conv_id, page, part,
+              to_json(list({'role': role, 'content': text} ORDER BY turn, role, text))::VARCHAR AS messages
+       FROM paged GROUP BY 1, 2, 3""",
 )
 def _(t: Tables) -> DataFrame:
     return windows.history_json(t.conversations)
@@ -434,6 +438,21 @@ def _(t: Tables) -> DataFrame:
     return vectors.select("doc_id", "lang", F.round(F.array_max(values), 6).alias("peak"), F.size(values).alias("dim"))
 
 
+@query("text_similarity")
+def _(t: Tables) -> DataFrame:
+    """How far dropping the first word and the quotes moves a message's vector."""
+    messages = t.conversations.select("conv_id", "turn", "text")
+    model = learning.text_features(messages)
+    before = learning.embed_text(model, messages, "conv_id", "turn", "text")
+    normal = before.select(
+        "conv_id", "turn", vector_to_array("features").alias("before"),
+        tx.without_quotes(tx.without_first_word(F.col("text"))).alias("text"),
+    )
+    both = learning.embed_text(model, normal, "conv_id", "turn", "before")
+    similarity = dot(F.col("before"), vector_to_array("features"))
+    return both.select("conv_id", "turn", F.round(similarity, 6).alias("similarity"))
+
+
 @query("classify_quality")
 def _(t: Tables) -> DataFrame:
     labelled = texts(t).join(t.labels, "doc_id")

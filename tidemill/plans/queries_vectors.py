@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.text import token_count
 from tidemill.functions.vector_math import argmax
 from tidemill.operators import learning, relational as rel, sampling, vectors, windows
+from tidemill.operators.filters import Condition, KeyFilter, active, metadata_filter
 from tidemill.plans.registry import Tables, query
 
 RADIUS = 0.99
@@ -126,6 +127,22 @@ def _(t: Tables) -> DataFrame:
     return vectors.nearest(t.embeddings, vectors.query_batch(centroid_queries(t)), k=10)
 
 
+@query(
+    "filtered_topk",
+    f"""WITH {SCORES_SQL.replace("unit AS (", "usable AS (SELECT doc_id FROM documents WHERE lang IN ('en', 'fr') AND n_chars >= 500), unit AS (")},
+        allowed AS (SELECT query_id, vec_id, score, row_number() OVER (
+            PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores WHERE vec_id IN (SELECT doc_id FROM usable))
+        SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM allowed WHERE place <= 10""",
+)
+def _(t: Tables) -> DataFrame:
+    """Chunks that are not ACTIVE, or outside the asked languages, are never scored."""
+    state = F.when(F.col("n_chars") >= 500, "ACTIVE").otherwise("PENDING_PROCESSING")
+    chunks = t.documents.select(F.col("doc_id").alias("vec_id"), "lang", state.alias("state"))
+    wanted = metadata_filter([KeyFilter("lang", [Condition("EQUAL", "en"), Condition("EQUAL", "fr")])])
+    corpus = t.embeddings.join(chunks.where(active() & wanted), "vec_id", "left_semi")
+    return vectors.nearest(corpus, vectors.query_batch(centroid_queries(t)), k=10)
+
+
 @query("ann_topk")
 def _(t: Tables) -> DataFrame:
     index = vectors.build_index(t.embeddings, "vec_id", "embedding", 64)

@@ -200,6 +200,15 @@ def pair_similarity(pairs: DataFrame, vectors: DataFrame, key: str = "vec_id", v
     )
 
 
+def with_passages(best: DataFrame, passages: DataFrame, key: str) -> DataFrame:
+    """Results of :func:`nearest` with the columns of their passages.
+
+    There are at most ``MAX_QUERIES * MAX_RESULTS`` results, so they go to the passages, which are
+    scanned once and neither shuffled nor computed on before the match.
+    """
+    return passages.join(F.broadcast(best), key)
+
+
 def grounded_answers(best: DataFrame, passages: DataFrame, key: str, threshold: float = 0.5) -> DataFrame:
     """Answer each query by its best passage, with the passage's ids as attribution.
 
@@ -207,7 +216,7 @@ def grounded_answers(best: DataFrame, passages: DataFrame, key: str, threshold:
     not a calibrated probability; below or at the threshold the text is null (fall back).
     """
     answerable = F.col("score") > threshold
-    return best.where("rank = 1").join(passages, key).select(
+    return with_passages(best.where("rank = 1"), passages, key).select(
         "query_id", key, "score", answerable.alias("answerable"),
         *[c for c in passages.columns if c not in (key, "text")],
         F.when(answerable, F.col("text")).alias("answer"),

@@ -107,14 +107,15 @@ def usage_totals(messages: DataFrame, size: Column) -> DataFrame:
 def context_budget(passages: DataFrame, budget: int, query: str = "query_id") -> DataFrame:
     """Per query, the passages in falling ``score`` whose running ``tokens`` stay in the budget.
 
-    Every passage has at least one token (empty ones say nothing and are left out), so at most
-    ``budget`` of them can fit: ranking keeps that many per query before anything is summed.
+    Empty passages say nothing: they rank last and are left out, so at most ``budget`` passages of
+    one token or more can fit, and ranking keeps that many per query before anything is summed.
     """
-    order = Window.partitionBy(query).orderBy(F.desc("score"), F.asc("passage_id"))
-    ranked = passages.where(F.col("tokens") > 0).select("*", F.row_number().over(order).alias("rank"))
+    order = Window.partitionBy(query).orderBy(F.col("tokens") <= 0, F.desc("score"), F.asc("passage_id"))
     used = F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
-        ranked.where(F.col("rank") <= budget)
+        passages.select("*", F.row_number().over(order).alias("rank"))
+        # After the rank, as a test on tokens alone would be run on every text before the join.
+        .where((F.col("rank") <= budget) & (F.col("tokens") > 0))
         .select("*", used.alias("used"))
         .where(F.col("used") <= budget)
     )

@@ -183,8 +183,10 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     best = vectors.nearest(t.embeddings, vectors.query_batch(centroid_queries(t)), k=vectors.MAX_RESULTS)
-    sizes = t.documents.select(F.col("doc_id").alias("passage_id"), token_count(F.col("text")).alias("tokens"))
-    passages = best.select("query_id", F.col("vec_id").alias("passage_id"), "score").join(sizes, "passage_id")
+    texts = t.documents.select(F.col("doc_id").alias("vec_id"), "text")
+    passages = vectors.with_passages(best, texts, "vec_id").select(
+        "query_id", F.col("vec_id").alias("passage_id"), "score", token_count(F.col("text")).alias("tokens")
+    )
     return windows.context_budget(passages, 1000).select("query_id", "passage_id", "score", "tokens", "used")
 
 

@@ -61,7 +61,8 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {database}").select("tableName", "isTemporary")
+    """The tables of a database, without the session's temporary views."""
+    return spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary").select("tableName")
 
 
 def describe_tables(spark: SparkSession, tables: Iterable[str]) -> DataFrame:

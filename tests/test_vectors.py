@@ -102,16 +102,24 @@ def test_only_active_chunks_are_found(spark, rows):
 
 
 def test_approximate_search_finds_most_of_the_exact(spark):
+    """600 vectors in 40 groups: neighbours are near, the rest is not."""
     rng = np.random.default_rng(3)
-    rows = [(i, [float(x) for x in v], 0) for i, v in enumerate(rng.normal(0, 1, (400, 16)))]
-    corpus = vectors.build_index(spark.createDataFrame(rows, VECTORS), "vec_id", "embedding", 16)
-    queries = corpus.where("vec_id < 8").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    centers = rng.normal(0, 1, (40, 32))
+    rows = [(i, [float(x) for x in centers[i % 40] + rng.normal(0, 0.3, 32)], 0) for i in range(600)]
+    corpus = vectors.build_index(spark.createDataFrame(rows, VECTORS), "vec_id", "embedding", 32)
+    queries = corpus.where("vec_id < 20").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     model = vectors.lsh_model(corpus, "embedding")
-    found = vectors.nearest_approximate(corpus, queries, model, k=10).collect()
-    exact = {(r.query_id, r.vec_id) for r in vectors.nearest(corpus, vectors.query_batch(queries), k=10).collect()}
-    hits = {(r.query_id, r.vec_id) for r in found}
-    assert len(hits) == len(found) == 80
-    assert len(hits & exact) / len(exact) >= 0.9
+    hashed = vectors.hash_index(model, corpus, "vec_id", "embedding")
+    found = vectors.nearest_approximate(hashed, queries, model, k=10).collect()
+    exact = {(r.query_id, r.vec_id): r.score for r in vectors.nearest(corpus, vectors.query_batch(queries), k=10).collect()}
+    hits = {(r.query_id, r.vec_id): r.score for r in found}
+    assert len(hits) == len(found) <= 200
+    assert len(hits.keys() & exact.keys()) / len(exact) >= 0.95
+    assert all(abs(hits[k] - exact[k]) < 2e-6 for k in hits.keys() & exact.keys())
+
+    buckets = {r.vec_id: set(enumerate(r.buckets)) for r in hashed.collect()}
+    met = sum(bool(buckets[q] & b) for q in range(20) for b in buckets.values())
+    assert met / (20 * 600) < 0.5  # most of the corpus is never scored
 
 
 def test_index_vectors_have_length_one(spark):

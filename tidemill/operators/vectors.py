@@ -9,17 +9,18 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
+from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.functions.vector_math import dot, euclidean, norm
+from tidemill.functions.vector_math import dot, euclidean
 from tidemill.operators.skew import heavy_join
 
 MAX_RESULTS = 100
 MAX_QUERIES = 1000
+HASHES = 4
 
 
 def vector_dims(df: DataFrame, vector: str) -> DataFrame:
@@ -142,46 +143,57 @@ def build_index(df: DataFrame, key: str, vector: str, dim: int, *payload: str) -
     checked = F.when(F.size(vector) == dim, F.col(vector)).otherwise(
         F.raise_error(F.format_string(f"vector %s has not {dim} elements", F.col(key)))
     )
-    # The length is an array beside the vector: inside the lambda it would be summed per element.
-    sized = df.select(key, *payload, checked.alias("__v")).withColumn("__n", norm(F.col("__v")))
-    unit = F.zip_with("__v", F.array_repeat("__n", F.size("__v")), lambda x, n: x.cast("double") / n)
-    return sized.where(F.col("__n") > 0).select(key, *payload, unit.alias(vector))
+    sound = df.select(key, *payload, checked.alias("__a")).where(F.exists("__a", lambda x: x != 0))
+    units = Normalizer(inputCol="__v", outputCol="__u").transform(sound.withColumn("__v", array_to_vector("__a")))
+    return units.select(key, *payload, vector_to_array("__u").alias(vector))
 
 
-def lsh_model(df: DataFrame, vector: str, tables: int = 8, bucket: float = 0.5, seed: int = 0) -> BucketedRandomProjectionLSHModel:
+def lsh_model(
+    df: DataFrame, vector: str, tables: int = 12, width: float = 1.5, seed: int = 0
+) -> BucketedRandomProjectionLSHModel:
+    """Random projections for unit vectors, ``HASHES`` for each of ``tables`` tables.
+
+    ``width`` is the bucket length in standard deviations of a projection, 1/sqrt(dimension).
+    """
+    dim = df.select(F.size(vector)).first()[0]
     lsh = BucketedRandomProjectionLSH(
-        inputCol="features", outputCol="hashes", numHashTables=tables, bucketLength=bucket, seed=seed
+        inputCol="features", outputCol="hashes", numHashTables=tables * HASHES, bucketLength=width / dim**0.5, seed=seed
     )
     return lsh.fit(df.select(array_to_vector(F.col(vector)).alias("features")))
 
 
-def _hashed(model: BucketedRandomProjectionLSHModel, df: DataFrame, key: str, vector: str) -> DataFrame:
-    hashed = model.transform(df.select(key, vector, array_to_vector(F.col(vector)).alias("features")))
-    # One integer per table; the hash is one whole number in a one-element vector.
-    buckets = F.transform("hashes", lambda h: vector_to_array(h)[0].cast("long"))
-    return hashed.select(key, vector, buckets.alias("buckets"))
+def hash_index(model: BucketedRandomProjectionLSHModel, index: DataFrame, key: str, vector: str) -> DataFrame:
+    """Add ``buckets``, one per table. Save the result to hash a corpus once for many searches.
+
+    A bucket of a table is where all of its projections agree, so a chance meeting is rare.
+    """
+    hashed = model.transform(index.select(key, vector, array_to_vector(F.col(vector)).alias("features")))
+    place = F.transform("hashes", lambda h: vector_to_array(h)[0].cast("int"))
+    places = hashed.select(key, vector, place.alias("__p"))
+    tables = range(0, model.getNumHashTables(), HASHES)
+    buckets = [F.xxhash64(*[F.col("__p")[i + j] for j in range(HASHES)]) for i in tables]
+    return places.select(key, vector, F.array(*buckets).alias("buckets"))
 
 
 def nearest_approximate(
-    corpus: DataFrame,
+    hashed: DataFrame,
     queries: DataFrame,
     model: BucketedRandomProjectionLSHModel,
     k: int = 10,
     key: str = "vec_id",
     vector: str = "embedding",
 ) -> DataFrame:
-    """Top ``k`` by cosine among rows that share an LSH bucket with the query, on unit vectors.
+    """Top ``k`` by cosine among the rows of :func:`hash_index` that share a bucket with the query.
 
     Only the queries' buckets are broadcast, and their number is checked by :func:`query_batch`,
     so a crowded bucket costs scoring but no shuffle. Every candidate is scored.
     """
-    spark = corpus.sparkSession
-    batch = spark.createDataFrame(
+    batch = hashed.sparkSession.createDataFrame(
         [(q, [float(x) for x in v]) for q, v in query_batch(queries)], "query_id long, vector array<double>"
     )
-    asked = _hashed(model, batch, "query_id", "vector").withColumnRenamed("buckets", "__asked")
+    asked = hash_index(model, batch, "query_id", "vector").withColumnRenamed("buckets", "__asked")
     asked = asked.select("*", F.posexplode("__asked").alias("table", "bucket"))
-    stored = _hashed(model, corpus, key, vector).select("*", F.posexplode("buckets").alias("table", "bucket"))
+    stored = hashed.select("*", F.posexplode("buckets").alias("table", "bucket"))
     found = stored.join(F.broadcast(asked), ["table", "bucket"])
     # A row meets a query in every table they share: only the first meeting counts.
     shared = F.zip_with("buckets", "__asked", lambda a, b: a == b)

@@ -147,7 +147,8 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     index = vectors.build_index(t.embeddings, "vec_id", "embedding", 64)
     units = vectors.build_index(centroid_queries(t), "query_id", "vector", 64)
-    return vectors.nearest_approximate(index, units, vectors.lsh_model(index, "embedding"), k=10)
+    model = vectors.lsh_model(index, "embedding")
+    return vectors.nearest_approximate(vectors.hash_index(model, index, "vec_id", "embedding"), units, model, k=10)
 
 
 @query(

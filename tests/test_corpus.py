@@ -1,4 +1,9 @@
+import os
+import subprocess
+import sys
+
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tidemill.functions.html import passages
@@ -117,3 +122,11 @@ def test_metadata_filter(spark):
     ):
         with pytest.raises(ValueError):
             metadata_filter(bad)
+
+
+def test_html_helper_runs_where_the_package_is_missing(tmp_path):
+    (tmp_path / "f").write_bytes(cloudpickle.dumps(passages))
+    code = "import pickle; print(pickle.load(open('f', 'rb'))('<p>a</p><p>b</p>', 9, True, frozenset()))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert done.stdout.strip() == "['a b']", done.stderr

@@ -6,13 +6,18 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions import html as html_helper
 from tidemill.functions.html import EXCLUDED, passages
 from tidemill.functions.text import token_count
 from tidemill.operators.skew import positions
 
+# Executors need not have this package: the helper travels with its tasks.
+cloudpickle.register_pickle_by_value(html_helper)
+
 # Limits of the store, and the page and batch sizes of its requests.
 QUOTAS = {
     "corpora": 5,

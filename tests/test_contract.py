@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as contract
 import check_oracle
+from tidemill.plans import catalog
 
-NAMES = sorted(contract.queries())
+NAMES = sorted(catalog.QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -20,7 +21,7 @@ def test_entry(spark):
 
 
 def test_every_oracle_has_a_query():
-    assert set(contract.oracle_sql()) <= set(NAMES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def plan(spark, small, name):

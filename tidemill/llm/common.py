@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +36,25 @@ def below(key: Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 
 
+def share(spark: SparkSession, value) -> Broadcast:
+    """Broadcast an object of this package, whose class travels along; :func:`shared` gives it in a task."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared(sent: Broadcast):
+    return pickle.loads(sent.value)
+
+
+def remembered(name: str, key, make: Callable):
+    """An object that a worker process keeps from task to task: the last one made under ``name``, if its
+    key is still ``key``. What a task brings along is new each time, so the place is a module of the process."""
+    place = sys.modules.setdefault("_tidemill_worker", types.ModuleType("_tidemill_worker"))
+    kept = place.__dict__.get(name)
+    if kept is None or kept[0] != key:
+        place.__dict__[name] = kept = (key, make())
+    return kept[1]
+
+
 class Rows:
     """Collects output rows and gives them as Arrow batches of bounded size."""
 

@@ -106,9 +106,11 @@ def write_archive(
         F.lit(NEWLINE),
     )
     records.select("key", warc.alias("warc_header"), http.alias("http_header"), "strong").write.parquet(f"{path}/records")
-    kept = firsts.select(F.col("strong").alias("__strong"), "first_key")
-    stored = pages.join(kept, (F.col("strong") == F.col("__strong")) & F.col("key").eqNullSafe(F.col("first_key")))
-    stored.dropDuplicates(["strong", "key"]).select("strong", "body").write.parquet(f"{path}/payloads")
+    # A null key stands as the smallest number, so that the rows which the join brings together are
+    # also where repeated rows meet, and the bytes are shuffled once.
+    place = lambda name: F.coalesce(F.col(name).cast("long"), F.lit(-(1 << 63))).alias("place")
+    stored = pages.select("strong", place("key"), "body").join(firsts.select("strong", place("first_key")), ["strong", "place"])
+    stored.dropDuplicates(["strong", "place"]).select("strong", "body").write.parquet(f"{path}/payloads")
 
 
 def field(header: str | Column, name: str) -> Column:

@@ -13,7 +13,7 @@ give no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import os
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import Rows, remembered, table, written
-from tidemill.llm.pieces import Recent
 
 CAPACITY = 1024
 END_ID = 2
@@ -31,60 +30,45 @@ GROUP_ROWS = 8192
 ROUNDS = 4
 
 
+# How byte-level tokenizers cut texts, and the bytes that stand for themselves in their files.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+
+
 class ByteTokens:
-    """Ids of a byte-level tokenizer in one worker, as 32-bit numbers in one string.
+    """Ids of a byte-level tokenizer file in one worker, as 32-bit numbers in one string.
 
-    A text is cut before each space that starts a word; no pre-token crosses such a cut, so the ids
-    of the parts in order are those of the text. A worker remembers the words it met last, and the
-    library encodes the others. Texts with special strings go to the library whole.
+    The file's vocabulary and its special strings are given to the faster of two public libraries,
+    which gives the same ids as long as ids rise with the order of merges; the file is refused if
+    they do not. A text that this library gives up on is encoded by the file's own library.
     """
 
     def __init__(self, content: str):
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.library = Tokenizer.from_str(content)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.words = Recent(self._encode_word)
-
-    def _bytes(self, encoding) -> bytes:
-        return np.array(encoding.ids, dtype="<u4").tobytes()
-
-    def _encode_word(self, word: str) -> bytes:
-        return self._bytes(self.library.encode(" " + word, add_special_tokens=False))
-
-    def learn(self, parts: list[list[str]]) -> None:
-        """Encode the new words of many texts in one call."""
-        words = self.words
-        new = [w for w in set().union(*parts) if w not in words and w not in words.older and len(w) <= words.longest]
-        for word, encoding in zip(new, self.library.encode_batch_fast([" " + w for w in new], add_special_tokens=False)):
-            words.older[word] = self._bytes(encoding)
-
-    def cut(self, text: str) -> list[str]:
-        """The parts of a text; all but the first stand for themselves after a space."""
-        parts = text.split(" ")
-        if "" not in parts and not any(map(str.isspace, {p[0] for p in parts})):
-            return parts
-        joined = [parts[0]]
-        for part in parts[1:]:
-            # A space before white space or the end belongs to the run that it is in.
-            if not part or part[0].isspace():
-                joined[-1] += " " + part
-            else:
-                joined.append(part)
-        return joined
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        cuts = [None if any(s in t for s in self.special) else self.cut(t) for t in texts]
-        heads = [t if c is None else c[0] for t, c in zip(texts, cuts)]
-        self.learn([c[1:] for c in cuts if c])
-        out = []
-        for cut, head in zip(cuts, self.library.encode_batch_fast(heads, add_special_tokens=False)):
-            rest = b"".join(map(self.words.__getitem__, cut[1:])) if cut else b""
-            out.append(self._bytes(head) + rest)
-        return out
+        import tiktoken
+
+        self.content = content
+        file = json.loads(content)
+        ids, steps = file["model"]["vocab"], file["pre_tokenizer"]
+        merged = [ids["".join(m if isinstance(m, list) else m.split(" "))] for m in file["model"]["merges"]]
+        plain = steps["type"] == "ByteLevel" and not steps["add_prefix_space"] and steps.get("use_regex", True)
+        if not plain or file["normalizer"] or sorted(merged) != merged:
+            raise ValueError("not a plain byte-level tokenizer")
+        others = [b for b in range(256) if b not in PRINTABLE]
+        byte_of = {chr(b): b for b in PRINTABLE} | {chr(256 + i): b for i, b in enumerate(others)}
+        special = {t["content"]: t["id"] for t in file["added_tokens"]}
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in ids.items() if t not in special}
+        self.fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+    def encode(self, text: str) -> bytes:
+        try:
+            return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+        except (ValueError, OverflowError, RuntimeError):
+            from tokenizers import Tokenizer
+
+            library = Tokenizer.from_str(self.content)
+            library.no_truncation()
+            library.no_padding()
+            return np.array(library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
 PIECES = pa.schema([
@@ -110,7 +94,7 @@ def cut_documents(
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                encoded = tokens.encode_all([t or "" for t in part.column(1).to_pylist()])
+                encoded = [tokens.encode(t) if t else b"" for t in part.column(1).to_pylist()]
                 for doc, ids in zip(part.column(0).to_pylist(), encoded):
                     ids += end
                     size = len(ids) // 4

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from tidemill.llm import warc
+from tidemill.llm import chat, packing, pieces, threshold, token_counts, warc
 
 QUERIES = {
+    "op1_token_counts": token_counts.op1_token_counts,
+    "op3_chat": chat.op3_chat,
+    "op4_packing": packing.op4_packing,
+    "op6_threshold_topk": threshold.op6_threshold_topk,
+    "op8_pieces": pieces.op8_pieces,
     "op10_warc": warc.op10_warc,
 }
 
 ORACLES = {
+    "op3_chat": chat.SQL,
+    "op6_threshold_topk": threshold.SQL,
     "op10_warc": warc.SQL,
 }

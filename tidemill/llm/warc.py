@@ -170,8 +170,6 @@ def archive_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
     )
 
 
-QUERY = "op10_warc"
-
 
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return archive_pages(spark, spark.read.parquet(f"{folder}/pages.parquet"))

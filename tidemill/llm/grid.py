@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,6 +54,11 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
+def mark(vector: np.ndarray) -> int:
+    """Tells queries of one id and different vectors apart."""
+    return xxhash.xxh3_64_intdigest(vector.astype(np.float64).tobytes()) - 2**63
+
+
 def search_cells(
     rows: DataFrame, cell: list[str], more: list[str], k: int, search: Callable, kind, score_type: str,
 ) -> DataFrame:
@@ -77,7 +83,7 @@ def search_cells(
             found = [b for b in best if len(b.ids)]
             if found:
                 counts = [len(b.ids) for b in best]
-                marks = np.array([hash(v.tobytes()) for v in queries[1]], np.int64)
+                marks = np.array([mark(v) for v in queries[1]], np.int64)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.repeat(queries[0], counts)), pa.array(np.repeat(marks, counts)),
                     pa.array(np.concatenate([b.ids for b in best])),

@@ -1,0 +1,82 @@
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from tidemill.llm.pieces import Codec, Pieces, decode_ids, encode_texts
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+ALPHABET = " \n\t▁abcdeéßñ日本語한국👍🏽‍\0\x01.,;:!()[]{}<>=+-*/'\"0123456789ABCXYZ\\_ſİ́\r\x85 "
+
+
+@pytest.fixture(scope="module")
+def both():
+    return Codec(Pieces.load(PATH)), sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+def agree(codec, library, text):
+    ids = np.frombuffer(codec.encode(text), "<i4").tolist()
+    assert ids == library.encode(text), repr(text)[:100]
+    assert codec.decode(ids) == library.decode(ids), repr(text)[:100]
+
+
+def test_random_texts(both):
+    rng = random.Random(1)
+    for _ in range(4000):
+        agree(*both, "".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 30))))
+
+
+def test_pieces_side_by_side(both):
+    rng = random.Random(2)
+    pieces = [t.replace("▁", " ") for t, k in zip(both[0].texts, both[0].model.kinds) if k == 1]
+    for _ in range(4000):
+        agree(*both, "".join(rng.choice(pieces) for _ in range(rng.randint(1, 8))))
+
+
+def test_long_runs(both):
+    for part in ("a", "ab", "the", " ", "=", "-", "ing", " a", "日"):
+        agree(*both, part * 3000)
+
+
+def test_decoding_of_any_ids(both):
+    codec, library = both
+    rng = random.Random(3)
+    for _ in range(4000):
+        ids = [rng.randrange(32000) if rng.random() < 0.5 else rng.randrange(262) for _ in range(rng.randint(0, 8))]
+        assert codec.decode(ids) == library.decode(ids), ids
+
+
+def test_words_leave_the_cache_in_turn(both):
+    codec = Codec(both[0].model)
+    codec.words.limit = 10
+    for i in range(100):
+        agree(codec, both[1], f"word{i} and word{i // 2}")
+    assert len(codec.words) + len(codec.words.older) <= 20
+
+
+def test_frames(spark, both):
+    texts = [None, "", "a  b", "same", "same", "x" * 100000]
+    rows = [(i if i else None, t, [1], "n") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids array<int>, __text string")
+    encoded = encode_texts(docs, PATH)
+    got = decode_ids(encoded, PATH).collect()
+    want = [(r[0], both[1].encode(r[1] or ""), r[1] or "") for r in rows]
+    assert sorted((r["doc_id"], list(r["ids"]), r["text"]) for r in got if r["doc_id"]) == sorted(w for w in want if w[0])
+    assert [tuple(r) for r in got if r["doc_id"] is None] == [(None, [], "")]
+    assert decode_ids(encode_texts(docs.limit(0), PATH), PATH).collect() == []
+    nothing = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
+    assert decode_ids(nothing, PATH).first()["text"] == ""
+
+
+def test_other_models_are_refused(tmp_path):
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(PATH, "rb") as file:
+        model.ParseFromString(file.read())
+    model.normalizer_spec.remove_extra_whitespaces = True
+    (tmp_path / "m").write_bytes(model.SerializeToString())
+    with pytest.raises(ValueError):
+        Pieces.load(str(tmp_path / "m"))

@@ -31,12 +31,13 @@ def usable(df: DataFrame, key: str, vector: str, zero: bool) -> DataFrame:
 
 
 class Best:
-    """The best ``k`` candidates of one query: largest score first, ties to the smaller id."""
+    """The best ``k`` candidates of one query: largest score first, ties to the smaller id. With
+    ``once``, rows of one id count as one, at their best score."""
 
-    __slots__ = ("k", "scores", "ids", "floor")
+    __slots__ = ("k", "scores", "ids", "floor", "once")
 
-    def __init__(self, k: int, kind, floor):
-        self.k, self.floor = k, floor
+    def __init__(self, k: int, kind, floor, once: bool = False):
+        self.k, self.floor, self.once = k, floor, once
         self.scores, self.ids = np.empty(0, kind), np.empty(0, np.int64)
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
@@ -44,7 +45,10 @@ class Best:
         if not keep.any():
             return
         scores, ids = np.concatenate([self.scores, scores[keep]]), np.concatenate([self.ids, ids[keep]])
-        order = np.lexsort((ids, -scores))[: self.k]
+        order = np.lexsort((ids, -scores))
+        if self.once:
+            order = order[np.sort(np.unique(ids[order], return_index=True)[1])]
+        order = order[: self.k]
         self.scores, self.ids = scores[order], ids[order]
         if len(order) == self.k:
             self.floor = self.scores[-1]
@@ -60,7 +64,7 @@ def mark(vector: np.ndarray) -> int:
 
 
 def search_cells(
-    rows: DataFrame, cell: list[str], more: list[str], k: int, search: Callable, kind, score_type: str,
+    rows: DataFrame, cell: list[str], more: list[str], k: int, search: Callable, kind, score_type: str, once: bool = False,
 ) -> DataFrame:
     """Run ``search`` in every cell and give ``query_id, mark, id, score`` of each query's best.
 
@@ -109,7 +113,7 @@ def search_cells(
                     continue
                 if pending:
                     queries = tuple(np.concatenate(parts) for parts in zip(*pending))
-                    best = [Best(k, kind, low) for _ in queries[0]]
+                    best = [Best(k, kind, low, once) for _ in queries[0]]
                     pending = []
                 if queries is not None:
                     search(queries, (ids, vectors), best)

@@ -15,7 +15,7 @@ first. The given vectors have next to no structure (see the README for recall by
 Defined cases: rows whose id is null, or whose vector is null, empty, zero, or has a component that is
 null or not finite take no part; a query meets only candidates of its dimension, of which a table may
 have at most 16; rows that repeat an id are found once, at their best score, and not by their own id; a
-repeated id with the same vector is one query; fewer candidates than k give all of them that the probed lists hold;
+repeated id with the same vector is one query; fewer candidates than k give all of them;
 empty tables give no rows; other columns are ignored.
 """
 
@@ -68,7 +68,7 @@ class Index:
         return (self.centroids**2).sum(axis=1) - 2 * points @ self.centroids.T
 
     def sample_best(self, own: int, query: np.ndarray, k: int) -> Best:
-        best = Best(k, np.float64, -np.inf)
+        best = Best(k, np.float64, -np.inf, once=True)
         others = self.ids != own
         best.add(dots(query, self.vectors[others]), self.ids[others])
         return best
@@ -208,7 +208,7 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, lists: int, pro
         F.lit(0.0).alias("bound"),
     )
     scan = scanner(share(spark, index))
-    found = search_cells(left.unionByName(right), ["dim", "list", "part"], ["bound"], k, scan, np.float64, "double")
+    found = search_cells(left.unionByName(right), ["dim", "list", "part"], ["bound"], k, scan, np.float64, "double", once=True)
     return found.unionByName(sample_hits(asked, index, k))
 
 

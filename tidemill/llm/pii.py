@@ -266,7 +266,8 @@ def replace_private(
         attempts = None
     elif n <= most_inline:
         pair = F.struct(_label(F.col("kind"), F.col("name")), F.col("attempt"))
-        attempts = exceptions.agg(F.map_from_entries(F.collect_list(pair))).scalar()
+        rows = docs.withColumn("__attempts", exceptions.agg(F.map_from_entries(F.collect_list(pair))).scalar())
+        attempts = F.col("__attempts")
     else:
         # Too many to send along: each document gets its own.
         own = every.withColumn("name", canonical(F.col("kind"), F.col("value"))).join(exceptions, ["kind", "name"])

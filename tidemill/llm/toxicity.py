@@ -118,9 +118,10 @@ def choose_features(sample: DataFrame, most: int = FEATURES) -> list[tuple[str,
 
 
 def fit_thresholds(
-    rows: list[dict[int, float]], grades: np.ndarray, n_features: int, n_grades: int = GRADES, penalty: float = 0.01, steps: int = 400,
+    rows: list[dict[int, float]], grades: np.ndarray, n_features: int, n_grades: int = GRADES, spread: float = 3.0, steps: int = 400,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and rising thresholds of the cumulative-link model, by gradient steps on the likelihood."""
+    """Weights and rising thresholds of the cumulative-link model, by gradient steps on the likelihood,
+    with a normal prior of deviation ``spread`` on the weights."""
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     column = np.array([i for r in rows for i in r], dtype=np.int64)
     value = np.array([v for r in rows for v in r.values()], dtype=np.float64)
@@ -147,7 +148,7 @@ def fit_thresholds(
         dlimit = dlimit[1:n_grades]
         dgap = np.cumsum(dlimit[::-1])[::-1][1:] * gaps
         gradient = np.concatenate([
-            np.bincount(column, dz[row] * value, n_features) - penalty * p[:n_features] / max(1, n_features) ** 0.5,
+            np.bincount(column, dz[row] * value, n_features) - weight * p[:n_features] / spread**2,
             [dlimit.sum()], dgap,
         ])
         first = 0.9 * first + 0.1 * gradient

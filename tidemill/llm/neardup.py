@@ -1,7 +1,7 @@
 """Near copies by a multi-index Hamming join of MinHash signatures.
 
 A document's set is its distinct shingles of five words. Its signature is ``CHUNKS`` chunks of
-``WIDTH`` MinHash values of 16 bits, and the distance of two signatures is the number of values that
+``WIDTH`` MinHash values of 12 bits, a chunk to a 64-bit number, and the distance of two signatures is the number of values that
 differ. If at most ``CHUNKS * (ERRORS + 1) - 1`` differ (23 of 60), some chunk differs in ``ERRORS``
 values or fewer; so a chunk is entered once for each way to leave ``ERRORS`` values out, and all
 pairs under that distance share an entry. Pairs beyond it are found by chance too: a pair of
@@ -11,8 +11,9 @@ What shares an entry is confirmed on full sets. Entries are never expanded into
 hold one component. Documents of equal sets are one node. In some rounds each node tests the one
 neighbour that a mask picks for an entry, and links are contracted; a crowd of near copies is one
 component after that, at a cost of a test per node and round. Then, in entries that still hold
-several components, every row outside the largest is tested against all rows of other components, so
-no pair is left out.
+several components, every row outside the largest meets all rows of other components, so no pair is
+left out. A pair whose signatures or sizes rule the similarity out does not leave the join, and any
+other leaves it in one entry only, the first that it shares.
 
 Defined cases: a null text, or one without words, has an empty set, and is linked with nothing; with
 fewer than five words the whole sequence is the one shingle; rows with equal texts are in one
@@ -24,11 +25,12 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import table, written
@@ -38,14 +40,16 @@ SHINGLE = 5
 PERCENT = 75
 CHUNKS, WIDTH, ERRORS = 12, 5, 1
 VALUES = CHUNKS * WIDTH
-# Signatures of pairs at the threshold differ in 15 values, with a deviation of 3.35: five deviations more.
-MOST_DIFFERENT = 32
+BITS = 12
+# Signatures of pairs at the threshold differ in 15 values, with a deviation of 3.35; in more than 30
+# with a probability of 8 in a million.
+MOST_DIFFERENT = 30
 ROUNDS = 3
 MOST_SENT = 1 << 20
 
 _random = np.random.default_rng(20)
 _odd = lambda n: _random.integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-PLACES, FACTORS, SHIFTS, KEYS = _odd(SHINGLE), _odd(VALUES), _odd(VALUES), _odd(WIDTH)
+PLACES, FACTORS, SHIFTS = _odd(SHINGLE), _odd(VALUES), _odd(VALUES)
 MASKS = [int(m) for m in _random.integers(-(2**63), 2**63, 8)]
 
 
@@ -70,24 +74,55 @@ def shingle_set(text: str | None) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """``VALUES`` MinHash values of 16 bits."""
+    """``CHUNKS`` numbers of ``WIDTH`` MinHash values each."""
     least = np.full(VALUES, 2**64 - 1, np.uint64)
     for start in range(0, len(shingles), 1024):
         hashed = (shingles[None, start: start + 1024] ^ SHIFTS[:, None]) * FACTORS[:, None]
         np.minimum(least, hashed.min(axis=1), out=least)
-    return (_mixed(least) >> np.uint64(48)).astype(np.uint16)
+    values = (_mixed(least) >> np.uint64(64 - BITS)).reshape(CHUNKS, WIDTH)
+    return (values << _LANES).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+_LANES = np.arange(WIDTH, dtype=np.uint64) * np.uint64(BITS)
 
 
 def entries(signatures: np.ndarray) -> np.ndarray:
     """The entries of signatures (rows): every chunk, with each of its values left out once."""
-    parts = signatures.reshape(-1, CHUNKS, WIDTH).astype(np.uint64) + np.uint64(1)
-    weighted = parts * KEYS
-    whole = weighted.sum(axis=2, dtype=np.uint64)
-    places = (np.arange(CHUNKS * WIDTH, dtype=np.uint64).reshape(CHUNKS, WIDTH) + np.uint64(1)) << np.uint64(40)
-    return _mixed(_mixed(whole[:, :, None] - weighted) + places).reshape(len(signatures), -1)
+    left_out = ~(np.uint64(2**BITS - 1) << _LANES)
+    places = (np.arange(CHUNKS * WIDTH, dtype=np.uint64).reshape(CHUNKS, WIDTH) + np.uint64(1)) << np.uint64(52)
+    chunks = signatures.view(np.uint64)[:, :, None] & left_out
+    return _mixed(_mixed(chunks) + places).reshape(len(signatures), -1)
+
+
+def _differ(chunk: Column) -> Column:
+    """How many values differ in a chunk, given the exclusive or of both."""
+    lanes = [F.shiftright(chunk, BITS * j).bitwiseAND(F.lit(2**BITS - 1)) for j in range(WIDTH)]
+    return reduce(Column.__add__, [F.when(lane != 0, 1).otherwise(0) for lane in lanes])
 
 
-SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sig", pa.binary())])
+def _apart(a: str, b: str, chunk: int | Column) -> Column:
+    return F.get(a, F.lit(chunk) if isinstance(chunk, int) else chunk).bitwiseXOR(F.get(b, F.lit(chunk) if isinstance(chunk, int) else chunk))
+
+
+def _may_link(a: str, b: str) -> Column:
+    """Whether sizes ``n_`` and signatures ``sig_`` of both sides allow the similarity."""
+    sizes = 100 * F.least(f"n_{a}", f"n_{b}") >= PERCENT * F.greatest(f"n_{a}", f"n_{b}")
+    distance = reduce(Column.__add__, [_differ(_apart(f"sig_{a}", f"sig_{b}", c)) for c in range(CHUNKS)])
+    return sizes & (distance <= MOST_DIFFERENT)
+
+
+def _first_shared(a: str, b: str, slot: Column) -> Column:
+    """Whether a shared entry is the first that both sides share.
+
+    No chunk before it may be within the allowed errors. Within the chunk, all entries are shared if no
+    value differs, and else only the one that leaves the differing value out.
+    """
+    chunk, place = F.floor(slot / WIDTH).cast("int"), slot % WIDTH
+    before = [(chunk <= c) | (_differ(_apart(a, b, c)) > ERRORS) for c in range(CHUNKS)]
+    return reduce(Column.__and__, before) & ((place == 0) | (_apart(a, b, chunk) != 0))
+
+
+SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sig", pa.list_(pa.int64()))])
 
 
 def signed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -102,48 +137,40 @@ def signed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -
                     found = shingle_set(content)
                     sizes.append(len(found))
                     nodes.append(xxhash.xxh3_64_intdigest(found.tobytes()) - 2**63 if len(found) else None)
-                    signatures.append(signature(found).tobytes() if len(found) else None)
+                    signatures.append(signature(found) if len(found) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(signatures, pa.binary())],
+                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(signatures, pa.list_(pa.int64()))],
                     schema=SIGNED,
                 )
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("__text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, node long, sig binary")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, node long, sig array<long>")
 
 
 def index_entries(nodes: DataFrame) -> DataFrame:
-    """``entry, node``: the rows of the multi-index."""
+    """``entry, slot, node``: the rows of the multi-index; the slot is the chunk and the value left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 if part.num_rows:
-                    packed = b"".join(part.column(1).to_pylist())
-                    found = entries(np.frombuffer(packed, np.uint16).reshape(-1, VALUES))
+                    found = entries(part.column(1).flatten().to_numpy().reshape(-1, CHUNKS))
                     node = np.repeat(part.column(0).to_numpy(), found.shape[1])
-                    yield pa.RecordBatch.from_arrays([pa.array(found.ravel().view(np.int64)), pa.array(node)], names=["entry", "node"])
+                    slot = np.tile(np.arange(found.shape[1], dtype=np.int32), part.num_rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found.ravel().view(np.int64)), pa.array(slot), pa.array(node)], names=["entry", "slot", "node"]
+                    )
 
-    return nodes.select("node", "sig").mapInArrow(run, "entry long, node long")
+    return nodes.select("node", "sig").mapInArrow(run, "entry long, slot int, node long")
 
 
 def near_enough(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose sizes and signatures allow the similarity, with their sizes and documents."""
+    """The pairs ``a, b`` whose sizes and signatures allow the similarity."""
     for side in "ab":
-        own = nodes.select(*[F.col(c).alias(f"{c}_{side}") for c in ("node", "doc_id", "n", "sig")])
-        pairs = pairs.join(own, pairs[side] == own[f"node_{side}"])
-    pairs = pairs.where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
-
-    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, VALUES) for i in (2, 3))
-                near = (left != right).sum(axis=1) <= MOST_DIFFERENT
-                kept = batch.filter(pa.array(near))
-                yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
-
-    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(differ, "a long, b long")
+        own = nodes.select(*[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "sig")])
+        pairs = pairs.join(own, F.col(side) == F.col(f"node_{side}"))
+    return pairs.where(_may_link("a", "b")).select("a", "b")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -172,7 +199,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs ``a, b`` that are links: 100 * intersection >= 75 * union, on full sets."""
-    pairs = written(near_enough(pairs, nodes), "pairs")
+    pairs = written(pairs, "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = written(ends.join(nodes.select("node", "doc_id"), "node"), "ends")
     # Several rows may have a node's text: one set each.
@@ -208,17 +235,24 @@ def _picked(rows: DataFrame, mask: int) -> DataFrame:
     return chosen.select(F.col("node").alias("a"), masked("__b").alias("b"))
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """Every pair ``a < b`` of nodes that share an entry and are of different components.
+def _across(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Every pair ``a, b`` of nodes that share an entry, are of different components, and may be linked.
 
     One of them is outside the entry's largest component, so only such rows are joined with all.
     """
     counts = rows.groupBy("entry", "component").agg(F.count("*").alias("__n"))
     largest = counts.groupBy("entry").agg(F.max(F.struct("__n", "component")).alias("__top"))
-    outside = rows.join(largest, "entry").where(F.col("component") != F.col("__top.component"))
-    own = outside.select("entry", F.col("node").alias("__a"), F.col("component").alias("__of_a"))
-    pairs = rows.join(own, "entry").where(F.col("component") != F.col("__of_a"))
-    return pairs.select(F.least("node", "__a").alias("a"), F.greatest("node", "__a").alias("b")).distinct()
+    outside = F.col("component") != F.col("__top.component")
+    every = rows.join(largest, "entry").join(nodes.select("node", "n", "sig"), "node")
+    every = every.select("entry", "slot", "node", "component", "n", "sig", outside.alias("outside"))
+    names = [c for c in every.columns if c not in ("entry", "slot")]
+    left = every.where("outside").select("entry", "slot", *[F.col(c).alias(f"{c}_a") for c in names])
+    right = every.select("entry", *[F.col(c).alias(f"{c}_b") for c in names])
+    # Rows outside meet from both sides: once is enough.
+    once = ~F.col("outside_b") | (F.col("node_b") < F.col("node_a"))
+    other = F.col("component_a") != F.col("component_b")
+    kept = other & once & _may_link("a", "b") & _first_shared("sig_a", "sig_b", F.col("slot"))
+    return left.join(right, "entry").where(kept).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
@@ -233,9 +267,10 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds
     index = index_entries(nodes)
     rows = written(_shared(index.withColumn("component", F.col("node"))), "entries")
     names = nodes.select("node", F.col("node").alias("component"))
+    named = nodes.where("doc_id IS NOT NULL")
     for step in range(rounds + 1):
-        pairs = _picked(rows, MASKS[step]) if step < rounds else _across(rows)
-        links = confirmed(pairs, nodes.where("doc_id IS NOT NULL"), docs)
+        pairs = near_enough(_picked(rows, MASKS[step]), named) if step < rounds else _across(rows, named)
+        links = confirmed(pairs, named, docs)
         own = names.select(F.col("node").alias("__node"), F.col("component").alias("__name"))
         for side in "ab":
             links = links.join(own, F.col(side) == F.col("__node")).withColumn(side, F.col("__name")).drop("__node", "__name")

@@ -16,6 +16,7 @@ ignored. A model other than an identity-normalised merge model with byte fallbac
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -126,7 +127,7 @@ class Codec:
             self.automaton.add_word(model.texts[i], i)
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
-        self.words = Recent(lambda word: np.array(self.encode_word(word), dtype="<i4").tobytes())
+        self.words = Recent(lambda word: array("i", self.encode_word(word)).tobytes())
 
     def fits(self, left: int, right: int) -> bool:
         """Whether two tokens stay apart when the characters of both are merged again."""
@@ -155,18 +156,36 @@ class Codec:
         return look
 
     def _encode_known(self, text: str) -> list[int]:
-        """The merge encoding of characters that are all pieces."""
-        starts, lengths, size = self._matches(text), self.lengths, len(text)
-        failed = bytearray(size // 8 + 1)
+        """The merge encoding of characters that are all pieces.
+
+        The longest matches in a row are tried first; from the first one that does not fit its
+        predecessor, shorter matches are tried, and earlier tokens taken back where none fits.
+        """
+        fits, lengths = self.fits, self.lengths
         tokens: list[int] = []
+        at = 0
+        for _, token in self.automaton.iter_long(text):
+            if tokens and not fits(tokens[-1], token):
+                break
+            tokens.append(token)
+            at += lengths[token]
+        if at == len(text):
+            return tokens
+        starts, size = self._matches(text), len(text)
+        failed = bytearray(size // 8 + 1)
         taken: list[int] = []
-        at, choices = 0, starts(0)
-        i = len(choices) - 1
+        begin = 0
+        for token in tokens:
+            taken.append(len(starts(begin)) - 1)
+            begin += lengths[token]
+        # The longest match here is the one that did not fit.
+        choices = starts(at)
+        i = len(choices) - 2
         while True:
             while i >= 0:
                 token = choices[i]
                 end = at + lengths[token]
-                if not failed[end >> 3] >> (end & 7) & 1 and (not tokens or self.fits(tokens[-1], token)):
+                if not failed[end >> 3] >> (end & 7) & 1 and (not tokens or fits(tokens[-1], token)):
                     break
                 i -= 1
             if i >= 0:
@@ -202,13 +221,16 @@ class Codec:
 
     @cached_property
     def surface(self) -> list[bytes]:
-        """The bytes each id stands for."""
+        """The bytes each id stands for. Control ids stand for none, but part the bytes around them: theirs
+        is a byte that no text has, so that joined ids with one are taken apart."""
         out = []
         for text, kind in zip(self.texts, self.model.kinds):
             if kind == BYTE:
                 out.append(bytes([int(text[3:5], 16)]))
+            elif kind == CONTROL:
+                out.append(b"\xff")
             else:
-                out.append({CONTROL: "", UNK: UNKNOWN}.get(kind, text.replace(SPACE, " ")).encode())
+                out.append((UNKNOWN if kind == UNK else text.replace(SPACE, " ")).encode())
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -228,7 +250,7 @@ class Codec:
                 if kinds[i] == BYTE:
                     run += surface[i]
                 else:
-                    parts += [_bytewise(run), surface[i].decode()]
+                    parts += [_bytewise(run), "" if kinds[i] == CONTROL else surface[i].decode()]
                     run = b""
             return "".join([*parts, _bytewise(run)])[skip:]
 

@@ -1,10 +1,14 @@
 """Hot keys: same results as brute force, and no task that gathers a group."""
 
+import bisect
 import random
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators import skew, windows
+from tidemill.operators.vectors import centroid_distances
 
 
 def hot_rows(n=3000, groups=40):
@@ -13,31 +17,53 @@ def hot_rows(n=3000, groups=40):
     return [(i, 0 if i % 3 == 0 else rng.randrange(1, groups), rng.randrange(100)) for i in range(n)]
 
 
-def test_totals_before_matches_brute_force(spark):
+def brute_totals(rows):
+    """For (key, group, value): sums of what comes before in the group, by key."""
+    out, running = {}, {}
+    for key, grp, v in sorted(rows, key=lambda r: (r[0], str(r[1]))):
+        out[grp, key] = running.get(grp, 0)
+        running[grp] = running.get(grp, 0) + v
+    return out
+
+
+@pytest.mark.parametrize("blocks", [1, 7, 64])
+def test_totals_before_matches_brute_force(spark, blocks):
     rows = hot_rows()
     df = spark.createDataFrame(rows, "key long, grp long, v long")
-    got = {(r.grp, r.key): r.before for r in skew.totals_before(df, ["grp"], "key", "v", "before", width=7, levels=2).collect()}
-    running = {}
-    for key, grp, v in rows:
-        assert got[grp, key] == running.get(grp, 0)
-        running[grp] = running.get(grp, 0) + v
-    assert len(got) == len(rows)
+    got = {(r.grp, r.key): r.before for r in skew.totals_before(df, ["grp"], "key", "v", "before", blocks=blocks).collect()}
+    assert got == brute_totals(rows) and len(got) == len(rows)
+
+
+def test_hashed_keys_and_null_groups(spark):
+    rng = random.Random(9)
+    rows = [(rng.randrange(-(2**63), 2**63), None if i % 3 == 0 else i % 5, 1) for i in range(4000)]
+    df = spark.createDataFrame(rows, "key long, grp long, v long")
+    before = skew.totals_before(df, ["grp"], "key", "v", "before", blocks=100)
+    assert {(r.grp, r.key): r.before for r in before.collect()} == brute_totals(rows)
+    # The null group has a third of the rows, and still about a hundredth of all in a block.
+    cuts = df.approxQuantile("key", [i / 100 for i in range(1, 100)], 0.0025)
+    sizes = Counter(bisect.bisect_right(cuts, key) for key, grp, _ in rows if grp is None)
+    assert max(sizes.values()) < 60
 
 
 def test_positions_count_from_zero(spark):
-    df = spark.createDataFrame([(r[0] * 1000, r[1]) for r in hot_rows(600)], "key long, grp long")
-    got = skew.positions(df, ["grp"], "key", width=64, levels=2)
-    per_group = got.groupBy("grp").agg(F.max("position").alias("top"), F.countDistinct("position").alias("n")).collect()
-    assert all(r.top == r.n - 1 for r in per_group)
+    rows = [(r[0] // 4, r[1], r[2]) for r in hot_rows(600)]
+    df = spark.createDataFrame(rows, "key long, grp long, tie long")
+    got = skew.positions(df, ["grp"], "key", "tie", blocks=16).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.grp, []).append((r.position, r.key, r.tie))
+    for placed in by.values():
+        assert [p for p, _, _ in sorted(placed)] == list(range(len(placed)))
+        assert [x[1:] for x in sorted(placed)] == sorted(x[1:] for x in placed)
+    assert skew.positions(df.limit(0), ["grp"], "key").collect() == []
 
 
-def test_heavy_join_equals_join(spark):
-    big = spark.createDataFrame([(r[0], r[1]) for r in hot_rows()], "id long, k long")
-    small = big.groupBy("k").agg(F.count("*").alias("w")).withColumn("name", F.concat(F.lit("n"), F.col("k")))
-    plain = sorted(big.join(small, "k").select("id", "k", "w", "name").collect())
-    for share in (1, 3, 10, 1000):
-        got = skew.heavy_join(big, small, "k", "w", share=share).select("id", "k", "w", "name").collect()
-        assert sorted(got) == plain
+def test_class_distances_read_their_rows_once(spark, small):
+    vectors_ = spark.read.parquet(f"{small}/embeddings.parquet")
+    plan = centroid_distances(vectors_, "label", "embedding")._jdf.queryExecution().executedPlan().toString()
+    # Once for the rows and once for the centroids.
+    assert plan.count("FileScan parquet") == 2
 
 
 def test_long_conversation_is_paged(spark):
@@ -49,11 +75,15 @@ def test_long_conversation_is_paged(spark):
     assert whole == "\n".join(f"Human: m{i}" for i in range(300))
     assert pages[-1].transcript == "System: s\nrobot: r"
 
-    seen = {(r.conv_id, r.turn): r for r in windows.chat_history(messages, page=64).collect()}
+    asked = spark.createDataFrame([(0, 0), (0, 63), (0, 64), (0, 299), (1, 0), (5, 1)], "conv_id long, turn long")
+    seen = {}
+    for r in windows.chat_history(messages, asked).collect():
+        seen.setdefault((r.conv_id, r.asked_turn), []).append((r.position, r.text))
     for turn in (0, 63, 64, 299):
-        row = seen[0, turn]
-        assert row.page * 64 + len(row.history) == turn + 1
-        assert row.history[-1].text == f"m{turn}"
+        assert sorted(seen[0, turn]) == [(i, f"m{i}") for i in range(turn + 1)]
+    assert seen[1, 0] == [(0, "s")] and (5, 1) not in seen
+    lengths = {(r.conv_id, r.turn): r.n_messages for r in windows.history_length(messages).collect()}
+    assert all(lengths[0, i] == i + 1 for i in range(300)) and lengths[1, 1] == 2
 
 
 def test_running_size_over_many_blocks(spark):
@@ -73,14 +103,17 @@ def test_context_budget_keeps_the_best_prefix(spark):
     assert [(r.passage_id, r.used) for r in kept] == [(0, 5), (2, 9)]
 
 
-def test_repeated_turns_are_split_and_whole(spark):
-    rows = [(0, i % 4, "user", f"m{i}") for i in range(1000)] + [(1, 0, "user", "x")]
+def test_repeated_turns_have_the_same_pages(spark):
+    rows = [(0, i % 4, "user", f"m{i:04d}") for i in range(1000)] + [(1, 0, "user", "x")]
     messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    pages = windows.transcript_pages(messages, page=16).collect()
-    assert max(p.n_messages for p in pages) <= 40  # about 16: parts are chosen by hash
-    assert sorted(line for p in pages for line in p.transcript.split("\n")) == sorted(f"Human: {r[3]}" for r in rows)
-    turn_of = {r[3]: r[1] for r in rows if r[0] == 0}
-    ordered = sorted((p for p in pages if p.conv_id == 0), key=lambda p: (p.page, p.part))
-    turns = [turn_of[line.removeprefix("Human: ")] for p in ordered for line in p.transcript.split("\n")]
-    assert turns == sorted(turns)
-    assert max(len(r.history) for r in windows.chat_history(messages, page=16).collect()) <= 40
+    pages = windows.transcript_pages(messages, page=16).orderBy("conv_id", "page").collect()
+    assert [p.n_messages for p in pages] == [16] * 62 + [8, 1]
+    whole = "\n".join(p.transcript for p in pages if p.conv_id == 0)
+    assert whole == "\n".join(f"Human: {r[3]}" for r in sorted(rows[:1000], key=lambda r: (r[1], r[3])))
+
+
+@pytest.mark.parametrize("n", [64, 65, 100, 1000])
+def test_pages_follow_one_rule(spark, n):
+    messages = spark.createDataFrame([(0, i, "user", "t") for i in range(n)], "conv_id long, turn long, role string, text string")
+    sizes = [r.n_messages for r in windows.transcript_pages(messages).orderBy("page").collect()]
+    assert sizes == [64] * (n // 64) + [n % 64] * (n % 64 > 0)

@@ -52,20 +52,6 @@ def test_jdbc_options_split_the_scan():
         files.jdbc_options("jdbc:x:y", "customer", "id", 10, 0, 8)
 
 
-def test_spread_leaves_split_tables_alone(spark, root):
-    spark.range(10).coalesce(1).write.parquet(f"{root}/one")
-    spark.range(1000).repartition(64).write.parquet(f"{root}/many")
-    one, many = spark.read.parquet(f"{root}/one"), spark.read.parquet(f"{root}/many")
-    spread = files.spread(one, "id")
-    assert spread.count() == 10 and "REPARTITION" in spread._jdf.queryExecution().executedPlan().toString()
-    few = spark.conf.get("spark.sql.files.openCostInBytes")
-    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 28))  # one file per split
-    try:
-        assert "REPARTITION" not in files.spread(many, "id")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.files.openCostInBytes", few)
-
-
 def test_table_ddl(spark, database):
     empty = f"{database}.orders"
     tables.create_empty(spark, empty, schemas.ORDERS_BRONZE)

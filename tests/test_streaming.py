@@ -122,3 +122,54 @@ def test_gold_has_one_row_per_author(spark, root, feed):
     medallion.run(spark, layers, root, f"{root}/landing", schemas.ORDERS_RAW, customers, books)
     query = runner.replace_stream(medallion.gold(spark, layers.silver, books), layers.gold, root)
     assert runner.finish(query, spark, layers.gold).count() == 2
+
+
+def test_a_run_that_broke_off_is_resumed(spark, root, database):
+    source = spark.range(5)
+    source.write.parquet(f"{root}/in")
+    table = f"{database}.broken"
+
+    def stream():
+        return stream_files(spark, "parquet", f"{root}/in", source.schema)
+
+    assert runner.finish(runner.append_stream(stream(), table, root), spark, table).count() == 5
+    # As after a crash between making the table and marking it, in a run of an older version.
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES ('{runner.WRITER}')")
+    spark.range(5, 8).write.mode("append").parquet(f"{root}/in")
+    assert sorted(r.id for r in runner.finish(runner.append_stream(stream(), table, root), spark, table).collect()) == list(range(8))
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES ('{runner.WRITER}')")
+    with pytest.raises(ValueError, match="doubled"):
+        runner.append_stream(stream(), table, f"{root}/elsewhere")
+
+
+def test_a_table_has_its_owner_before_the_query_starts(spark, root, database, monkeypatch):
+    source = spark.range(5)
+    source.write.parquet(f"{root}/in")
+    table = f"{database}.owned"
+    stream = stream_files(spark, "parquet", f"{root}/in", source.schema)
+
+    def crash(*_, **__):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError):
+        patched.setattr("pyspark.sql.streaming.DataStreamWriter.toTable", crash)
+        runner.append_stream(stream, table, root)
+    assert spark.catalog.tableExists(table)
+    assert runner.finish(runner.append_stream(stream, table, root), spark, table).count() == 5
+
+
+def test_old_versions_are_retired(spark, root, database):
+    versions = f"{root}/versions"
+    for n in range(5):
+        runner.publish(spark.range(n), f"{database}.v", f"{versions}/{n:010d}")
+        runner.retire(spark, versions, n)
+    fs, path = runner._files(spark, versions)
+    assert sorted(int(s.getPath().getName()) for s in fs.listStatus(path)) == [3, 4]
+    assert spark.table(f"{database}.v").count() == 4
+
+
+def test_more_than_99_batches(spark, root):
+    replay.stage(spark.range(2000), "id", 120, f"{root}/staged")
+    landed = replay.land_next(spark, f"{root}/staged", f"{root}/landing", everything=True)
+    assert landed == list(range(1, 121))
+    assert spark.read.option("recursiveFileLookup", True).parquet(f"{root}/landing").distinct().count() == 2000

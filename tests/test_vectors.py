@@ -230,5 +230,7 @@ def test_confusion_matrix_fills_zeros(spark):
     df = spark.createDataFrame([("a", "a"), ("a", "b"), ("b", None)], "y string, p string")
     got = {r.y: (r.predicted_a, r.predicted_b, r.predicted_c) for r in rel.confusion_matrix(df, "y", "p", ["a", "b", "c"]).collect()}
     assert got == {"a": (1, 1, 0), "b": (0, 0, 0)}
+    other = {r.y: r.predicted_other for r in rel.confusion_matrix(df, "y", "p", ["a"]).collect()}
+    assert other == {"a": 1, "b": 1}
     scores = {r.y: r.accuracy for r in rel.accuracy_by_class(df, "y", "p").collect()}
     assert scores == {"a": 0.5, "b": 0.0}

@@ -16,6 +16,32 @@ def fields(json: Column, **paths: str) -> list[Column]:
     return [parsed[p].alias(name) for name, p in paths.items()]
 
 
+# Python's names of JSON's constants.
+PYTHON_NAMES = {"None": "null", "True": "true", "False": "false"}
+
+
+def python_to_json(literal: Column) -> Column:
+    """A Python literal of dicts, lists, tuples, strings, numbers and constants as JSON.
+
+    Only what is outside of strings is rewritten: constants by name, tuples as arrays. Strings keep
+    their quotes, which :func:`parse_reply` reads.
+    """
+    # Possessive, so that long strings need no backtracking.
+    string = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+\""""
+    inside = F.regexp_extract_all(literal, F.lit(f"({string})"), F.lit(0))
+    outside = F.split(literal, string, -1)
+
+    def plain(code: Column) -> Column:
+        for name, constant in PYTHON_NAMES.items():
+            code = F.regexp_replace(code, rf"\b{name}\b", constant)
+        # A trailing comma ends a tuple of one and may end the others.
+        return F.regexp_replace(F.translate(code, "()", "[]"), r",(\s*[\]}])", "$1")
+
+    parts = F.transform(outside, plain)
+    woven = F.zip_with(F.slice(parts, F.lit(1), F.size(inside)), inside, lambda a, b: F.concat(a, b))
+    return F.concat(F.array_join(woven, ""), F.element_at(parts, -1))
+
+
 def parse_reply(json: Column, schema: str) -> Column:
     """A model's JSON reply; tolerates single quotes and raw line breaks inside strings."""
     return F.from_json(json, schema, {"allowUnquotedControlChars": "true", "allowSingleQuotes": "true"})

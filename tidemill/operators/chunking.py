@@ -67,20 +67,22 @@ def pack(sizes: Column, budget: int) -> Column:
 
     A piece larger than the budget has a group of its own.
     """
+    # Sizes of closed groups; an array is copied when it grows, so once per group and not per piece.
     start = F.struct(
-        F.lit(-1).alias("group"), F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("out")
+        F.lit(0).alias("open"), F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("closed")
     )
 
     def step(state: Column, size: Column) -> Column:
         size = size.cast("long")
-        fits = (state["group"] >= 0) & (state["used"] + size <= budget)
-        group = F.when(fits, state["group"]).otherwise(state["group"] + 1)
-        used = F.when(fits, state["used"] + size).otherwise(size)
-        return F.struct(
-            group.alias("group"), used.alias("used"), F.concat(state["out"], F.array(group)).alias("out")
+        fits = (state["open"] == 0) | (state["used"] + size <= budget)
+        return F.when(
+            fits, F.struct((state["open"] + 1).alias("open"), (state["used"] + size).alias("used"), state["closed"].alias("closed"))
+        ).otherwise(
+            F.struct(F.lit(1).alias("open"), size.alias("used"), F.concat(state["closed"], F.array(state["open"])).alias("closed"))
         )
 
-    return F.aggregate(sizes, start, step, lambda state: state["out"])
+    groups = F.aggregate(sizes, start, step, lambda s: F.when(s["open"] == 0, s["closed"]).otherwise(F.concat(s["closed"], F.array(s["open"]))))
+    return F.flatten(F.transform(groups, lambda n, i: F.array_repeat(i, n)))
 
 
 def stuff(text: Column, separator: str = " ") -> Column:

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import NON_WORD
-from tidemill.operators.skew import heavy_join
 
 
 def text_features(docs: DataFrame, text: str = "text", dims: int = 256) -> PipelineModel:
@@ -80,9 +79,9 @@ def encode_labels(df: DataFrame, label: str, out: str = "encoded") -> DataFrame:
 
     Only the distinct labels are numbered; rows get their code by a join.
     """
-    codes = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("__n"))
-    codes = codes.select(label, "__n", (F.row_number().over(Window.orderBy(label)) - 1).alias(out))
-    return heavy_join(df, codes, label, "__n").drop("__n")
+    codes = df.where(F.col(label).isNotNull()).select(label).distinct()
+    codes = codes.select(label, (F.row_number().over(Window.orderBy(label)) - 1).alias(out))
+    return df.join(codes, label)
 
 
 def train_logistic(train: DataFrame, features: str, label: str, max_iter: int = 50):

@@ -15,13 +15,7 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, measures: list[str])
     """
     a = left.select(F.col(key).alias("__ka"), *[F.col(m).alias(f"{m}_left") for m in measures])
     b = right.select(F.col(key).alias("__kb"), *[F.col(m).alias(f"{m}_right") for m in measures])
-    # A pair of plain columns keeps this a hash/merge join: a null-safe test alone is not allowed
-    # in every full outer plan, an equality on (is null, value or "") is.
-    on = [
-        F.col("__ka").isNull() == F.col("__kb").isNull(),
-        F.coalesce(F.col("__ka").cast("string"), F.lit("")) == F.coalesce(F.col("__kb").cast("string"), F.lit("")),
-    ]
-    both = a.join(b, on, "full_outer")
+    both = a.join(b, F.col("__ka").eqNullSafe(F.col("__kb")), "full_outer")
     out = [F.coalesce("__ka", "__kb").alias(key)]
     for m in measures:
         lhs, rhs = F.coalesce(f"{m}_left", F.lit(0)), F.coalesce(f"{m}_right", F.lit(0))

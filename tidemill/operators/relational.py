@@ -15,8 +15,11 @@ def underscore_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.replace(" ", "_") for c in df.columns])
 
 
-def in_years(column: str, years: Iterable[int]) -> Column:
-    """``year(column) IN years`` as date ranges, which parquet can skip row groups by."""
+def in_years(column: str, years: Iterable[int], kind: str = "timestamp_ntz") -> Column:
+    """``year(column) IN years`` as date ranges, which parquet can skip row groups by.
+
+    ``kind`` is the column's type: ``date``, ``timestamp`` or ``timestamp_ntz``.
+    """
     wanted = sorted(set(years))
     if not wanted:
         return F.lit(False)
@@ -28,8 +31,8 @@ def in_years(column: str, years: Iterable[int]) -> Column:
             runs.append([year, year + 1])
     # Literals of the column's own type: a plain date would put a cast around the column.
     ranges = [
-        (F.col(column) >= F.expr(f"timestamp_ntz'{date(a, 1, 1)}'"))
-        & (F.col(column) < F.expr(f"timestamp_ntz'{date(b, 1, 1)}'"))
+        (F.col(column) >= F.expr(f"{kind}'{date(a, 1, 1)}'"))
+        & (F.col(column) < F.expr(f"{kind}'{date(b, 1, 1)}'"))
         for a, b in runs
     ]
     return reduce(Column.__or__, ranges)
@@ -62,8 +65,8 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def mode_per_group(df: DataFrame, group: str, value: str) -> DataFrame:
     """Most frequent value per group; on a tie the smallest.
 
-    Counts first, so a hot group shuffles one row per distinct value, and the pick is a ``min``
-    that combines map-side.
+    Counts first, so a hot group shuffles one row per distinct value. The pick is a ``min`` of structs,
+    which Spark combines map-side after sorting the counts.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("__n"))
     best = F.min(F.struct((-F.col("__n")).alias("neg"), F.col(value).alias("value")))
@@ -81,11 +84,14 @@ def accuracy_by_class(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, actual: str, predicted: str, classes: Sequence) -> DataFrame:
-    """One row per actual class, one column per class of ``classes``, absent pairs 0."""
-    counts = df.groupBy(actual).pivot(predicted, list(classes)).agg(F.count(F.lit(1)))
-    return counts.select(
-        actual, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(f"predicted_{c}") for c in classes]
-    )
+    """One row per actual class, one column per class of ``classes``, absent pairs 0.
+
+    ``predicted_other`` counts predictions outside ``classes`` and missing ones, so rows add up to
+    the size of the class.
+    """
+    hits = [F.count(F.when(F.col(predicted) == F.lit(c), 1)).alias(f"predicted_{c}") for c in classes]
+    known = F.coalesce(F.col(predicted).isin(list(classes)), F.lit(False))
+    return df.groupBy(actual).agg(*hits, F.count(F.when(~known, 1)).alias("predicted_other"))
 
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
@@ -98,7 +104,7 @@ def union_all(*frames: DataFrame) -> DataFrame:
 
 
 def first_per_group(df: DataFrame, group: str, *order: str) -> DataFrame:
-    """First row of each group by ``order``, picked by a map-side combining ``min``."""
+    """First row of each group by ``order``: a ``min`` of structs, combined map-side after a sort there."""
     rest = [c for c in df.columns if c != group and c not in order]
     row = F.struct(*order, *rest)
     return df.groupBy(group).agg(F.min(row).alias("__first")).select(group, "__first.*")

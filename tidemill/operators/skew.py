@@ -1,59 +1,44 @@
-"""Joins and running totals that stay parallel when one key holds a large share of the rows."""
+"""Running totals that stay parallel when one key holds a large share of the rows."""
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def heavy_join(big: DataFrame, small: DataFrame, on: str, weight: str, share: int = 1000) -> DataFrame:
-    """Inner join of ``big`` with one row per key in ``small``, safe against hot keys.
-
-    ``small[weight]`` is the number of rows of ``big`` with that key. Keys with at least a
-    ``1/share`` part of all rows number at most ``share``, whatever the data: that part of
-    ``small`` is broadcast and its rows of ``big`` are never shuffled. The remaining keys are all
-    light and join by an ordinary shuffle.
-    """
-    total = small.agg(F.sum(weight)).scalar()
-    is_heavy = F.col(weight) * F.lit(share) >= total
-    heavy = F.broadcast(small.where(is_heavy))
-    light = small.where(~is_heavy)
-    return (
-        big.join(heavy, on, "inner")
-        .unionByName(big.join(heavy.select(on), on, "left_anti").join(light, on, "inner"))
-    )
+BLOCKS = 1024
 
 
 def totals_before(
-    sums: DataFrame, group: list[str], key: str, value: str, out: str, width: int = 4096, levels: int = 2
+    rows: DataFrame, group: list[str], key: str, value: str, out: str, ties: tuple[str, ...] = (), blocks: int = BLOCKS
 ) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over rows of the group with a smaller ``key``.
+    """Add ``out``: the sum of ``value`` over rows of the group that come before, by ``key`` and ``ties``.
 
-    ``sums`` has one row per (group, integer ``key`` >= 0); group columns are not null. Keys are
-    cut in blocks of ``width``: a window runs inside each block, and what lies before the block is
-    found the same way on one row per block. So a window holds at most ``width`` rows below the
-    top level, where a group with 10**10 consecutive keys has 600 rows left.
-    """
-    if levels == 0:
-        whole = Window.partitionBy(*group).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-        return sums.select("*", F.coalesce(F.sum(value).over(whole), F.lit(0)).alias(out))
-    block, inside, before = f"__block{levels}", f"__inside{levels}", f"__before{levels}"
-    blocked = sums.withColumn(block, F.floor(F.col(key) / F.lit(width)).cast("long"))
-    frame = Window.partitionBy(*group, block).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    per_block = blocked.groupBy(*group, block).agg(F.sum(value).alias("__v"))
-    offsets = totals_before(per_block, group, block, "__v", before, width, levels - 1).drop("__v")
-    return (
-        blocked.select("*", F.coalesce(F.sum(value).over(frame), F.lit(0)).alias(inside))
-        # Same partitioning as the window: the rows are not shuffled a second time.
-        .join(offsets, [*group, block])
-        .select(*sums.columns, (F.col(inside) + F.col(before)).alias(out))
-    )
-
-
-def positions(df: DataFrame, group: list[str], key: str, out: str = "position", **kwargs: int) -> DataFrame:
-    """0-based position of each row in its group, ordered by a non-negative integer ``key``.
-
-    The key is unique within its group.
+    Keys are numbers of any kind, dense, sparse or hashed, and null ones come first; null groups are
+    groups. The key's range is cut at ``blocks`` approximate quantiles of all rows, so a group has at most
+    some ``rows / blocks`` rows in a block, however large its share, unless they have one key. A window
+    runs in each block of a group, another over the group's block totals.
     """
+    share = [i / blocks for i in range(1, blocks)]
+    cuts = sorted(set(rows.approxQuantile(key, share, 0.25 / blocks))) if share else []
+    place, number = f"__place_{out}", f"__block_{out}"
+    cut = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol=place, outputCol=number, handleInvalid="keep")
+    # A struct of the group's columns is never null, and null fields are equal.
+    whose = F.struct(*group) if group else F.struct(F.lit(0))
+    numbered = rows.select("*", whose.alias("__whose"), F.coalesce(F.col(key).cast("double"), F.lit(-math.inf)).alias(place))
+    numbered = cut.transform(numbered) if cuts else numbered.withColumn(number, F.lit(0.0))
+    frame = Window.partitionBy("__whose", number).orderBy(F.asc_nulls_first(key), *ties).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("__whose").orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
+    totals = numbered.groupBy("__whose", number).agg(F.sum(value).alias("__total"))
+    before = totals.select("__whose", number, F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__before"))
+    inside = numbered.select("*", F.coalesce(F.sum(value).over(frame), F.lit(0)).alias("__inside"))
+    # Same partitioning as the window: the rows are not shuffled a second time.
+    return inside.join(before, ["__whose", number]).select(*rows.columns, (F.col("__inside") + F.col("__before")).alias(out))
+
+
+def positions(df: DataFrame, group: list[str], key: str, *ties: str, out: str = "position", blocks: int = BLOCKS) -> DataFrame:
+    """0-based position of each row in its group, ordered by a number ``key`` and then by ``ties``."""
     ones = df.select("*", F.lit(1).cast("long").alias("__one"))
-    return totals_before(ones, group, key, "__one", out, **kwargs).drop("__one")
+    return totals_before(ones, group, key, "__one", out, ties, blocks).drop("__one")

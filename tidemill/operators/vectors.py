@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.vector_math import dot, euclidean
-from tidemill.operators.skew import heavy_join
 
 MAX_RESULTS = 100
 MAX_QUERIES = 1000
@@ -37,8 +36,12 @@ def centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
 
 
 def centroid_distances(df: DataFrame, label: str, vector: str) -> DataFrame:
-    """Each row's distance to the centroid of its own class."""
-    joined = heavy_join(df, centroids(df, label, vector), label, "class_size")
+    """Each row's distance to the centroid of its own class.
+
+    A plain join: rows are read once for it, and adaptive execution sends the centroids to all rows
+    where they are few, or splits a hot class where they are many.
+    """
+    joined = df.join(centroids(df, label, vector), label)
     return joined.select(*df.columns, euclidean(F.col(vector), F.col("centroid")).alias("distance"))
 
 

@@ -1,9 +1,9 @@
 """Order-dependent operators on conversations: history, running size, pages, caps.
 
-A message has a conversation and an integer turn. A conversation may be arbitrarily long, so
-nothing here gathers a whole one: messages are grouped in pages of ``page`` turns. Where a log
-repeats turns and a page would hold more messages than that, it is split in parts. A page, or a
-part of one, is what one row may hold; (page, part, turn) keeps the order of turns.
+A message has a conversation and an integer turn; its place is by turn, role and text. A conversation
+may be arbitrarily long, so nothing here gathers a whole one in a row: page ``p`` of a conversation
+holds the messages at places ``64 p`` to ``64 p + 63``, whatever the conversation's size, and history is
+one row per message.
 """
 
 from __future__ import annotations
@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.functions.text import word_bucket
-from tidemill.operators.skew import totals_before
+from tidemill.operators.skew import positions, totals_before
 
 PAGE = 64
 
@@ -20,34 +19,37 @@ PAGE = 64
 SPEAKERS = {"system": "System", "user": "Human", "assistant": "AI Assistant"}
 
 
+def placed(messages: DataFrame) -> DataFrame:
+    """Add ``position``, the 0-based place of a message in its conversation."""
+    return positions(messages, ["conv_id"], "turn", "role", "text")
+
+
 def paged(messages: DataFrame, page: int = PAGE) -> DataFrame:
-    """Add ``page`` and ``part``; part 0 everywhere when (conversation, turn) is a key.
+    """Add ``position`` and ``page``; the messages before a page number ``page * 64``."""
+    return placed(messages).withColumn("page", F.floor(F.col("position") / F.lit(page)).cast("long"))
+
+
+def chat_history(messages: DataFrame, asked: DataFrame) -> DataFrame:
+    """The whole history that goes with each asked (``conv_id, turn``), that turn included.
 
-    A page with more than ``page`` messages has parts by turn and, within a turn, by a hash of the
-    text, in about equal numbers. Only the keys are counted to find such pages, usually none.
+    One row per message: ``conv_id, asked_turn, position, role, text``.
     """
-    number = F.floor(F.col("turn") / F.lit(page)).cast("long").alias("page")
-    crowded = messages.groupBy("conv_id", number).agg(F.count("*").alias("__n")).where(F.col("__n") > page)
-    slices = F.ceil(F.col("__n") / F.lit(page)).cast("long")
-    part = 1 + F.pmod(F.col("turn"), F.lit(page)) * slices + F.pmod(word_bucket(F.col("text")), slices)
-    return messages.select("*", number).join(crowded, ["conv_id", "page"], "left").select(
-        *messages.columns, "page", F.when(F.col("__n").isNull(), F.lit(0)).otherwise(part).cast("long").alias("part")
+    wanted = asked.select("conv_id", F.col("turn").alias("asked_turn")).distinct()
+    said = placed(messages.select("conv_id", "turn", "role", "text"))
+    return said.join(wanted, "conv_id").where(F.col("turn") <= F.col("asked_turn")).select(
+        "conv_id", "asked_turn", "position", "role", "text"
     )
 
 
-def chat_history(messages: DataFrame, page: int = PAGE) -> DataFrame:
-    """The history visible at each turn, the turn included.
+def last_turns(messages: DataFrame) -> DataFrame:
+    return messages.groupBy("conv_id").agg(F.max("turn").alias("turn"))
 
-    ``history`` holds the messages of the turn's own page (and part) up to the turn; everything on
-    earlier ones comes before it (see :func:`transcript_pages`). A conversation of at most ``page``
-    turns has one page, so there ``history`` is the complete list.
-    """
-    frame = Window.partitionBy("conv_id", "page", "part").orderBy("turn", "role", "text").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return paged(messages, page).select(
-        "conv_id", "turn", "page", "part",
-        F.collect_list(F.struct("turn", "role", "text")).over(frame).alias("history"),
+
+def history_length(messages: DataFrame) -> DataFrame:
+    """``n_messages`` of the history at each turn, the turn included."""
+    per_turn = messages.groupBy("conv_id", "turn").agg(F.count("*").alias("n"))
+    return totals_before(per_turn, ["conv_id"], "turn", "n", "before").select(
+        "conv_id", "turn", (F.col("before") + F.col("n")).alias("n_messages")
     )
 
 
@@ -76,22 +78,22 @@ def speaker(role: Column) -> Column:
 
 
 def transcript_pages(messages: DataFrame, page: int = PAGE) -> DataFrame:
-    """``Speaker: text`` lines in turn order, one row per page (and part) of a conversation.
+    """``Speaker: text`` lines in turn order, one row per page of a conversation.
 
     The pages of a conversation, in order, joined by a newline, are its transcript.
     """
     lines = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
     said = F.transform(lines, lambda m: F.concat(speaker(m["role"]), F.lit(": "), m["text"]))
-    return paged(messages, page).groupBy("conv_id", "page", "part").agg(
+    return paged(messages, page).groupBy("conv_id", "page").agg(
         F.count("*").alias("n_messages"), F.array_join(said, "\n").alias("transcript")
     )
 
 
 def history_json(messages: DataFrame, page: int = PAGE) -> DataFrame:
-    """Messages as a JSON array of ``{role, content}``, one row per page (and part)."""
+    """Messages as a JSON array of ``{role, content}``, one row per page."""
     items = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
     plain = F.transform(items, lambda m: F.struct(m["role"].alias("role"), m["text"].alias("content")))
-    return paged(messages, page).groupBy("conv_id", "page", "part").agg(F.to_json(plain).alias("messages"))
+    return paged(messages, page).groupBy("conv_id", "page").agg(F.to_json(plain).alias("messages"))
 
 
 def usage_totals(messages: DataFrame, size: Column) -> DataFrame:

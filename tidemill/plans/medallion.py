@@ -1,8 +1,8 @@
 """Bronze, silver and gold as batch functions; the streams run the same ones.
 
-An order record carries its books as ``array<struct<…>>``. An order of any size may arrive: one
-with more than ``packet`` books comes as several records, ``packet`` 0 holding its first book, so
-no row grows with the data.
+An order record carries its books as ``array<struct<…>>``. An order of any size may arrive: record
+``packet`` p of an order has its books at places ``1000 p`` to ``1000 p + 999``, by the same rule for
+every order, so packet 0 starts with the first book and no row grows with the data.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.jsonx import fields
 from tidemill.functions.vector_math import epoch_text
+from tidemill.operators.skew import positions
 
 PACKET = 1000
 
@@ -19,21 +20,16 @@ PACKET = 1000
 def nest_books(orders: DataFrame, items: DataFrame, packet: int = PACKET) -> DataFrame:
     """Order records with their items as the ordered array ``books``; no items, empty array.
 
-    ``orders`` and ``items`` share ``order_id``; items are sorted by their columns, left to right.
+    ``orders`` and ``items`` share ``order_id``; items are sorted by their columns, left to right, the
+    first of which is a number.
     """
-    books = items.select("order_id", F.struct(*[c for c in items.columns if c != "order_id"]).alias("book"))
-    # Counting needs one column; the first book is looked up for oversize orders alone.
-    oversize = items.groupBy("order_id").agg(F.count("*").alias("__n")).where(F.col("__n") > packet)
-    firsts = books.join(oversize, "order_id").groupBy("order_id", "__n").agg(F.min("book").alias("__first"))
-    packets = F.ceil(F.col("__n") / F.lit(packet)).cast("long")
-    number = (
-        F.when(F.col("__n").isNull() | (F.col("book") == F.col("__first")), F.lit(0))
-        .otherwise(1 + F.pmod(F.xxhash64("book"), packets))
-        .cast("long")
-    )
+    first, *ties = [c for c in items.columns if c != "order_id"]
+    placed = positions(items, ["order_id"], first, *ties)
     nested = (
-        books.join(firsts, "order_id", "left")
-        .select("order_id", "book", number.alias("packet"))
+        placed.select(
+            "order_id", F.struct(first, *ties).alias("book"),
+            F.floor(F.col("position") / F.lit(packet)).cast("long").alias("packet"),
+        )
         .groupBy("order_id", "packet")
         .agg(F.sort_array(F.collect_list("book")).alias("books"))
     )

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import chunking, corpus
 from tidemill.plans.registry import Tables, query
-from tidemill.sources.files import spread
 
 PIECE = 200
 
@@ -28,7 +27,7 @@ def corpora(t: Tables) -> DataFrame:
 def documents(t: Tables) -> DataFrame:
     title = F.concat(F.lit("doc "), F.col("doc_id").cast("string"))
     parent = corpus.resource_name("corpora", F.col("source"))
-    docs = spread(t.documents.select("doc_id", "source", "lang", "n_chars", "text"), "doc_id")
+    docs = t.documents.select("doc_id", "source", "lang", "n_chars", "text")
     return docs.select(
         "doc_id",
         corpus.resource_name("documents", title, F.col("text"), parent=parent).alias("name"),
@@ -69,7 +68,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("html_passages")
 def _(t: Tables) -> DataFrame:
-    passages = corpus.page_passages(spread(t.pages.select("page_id", "html"), "page_id"), max_words=200, merge=True)
+    passages = corpus.page_passages(t.pages.select("page_id", "html"), max_words=200, merge=True)
     tagged = corpus.with_chunk_metadata(
         passages, F.array(F.lit("page"), F.lit("crawl")), "greedily_aggregate_sibling_nodes", F.lit(20240101)
     )
@@ -83,7 +82,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("html_passages_flat")
 def _(t: Tables) -> DataFrame:
-    return corpus.page_passages(spread(t.pages.select("page_id", "html"), "page_id"), max_words=100, merge=False)
+    return corpus.page_passages(t.pages.select("page_id", "html"), max_words=100, merge=False)
 
 
 @query("build_corpus", f"WITH {NAMES_SQL} SELECT doc_id, corpus, corpus || '/' || doc AS name FROM named")

@@ -198,6 +198,19 @@ def sales_by_type(t: Tables) -> DataFrame:
     return as_double(sales.by_category(shop.sale_lines(t), shop.sale_items(t)), "total_sales")
 
 
+@query(
+    "sales_price_x_quantity",
+    """SELECT p_type AS category, sum(p_retailprice::DECIMAL(18,2) * l_quantity::DECIMAL(18,2))::DOUBLE AS total_sales
+       FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""",
+)
+def _(t: Tables) -> DataFrame:
+    """Unit price times quantity: quantities are summed per item before prices are joined."""
+    per_item = t.lineitem.groupBy("l_partkey").agg(F.sum(money("l_quantity")).alias("quantity"))
+    sold = per_item.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    total = F.sum(money("p_retailprice") * F.col("quantity")).cast("double")
+    return sold.groupBy(F.col("p_type").alias("category")).agg(total.alias("total_sales"))
+
+
 @query("top5_types", f"SELECT * FROM ({BY_TYPE}) ORDER BY total_sales DESC, category LIMIT 5")
 def _(t: Tables) -> DataFrame:
     return rel.top_k(sales_by_type(t), 5, F.desc("total_sales"), F.asc("category"))

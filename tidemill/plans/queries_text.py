@@ -12,21 +12,20 @@ from tidemill.functions.vector_math import dot, epoch_text
 from tidemill.operators import chunking, learning, relational as rel, windows
 from tidemill.plans.registry import Tables, as_double, query
 from tidemill.schemas import REPLY_WITH_PARTS
-from tidemill.sources.files import rescue_json, spread
+from tidemill.sources.files import rescue_json
 
 EMAIL_SQL = r"regexp_replace(text, '[\w\.-]+@[\w\.-]+', '', 'g')"
 CLEAN_SQL = rf"replace(replace(regexp_replace({EMAIL_SQL}, '\([^()]*\)', '', 'g'), 'From: ', ''), chr(10) || 'Subject: ', '')"
 TOKENS_SQL = r"len(regexp_extract_all(text, '\S+'))"
 WORDS_SQL = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
-PAGED_SQL = """
-    sized AS (SELECT *, turn // 64 AS page, count(*) OVER (PARTITION BY conv_id, turn // 64) AS n FROM conversations),
-    paged AS (SELECT conv_id, turn, role, text, page, CASE WHEN n <= 64 THEN 0 ELSE 1 + (turn % 64) * ((n + 63) // 64)
-                     + ('0x' || substr(md5(text), 1, 5))::BIGINT % ((n + 63) // 64) END::BIGINT AS part FROM sized)"""
+PLACED_SQL = """placed AS (SELECT conv_id, turn, role, text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS position FROM conversations)"""
+PAGED_SQL = PLACED_SQL + ", paged AS (SELECT *, position // 64 AS page FROM placed)"
 SPEAKER_SQL = "CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'Human' WHEN 'assistant' THEN 'AI Assistant' ELSE role END"
 
 
 def texts(t: Tables) -> DataFrame:
-    return spread(t.documents.select("doc_id", "text"), "doc_id")
+    return t.documents.select("doc_id", "text")
 
 
 @query("clean_text", f"SELECT doc_id, {CLEAN_SQL} AS text FROM documents")
@@ -89,23 +88,23 @@ def _reply_json(t: Tables) -> DataFrame:
     parts = F.transform(
         F.sort_array(F.collect_list(message)), lambda p: F.struct(p["sub_header"], p["code"], p["explanation"])
     )
-    paged = windows.paged(t.conversations).groupBy("conv_id", "page", "part").agg(parts.alias("parts"))
+    paged = windows.paged(t.conversations).groupBy("conv_id", "page").agg(parts.alias("parts"))
     reply = F.struct(F.lit("Talk").alias("summary"), F.size("parts").alias("number_of_parts"), "parts")
-    return paged.select("conv_id", "page", "part", F.to_json(reply).alias("reply"))
+    return paged.select("conv_id", "page", F.to_json(reply).alias("reply"))
 
 
 @query(
     "assemble_parts",
-    rf"""WITH {PAGED_SQL} SELECT conv_id, page, part, '# Talk' || chr(10) || string_agg(
+    rf"""WITH {PAGED_SQL} SELECT conv_id, page, '# Talk' || chr(10) || string_agg(
             chr(10) || '## ' || role || chr(10) || 'as said' || chr(10) || text || chr(10), '' ORDER BY turn, role, text)
             || chr(10) || 'End' AS document
-        FROM paged GROUP BY 1, 2, 3""",
+        FROM paged GROUP BY 1, 2""",
 )
 def _(t: Tables) -> DataFrame:
     reply = jsonx.parse_reply(F.col("reply"), REPLY_WITH_PARTS)
-    parsed = _reply_json(t).select("conv_id", "page", "part", reply.alias("r"))
+    parsed = _reply_json(t).select("conv_id", "page", reply.alias("r"))
     return parsed.select(
-        "conv_id", "page", "part", tx.join_parts(F.col("r.summary"), F.col("r.parts"), F.lit("End")).alias("document")
+        "conv_id", "page", tx.join_parts(F.col("r.summary"), F.col("r.parts"), F.lit("End")).alias("document")
     )
 
 
@@ -185,6 +184,20 @@ def _(t: Tables) -> DataFrame:
     return checked.select("event_id", F.concat_ws("; ", "errors").alias("errors"), "valid")
 
 
+@query("python_literal", "SELECT event_id, props->>'$.k' AS k, NULL::VARCHAR AS missing, event_id % 2 = 0 AS even FROM events")
+def _(t: Tables) -> DataFrame:
+    """Records as Python prints them: constants by name, tuples, quotes of either kind."""
+    k = F.get_json_object("props", "$.k")
+    literal = F.format_string(
+        "{'k': '%s', 'note': \"None, it's (True)\", 'missing': None, 'even': %s, 'pair': (%d, 2,)}",
+        k, F.when(F.col("event_id") % 2 == 0, "True").otherwise("False"), "event_id",
+    )
+    parsed = jsonx.parse_reply(jsonx.python_to_json(literal), "k string, note string, missing string, even boolean, pair array<long>")
+    rows = t.events.select("event_id", parsed.alias("r"))
+    intact = (F.col("r.note") == "None, it's (True)") & (F.col("r.pair")[0] == F.col("event_id"))
+    return rows.where(intact).select("event_id", "r.k", "r.missing", "r.even")
+
+
 @query(
     "rescue_json",
     """SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS value,
@@ -217,16 +230,19 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "chat_history",
-    f"""WITH {PAGED_SQL} SELECT conv_id, turn, page, part, string_agg(role || ': ' || text, chr(10)) OVER w AS history,
-               count(*) OVER w AS n_messages
-        FROM paged WINDOW w AS (PARTITION BY conv_id, page, part ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)""",
+    f"""WITH {PLACED_SQL}, last AS (SELECT conv_id, max(turn) AS asked_turn FROM conversations GROUP BY 1)
+        SELECT conv_id, asked_turn, position, role, text FROM placed JOIN last USING (conv_id)""",
 )
 def _(t: Tables) -> DataFrame:
-    seen = windows.chat_history(t.conversations)
-    line = F.transform("history", lambda m: F.concat(m["role"], F.lit(": "), m["text"]))
-    return seen.select(
-        "conv_id", "turn", "page", "part", F.array_join(line, "\n").alias("history"), F.size("history").cast("long").alias("n_messages")
-    )
+    return windows.chat_history(t.conversations, windows.last_turns(t.conversations))
+
+
+@query(
+    "history_length",
+    """SELECT DISTINCT conv_id, turn, count(*) OVER (PARTITION BY conv_id ORDER BY turn) AS n_messages FROM conversations""",
+)
+def _(t: Tables) -> DataFrame:
+    return windows.history_length(t.conversations)
 
 
 @query(
@@ -261,9 +277,9 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "render_transcript",
-    f"""WITH {PAGED_SQL} SELECT conv_id, page, part, count(*) AS n_messages,
+    f"""WITH {PAGED_SQL} SELECT conv_id, page, count(*) AS n_messages,
                string_agg({SPEAKER_SQL} || ': ' || text, chr(10) ORDER BY turn, role, text) AS transcript
-        FROM paged GROUP BY 1, 2, 3""",
+        FROM paged GROUP BY 1, 2""",
 )
 def _(t: Tables) -> DataFrame:
     return windows.transcript_pages(t.conversations)
@@ -271,9 +287,9 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "history_json",
-    "WITH " + PAGED_SQL + """ SELECT conv_id, page, part,
+    "WITH " + PAGED_SQL + """ SELECT conv_id, page,
               to_json(list({'role': role, 'content': text} ORDER BY turn, role, text))::VARCHAR AS messages
-       FROM paged GROUP BY 1, 2, 3""",
+       FROM paged GROUP BY 1, 2""",
 )
 def _(t: Tables) -> DataFrame:
     return windows.history_json(t.conversations)
@@ -385,7 +401,7 @@ def _detected(t: Tables) -> DataFrame:
     named: Column = F.col("lang")
     for code, name in CODES.items():
         named = F.when(F.col("lang") == code, F.lit(name)).otherwise(named)
-    docs = spread(t.documents.select("doc_id", "lang", "text"), "doc_id")
+    docs = t.documents.select("doc_id", "lang", "text")
     return chunking.with_language(docs, out="detected").select("doc_id", named.alias("actual"), "detected")
 
 
@@ -407,7 +423,8 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "confusion_matrix",
-    f"""SELECT actual, {", ".join(f"count(*) FILTER (detected = '{n}') AS predicted_{n}" for n in sorted(CODES.values()))}
+    f"""SELECT actual, {", ".join(f"count(*) FILTER (detected = '{n}') AS predicted_{n}" for n in sorted(CODES.values()))},
+               count(*) FILTER (detected IS NULL OR detected NOT IN ({", ".join(f"'{n}'" for n in sorted(CODES.values()))})) AS predicted_other
         FROM (SELECT {NAMED_SQL} AS actual, detected FROM ({LANGUAGE_SQL})) GROUP BY 1""",
 )
 def _(t: Tables) -> DataFrame:
@@ -432,7 +449,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("embed_text")
 def _(t: Tables) -> DataFrame:
-    docs = spread(t.documents.select("doc_id", "lang", "text"), "doc_id")
+    docs = t.documents.select("doc_id", "lang", "text")
     vectors = learning.embed_text(learning.text_features(docs), docs, "doc_id", "lang")
     values = vector_to_array("features")
     return vectors.select("doc_id", "lang", F.round(F.array_max(values), 6).alias("peak"), F.size(values).alias("dim"))
@@ -453,12 +470,16 @@ def _(t: Tables) -> DataFrame:
     return both.select("conv_id", "turn", F.round(similarity, 6).alias("similarity"))
 
 
+QUALITY_SAMPLE = 10_000
+
+
 @query("classify_quality")
 def _(t: Tables) -> DataFrame:
-    labelled = texts(t).join(t.labels, "doc_id")
-    features = learning.embed_text(learning.text_features(labelled), labelled, "doc_id", "quality")
-    model = learning.train_logistic(features, "features", "quality", max_iter=20)
+    """Every document's label, by a model of at most ``QUALITY_SAMPLE`` labelled rows, chosen by a hash."""
+    features = learning.text_features(t.documents.select("text"), dims=1024)
+    chosen = t.labels.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id").limit(QUALITY_SAMPLE)
+    train = learning.embed_text(features, t.documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "doc_id", "quality")
+    model = learning.train_logistic(train, "features", "quality", max_iter=20)
     label = F.when(F.col("prediction") == 1, "positive").otherwise("negative")
-    return model.transform(features).select(
-        "doc_id", "quality", F.to_json(F.struct(label.alias("sentiment"))).alias("reply")
-    )
+    scored = model.transform(learning.embed_text(features, texts(t), "doc_id"))
+    return scored.select("doc_id", F.to_json(F.struct(label.alias("sentiment"))).alias("reply"))

@@ -12,16 +12,6 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | str | No
     return reader.parquet(path)
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Rows of a plain file scan over all cores, by a hash of ``key``, for CPU-bound work.
-
-    Only for a table with fewer splits than cores, such as one file that cannot be split; a table
-    with more is returned as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def scan_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """JSON lines; without a schema Spark reads the files once more to infer one."""
     reader = spark.read.schema(schema) if schema is not None else spark.read

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def stage(df: DataFrame, key: str, n: int, staged: str) -> None:
     """Split ``df`` in ``n`` batches by a hash of ``key`` and write them below ``staged``."""
-    number = F.lpad((1 + F.pmod(F.xxhash64(key), F.lit(n))).cast("string"), 2, "0")
+    number = F.format_string("%02d", 1 + F.pmod(F.xxhash64(key), F.lit(n)))
     df.withColumn("batch", number).write.partitionBy("batch").parquet(staged)
 
 

@@ -1,7 +1,7 @@
 """Severity of toxic language by cumulative-link ordinal regression on sparse text features.
 
 Features are words, and word beginnings of four and five letters. A sample of labelled rows, at most
-``SAMPLE`` of each label, chooses at most ``FEATURES`` of them, those that toxic texts have most
+``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN``, chooses at most ``FEATURES`` of them, those that toxic texts have most
 significantly more often, and fits one weight per feature and one threshold per grade:
 ``P(grade > j) = sigmoid(w . x - threshold_j)``, with the same weights for all thresholds. Grade 0 is
 clean; toxic rows of the sample are graded 1 to ``GRADES - 1`` by the number of their words that
@@ -31,10 +31,10 @@ from pyspark.sql import types as T
 from tidemill.llm.common import remembered, share, shared, table, written
 from tidemill.llm.pieces import Recent
 
-SAMPLE = 4000
+SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 16000
 FEATURES = 4096
 GRADES = 4
-LEAST_G = 15.0
+LEAST_G = 20.0
 TELLING = 20.0
 BEGINNINGS = (4, 5)
 WORDS = re.compile(r"[^\W\d_]+")
@@ -76,16 +76,20 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds - total, -500, 500)))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, size: int = SAMPLE) -> DataFrame:
-    """``doc_id, text, toxic`` of at most ``size`` rows of each label, chosen by a hash of the id."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
+    """``doc_id, text, toxic`` of a bounded number of rows of each label, chosen by a hash of the id.
+
+    Clean rows are more, so that a word of a few toxic rows by chance is seen in clean ones too.
+    """
     marked = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(key).cast("long").alias("doc_id"))
     marked = marked.agg(F.max(F.col(label).cast("int")).alias("toxic"))
     there = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id")).distinct()
     marked = marked.join(there, "doc_id", "left_semi")
     order = [F.xxhash64("doc_id"), "doc_id"]
-    chosen = marked.where("toxic = 1").orderBy(*order).limit(size).unionByName(marked.where("toxic = 0").orderBy(*order).limit(size))
+    chosen = marked.where("toxic = 1").orderBy(*order).limit(SAMPLE_TOXIC)
+    chosen = chosen.unionByName(marked.where("toxic = 0").orderBy(*order).limit(SAMPLE_CLEAN))
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    # At most 2 * size ids, by the limits above.
+    # At most SAMPLE_TOXIC + SAMPLE_CLEAN ids, by the limits above.
     return texts.join(F.broadcast(written(chosen, "labelled")), "doc_id")
 
 
@@ -161,7 +165,7 @@ def fit_thresholds(
 def fit(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", grades: int = GRADES,
 ) -> Model:
-    """A model of the labelled rows. The driver fits it on at most ``2 * SAMPLE`` sparse rows."""
+    """A model of the labelled rows. The driver fits it on a bounded number of sparse rows."""
     sample = written(labelled_sample(docs, labels, key, text, label), "sample")
     chosen = choose_features(sample)
     names, telling = tuple(n for n, _ in chosen), np.array([t for _, t in chosen], dtype=bool)

@@ -94,14 +94,25 @@ def entries(signatures: np.ndarray) -> np.ndarray:
     return _mixed(_mixed(chunks) + places).reshape(len(signatures), -1)
 
 
+_LOW = sum((2 ** (BITS - 1) - 1) << BITS * j for j in range(WIDTH))
+_TOP = sum(2 ** (BITS - 1) << BITS * j for j in range(WIDTH))
+
+
+def _apart(a: str, b: str, chunk: int) -> Column:
+    return F.col(f"{a}{chunk}").bitwiseXOR(F.col(f"{b}{chunk}"))
+
+
 def _differ(chunk: Column) -> Column:
-    """How many values differ in a chunk, given the exclusive or of both."""
-    lanes = [F.shiftright(chunk, BITS * j).bitwiseAND(F.lit(2**BITS - 1)) for j in range(WIDTH)]
-    return reduce(Column.__add__, [F.when(lane != 0, 1).otherwise(0) for lane in lanes])
+    """How many values differ in a chunk, given the exclusive or of both.
+
+    Adding all ones to the lower bits of each value carries into its top bit unless they are zero.
+    """
+    return F.bit_count((chunk.bitwiseAND(F.lit(_LOW)) + F.lit(_LOW)).bitwiseOR(chunk).bitwiseAND(F.lit(_TOP)))
 
 
-def _apart(a: str, b: str, chunk: int | Column) -> Column:
-    return F.get(a, F.lit(chunk) if isinstance(chunk, int) else chunk).bitwiseXOR(F.get(b, F.lit(chunk) if isinstance(chunk, int) else chunk))
+def _chunks(side: str) -> list[Column]:
+    """A signature as columns: a join tests millions of pairs, and plain numbers keep its code small."""
+    return [F.coalesce(F.get("sig", F.lit(c)), F.lit(0).cast("long")).alias(f"sig_{side}{c}") for c in range(CHUNKS)]
 
 
 def _may_link(a: str, b: str) -> Column:
@@ -117,9 +128,9 @@ def _first_shared(a: str, b: str, slot: Column) -> Column:
     No chunk before it may be within the allowed errors. Within the chunk, all entries are shared if no
     value differs, and else only the one that leaves the differing value out.
     """
-    chunk, place = F.floor(slot / WIDTH).cast("int"), slot % WIDTH
-    before = [(chunk <= c) | (_differ(_apart(a, b, c)) > ERRORS) for c in range(CHUNKS)]
-    return reduce(Column.__and__, before) & ((place == 0) | (_apart(a, b, chunk) != 0))
+    before = [(slot < (c + 1) * WIDTH) | (_differ(_apart(a, b, c)) > ERRORS) for c in range(CHUNKS - 1)]
+    equal = [(slot < c * WIDTH) | (slot >= (c + 1) * WIDTH) | (_apart(a, b, c) != 0) for c in range(CHUNKS)]
+    return reduce(Column.__and__, before) & ((slot % WIDTH == 0) | reduce(Column.__and__, equal))
 
 
 SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sig", pa.list_(pa.int64()))])
@@ -168,7 +179,7 @@ def index_entries(nodes: DataFrame) -> DataFrame:
 def near_enough(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose sizes and signatures allow the similarity."""
     for side in "ab":
-        own = nodes.select(*[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "sig")])
+        own = nodes.select(*[F.col(c).alias(f"{c}_{side}") for c in ("node", "n")], *_chunks(side))
         pairs = pairs.join(own, F.col(side) == F.col(f"node_{side}"))
     return pairs.where(_may_link("a", "b")).select("a", "b")
 
@@ -245,9 +256,9 @@ def _across(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     outside = F.col("component") != F.col("__top.component")
     every = rows.join(largest, "entry").join(nodes.select("node", "n", "sig"), "node")
     every = every.select("entry", "slot", "node", "component", "n", "sig", outside.alias("outside"))
-    names = [c for c in every.columns if c not in ("entry", "slot")]
-    left = every.where("outside").select("entry", "slot", *[F.col(c).alias(f"{c}_a") for c in names])
-    right = every.select("entry", *[F.col(c).alias(f"{c}_b") for c in names])
+    names = ("node", "component", "n", "outside")
+    left = every.where("outside").select("entry", "slot", *[F.col(c).alias(f"{c}_a") for c in names], *_chunks("a"))
+    right = every.select("entry", *[F.col(c).alias(f"{c}_b") for c in names], *_chunks("b"))
     # Rows outside meet from both sides: once is enough.
     once = ~F.col("outside_b") | (F.col("node_b") < F.col("node_a"))
     other = F.col("component_a") != F.col("component_b")

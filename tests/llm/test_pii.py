@@ -120,3 +120,14 @@ def test_settling_gives_up_when_there_are_no_more(spark, monkeypatch):
 def test_plan_is_native(spark, small):
     plan = pii.op5_surrogates(spark, small)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_phone_number_ends_before_the_next_finding(spark):
+    phones = ["+1 (826) 555-4081", "+1 826 555 4081", "+44 (0)20 7946 0958", "+49 30 1234567"]
+    others = ["190.137.223.204", "4111 1111 1111 1111", "123-45-6789", "366-555-9807", "190.jo@mail.org"]
+    fixed = ["12", "190", "12/27"]
+    pairs = [(p, o) for p in phones for o in others] + [(p, o) for p in phones[:3] for o in fixed]
+    alone = dict(zip(phones + others, run(spark, phones + others)))
+    got = run(spark, [f"{p} {o}" for p, o in pairs])
+    assert all(alone[x] != x for x in alone)
+    assert got == [f"{alone[p]} {alone.get(o, o)}" for p, o in pairs]

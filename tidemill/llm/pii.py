@@ -54,19 +54,33 @@ _GIVEN = "(?:" + "|".join(n for kind in NAMES if kind.startswith("given") for n
 _NAME = "\\p{Lu}[\\p{L}'’-]{1,40}"
 _OCTET = "(?:25[0-5]|2[0-4]\\d|1\\d\\d|[1-9]?\\d)"
 _LABEL = "(?i:password|passwd|pwd|token|secret|api[_-]?key)[ \\t]{0,2}[=:]"
+_EMAIL = "(?<![._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\\.){1,8}[A-Za-z]{2,24}(?![A-Za-z])"
+_IP = f"(?:{_OCTET}\\.){{3}}{_OCTET}(?!\\w|\\.\\d)"
+_SSN = "\\d{3}-\\d{2}-\\d{4}(?![\\w-])"
+_LOCAL = "\\d{3}[.-]\\d{3}[.-]\\d{4}(?![\\w-])"
+_CARD = "(?=[3-6])(?<![\\w.-])[3-6](?:[ -]?\\d){12,18}(?![\\w-])"
+# Between the groups of a phone number: no other finding starts there. From the third group on, a number
+# may be whole, so that a social security or local number is one of its own.
+_OTHER = f"{_IP}|{_EMAIL}|{_CARD}"
+_GROUP = f"(?: (?!{_OTHER})|-(?!{_IP})|\\.)?\\d{{2,4}}"
+_LATER = f"(?: (?!{_OTHER}|{_SSN}|{_LOCAL})|-(?!{_IP})|\\.)?\\d{{2,4}}"
+_ABROAD = f"\\+\\d{{1,3}}[ .-]?(?:\\(\\d{{1,4}}\\)[ .-]?)?\\d{{2,4}}{_GROUP}(?:{_LATER}){{0,2}}"
+# The digits after the country's number, where all numbers of a country have as many.
+_DIGITS = {10: "1|7|44|52|57|90|91|92|98", 9: "27|31|33|34|41|48|61|351|380", 8: "45|47|65|852"}
+_WHOLE = "|".join(f"(?<=\\+(?:{of})(?:[ .-]?\\(0\\))?{'[ .()-]{0,2}[0-9]' * n})" for n, of in _DIGITS.items())
 # What is found, in the order of precedence, and the kind of a finding by its form. Every
 # form starts where no letter or digit is before, and says by a look ahead what it may start with, so
 # that most places of a text are passed over at the cost of a look at one or two characters.
 FORMS = {
-    "email": "(?<![._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\\.){1,8}[A-Za-z]{2,24}(?![A-Za-z])",
+    "email": _EMAIL,
     "secret": "(?=[aApPsStT])" + _LABEL + "[ \\t]{0,2}[\"']?[A-Za-z0-9+/_=-]{6,200}",
     "access": "AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "iban": "(?=[A-Z]{2}\\d)[A-Z]{2}\\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "ip": f"(?=\\d)(?<![\\w.])(?:{_OCTET}\\.){{3}}{_OCTET}(?!\\w|\\.\\d)",
-    "ssn": "(?=\\d)(?<![\\w-])\\d{3}-\\d{2}-\\d{4}(?![\\w-])",
-    "phone": "(?=[+(\\d])(?<![\\w+])(?:(?:\\+\\d{1,3}[ .-]?)(?:\\(\\d{1,4}\\)[ .-]?)?\\d{2,4}(?:[ .-]?\\d{2,4}){1,3}(?!\\w)"
-             "|\\(\\d{3}\\) ?\\d{3}[ .-]\\d{4}(?!\\w)|(?<![.-])\\d{3}[.-]\\d{3}[.-]\\d{4}(?![\\w-]))",
-    "card": "(?=[3-6])(?<![\\w.-])[3-6](?:[ -]?\\d){12,18}(?![\\w-])",
+    "ip": f"(?=\\d)(?<![\\w.]){_IP}",
+    "ssn": f"(?=\\d)(?<![\\w-]){_SSN}",
+    "phone": f"(?=[+(\\d])(?<![\\w+])(?:{_ABROAD}(?:{_WHOLE})(?!\\w)|{_ABROAD}(?!\\w)"
+             f"|\\(\\d{{3}}\\) ?\\d{{3}}[ .-]\\d{{4}}(?!\\w)|(?<![.-]){_LOCAL})",
+    "card": _CARD,
     "person": f"(?=[\\p{{Lu}}г])(?<!\\p{{L}})(?:{_TITLE} (?:{_NAME} )?{_NAME}|{_GIVEN} {_NAME})",
 }
 ANYTHING = "(?<![A-Za-z0-9])(?:" + "|".join(FORMS.values()) + ")"

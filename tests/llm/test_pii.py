@@ -131,3 +131,17 @@ def test_a_phone_number_ends_before_the_next_finding(spark):
     got = run(spark, [f"{p} {o}" for p, o in pairs])
     assert all(alone[x] != x for x in alone)
     assert got == [f"{alone[p]} {alone.get(o, o)}" for p, o in pairs]
+
+
+def test_cards_among_other_numbers(spark):
+    cards = ["4111 1111 1111 1111", "4845168114407329", "5500-0000-0000-0004", "3782 822463 10005", "2223 0031 2200 3222"]
+    after = ["12/27", "123", "7", "190.137.223.204", "4012 8888 8888 1881", "123-45-6789"]
+    others = ["190.137.223.204", "4012 8888 8888 1881", "123-45-6789"]
+    pairs = [(c, a) for c in cards for a in after] + [("34", cards[0]), ("3412", cards[0]), ("5500-0000", cards[1])]
+    texts = [*cards, *others, *[f"{a} {b}" for a, b in pairs]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = replace_private(docs, found_as="n").orderBy("doc_id").collect()
+    alone = {t: r["text"] for t, r in zip(texts, rows) if t in cards + others}
+    assert all(alone[t] != t for t in alone) and all(luhn(alone[c]) for c in cards)
+    assert [r["text"] for r in rows[len(alone):]] == [f"{alone.get(a, a)} {alone.get(b, b)}" for a, b in pairs]
+    assert [r["n"] for r in rows[len(alone):]] == [(a in alone) + (b in alone) for a, b in pairs]

@@ -58,7 +58,21 @@ _EMAIL = "(?<![._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61
 _IP = f"(?:{_OCTET}\\.){{3}}{_OCTET}(?!\\w|\\.\\d)"
 _SSN = "\\d{3}-\\d{2}-\\d{4}(?![\\w-])"
 _LOCAL = "\\d{3}[.-]\\d{3}[.-]\\d{4}(?![\\w-])"
-_CARD = "(?=[3-6])(?<![\\w.-])[3-6](?:[ -]?\\d){12,18}(?![\\w-])"
+# Shapes of card numbers by their first four digits; a shape has one separator or none.
+_FIRST = "(?:[3-6]\\d{3}|2(?:22[1-9]|2[3-9]\\d|[3-6]\\d\\d|7[01]\\d|720))"
+_FOURS = f"{_FIRST}(?: \\d{{4}}){{3}}|{_FIRST}(?:-\\d{{4}}){{3}}"
+_SIXES = "3\\d{3}(?: \\d{6} \\d{4,5}|-\\d{6}-\\d{4,5})"
+_THREES = "4\\d{3}(?: \\d{3}){3}|4\\d{3}(?:-\\d{3}){3}"
+_UNSPACED = f"(?:[3-6]\\d{{12,18}}|{_FIRST}\\d{{12}})"
+CARDS = [f"{_UNSPACED}|{_FOURS}|{_SIXES}|{_THREES}", f"{_FIRST}(?: \\d{{4}}){{3}} \\d{{1,3}}|{_FIRST}(?:-\\d{{4}}){{3}}-\\d{{1,3}}"]
+# Numbers of four digits after one another are one match, of which cards() takes what is valid. Digits
+# grouped in another way are a card as a whole, if no shape starts among them.
+_SHAPED = f"(?:{_FOURS}|{_SIXES}|{_THREES}|{_UNSPACED})(?![\\w-])"
+_CARD = (
+    f"(?=[2-6])(?<![\\w.-])(?:{_FIRST}(?: (?!{_EMAIL})\\d{{4}}){{3,}}(?: (?!{_IP}|{_EMAIL}|{_LOCAL})\\d{{1,3}})?(?![\\w-])"
+    f"|{_FIRST}(?:-\\d{{4}}){{3}}-\\d{{1,3}}(?![\\w-])|{_SHAPED}"
+    f"|[3-6](?:(?: (?!{_SHAPED}|{_IP}|{_EMAIL}|{_LOCAL}|{_SSN})|-)?\\d){{12,18}}(?![\\w-]))"
+)
 # Between the groups of a phone number: no other finding starts there. From the third group on, a number
 # may be whole, so that a social security or local number is one of its own.
 _OTHER = f"{_IP}|{_EMAIL}|{_CARD}"
@@ -121,7 +135,7 @@ def _person(found: Column) -> Column:
 
 def atoms(found: Column) -> Column:
     """``array<struct<keep, kind, value>>`` of a finding: texts to keep, and the values to replace. The
-    keeps and values in order are the finding, but for the last label of an e-mail's domain."""
+    keeps and values in order are the finding, but for what :func:`tail` gives."""
     kind = _kind(found)
     domain = F.regexp_extract(found, "@(.*)\\.[^.]*$", 1)
     label = F.regexp_extract(found, "^([A-Za-z_-]+[ \\t]*[=:][ \\t]*[\"']?)", 1)
@@ -134,13 +148,16 @@ def atoms(found: Column) -> Column:
         .when(kind == "iban", F.array(_atom(F.substr(found, F.lit(1), F.lit(2)), "iban", F.substr(found, F.lit(3)))))
         .when((kind == "phone") & found.rlike("^\\+\\d{1,3}[ .(-]"), F.array(_atom(country, "phone", rest(country))))
         .when(kind == "person", _person(found))
+        .when(kind == "card", _card_atoms(found))
         .otherwise(F.array(_atom("", kind, found)))
     )
 
 
 def tail(found: Column) -> Column:
     """The end of a finding that comes after its atoms."""
-    return F.when(F.contains(found, F.lit("@")), F.regexp_extract(found, "(\\.[^.]*)$", 1)).otherwise("")
+    kind = _kind(found)
+    after = F.substr(found, _end(cards(found)) + 1)
+    return F.when(kind == "email", F.regexp_extract(found, "(\\.[^.]*)$", 1)).when(kind == "card", after).otherwise("")
 
 
 def canonical(kind: Column, value: Column) -> Column:
@@ -226,9 +243,52 @@ def _with_check(number: Column) -> Column:
     return F.concat(start, F.filter(F.array(*[F.lit(str(d)) for d in range(10)]), lambda d: _luhn(F.concat(plain, d)))[0])
 
 
+def cards(found: Column) -> Column:
+    """``array<struct<at, value>>``: the valid cards of a match in the form of a card's, from left to right.
+
+    Where a card of 16 digits and a longer one start at one place, a first digit 6 or 50, 56 to 58 tells the longer.
+    """
+    valid = lambda number: (number != "") & _luhn(F.regexp_replace(number, "[^0-9]", ""))
+
+    def at(i: Column) -> Column:
+        here = F.substr(found, i, F.lit(30))
+        short, long = (F.regexp_extract(here, f"^(?:{shape})(?!\\d)", 0) for shape in CARDS)
+        both = F.when(here.rlike("^(?:6|5[0678])"), F.array(long, short)).otherwise(F.array(short, long))
+        return F.struct(i.alias("at"), F.get(F.filter(both, valid), F.lit(0)).alias("value"))
+
+    begins = lambda i: (i == 1) | F.substr(found, i - 1, F.lit(1)).isin(" ", "-")
+    places = F.filter(F.sequence(F.lit(1), F.length(found)), begins)
+    all_cards = F.filter(F.transform(places, at), lambda c: c["value"].isNotNull())
+    end = lambda chosen: F.coalesce(_end(chosen), F.lit(0))
+    none = F.array().cast("array<struct<at:int,value:string>>")
+    apart = F.aggregate(all_cards, none, lambda chosen, c: F.when(c["at"] > end(chosen), F.concat(chosen, F.array(c))).otherwise(chosen))
+    whole = F.array(F.struct(F.lit(1).alias("at"), found.alias("value")))
+    digits = F.length(F.regexp_replace(found, "[^0-9]", ""))
+    return _let(apart, lambda a: F.when(F.size(a) > 0, a).when((digits <= 19) & valid(found), whole).otherwise(none))
+
+
+def _end(chosen: Column) -> Column:
+    """The last place of the last card."""
+    last = F.get(chosen, F.size(chosen) - 1)
+    return last["at"] + F.length(last["value"]) - 1
+
+
+def _card_atoms(found: Column) -> Column:
+    def one(c: Column, k: Column, chosen: Column) -> Column:
+        before = F.coalesce(_end(F.slice(chosen, F.lit(1), k)), F.lit(0))
+        return _atom(F.substr(found, before + 1, c["at"] - before - 1), "card", c["value"])
+
+    return _let(cards(found), lambda chosen: F.transform(chosen, lambda c, k: one(c, k, chosen)))
+
+
+def n_private(found: Column) -> Column:
+    """The findings in a match: a number in the form of a card's must have a valid check digit."""
+    return F.when(found.rlike(f"^(?:{FORMS['card']})$"), F.size(cards(found))).otherwise(1)
+
+
 def is_private(found: Column) -> Column:
-    """Whether a match is a finding: a number in the form of a card's must have a valid check digit."""
-    return ~found.rlike(f"^(?:{FORMS['card']})$") | _luhn(F.regexp_replace(found, "[^0-9]", ""))
+    """Whether a match has a finding."""
+    return n_private(found) > 0
 
 
 def matches(text: Column) -> Column:
@@ -312,7 +372,8 @@ def replace_private(
         changed["n_chars"] = F.when(has, F.length("__woven").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     picked = [changed[c].alias(c) if c in changed else F.col(c) for c in columns]
     if found_as:
-        picked.append(F.coalesce(F.size(F.filter("__found", is_private)), F.lit(0)).alias(found_as))
+        n = F.aggregate("__found", F.lit(0), lambda total, f: total + n_private(f))
+        picked.append(F.coalesce(n, F.lit(0)).alias(found_as))
     return rows.select(*picked)
 
 

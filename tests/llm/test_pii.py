@@ -145,3 +145,19 @@ def test_cards_among_other_numbers(spark):
     assert all(alone[t] != t for t in alone) and all(luhn(alone[c]) for c in cards)
     assert [r["text"] for r in rows[len(alone):]] == [f"{alone.get(a, a)} {alone.get(b, b)}" for a, b in pairs]
     assert [r["n"] for r in rows[len(alone):]] == [(a in alone) + (b in alone) for a, b in pairs]
+
+
+def test_secrets_are_replaced_whole(spark):
+    jwt, long = "eyJhbGci.eyJzdWIiOiIx.c2lnbmF0dXJl", "aB3" * 100
+    values = [jwt, long, "p@ssw0rd!", "pässwört7", "x" * 40000]
+    texts = [f(v) for v in values for f in (lambda v: f"token: {v}", lambda v: f'{{"api_key": "{v}", "n": 1}}', lambda v: f"secret='{v}'.")]
+    texts += ['password: "two words, a \\" quote"', "the token: a b c", "password: ********"]
+    got = run(spark, texts)
+    for i, value in enumerate(values):
+        bare, json, quoted = got[3 * i: 3 * i + 3]
+        new = bare.removeprefix("token: ")
+        assert json == f'{{"api_key": "{new}", "n": 1}}' and quoted == f"secret='{new}'."
+        kept = [a for a, b in zip(value, new, strict=True) if a == b and a.isalnum()]
+        assert new != value and len(kept) < 4 + len(value) / 10
+    assert got[-3] != texts[-3] and not {"two", "words", "quote"} & set(re.findall(r"[a-z]+", got[-3][9:]))
+    assert got[-2:] == texts[-2:]

@@ -53,7 +53,11 @@ _TITLE = "(?:" + "|".join(t for titles in TITLES.values() for t in titles) + ")\
 _GIVEN = "(?:" + "|".join(n for kind in NAMES if kind.startswith("given") for n in NAMES[kind]) + ")"
 _NAME = "\\p{Lu}[\\p{L}'’-]{1,40}"
 _OCTET = "(?:25[0-5]|2[0-4]\\d|1\\d\\d|[1-9]?\\d)"
-_LABEL = "(?i:password|passwd|pwd|token|secret|api[_-]?key)[ \\t]{0,2}[=:]"
+_LABEL = "(?i:password|passwd|pwd|token|secret|api[_-]?key)[\"']?[ \\t]{0,2}[=:]"
+# A labelled value: to its closing quote, or to the next white space without the signs that end a clause.
+_ALNUM = "[\\p{L}\\p{N}]"
+_QUOTED = "|".join(f"(?={q}[^{q}\\n]*{_ALNUM}){q}(?=[^{q}\\n]{{6}})[^{q}\\\\\\n]*+(?:\\\\.[^{q}\\\\\\n]*+){{0,200}}+{q}" for q in "\"'")
+_BARE = f"[\"']?(?=\\S*{_ALNUM})\\S{{6,}}(?<![,.;:)\\]}}>\"'])"
 _EMAIL = "(?<![._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\\.){1,8}[A-Za-z]{2,24}(?![A-Za-z])"
 _IP = f"(?:{_OCTET}\\.){{3}}{_OCTET}(?!\\w|\\.\\d)"
 _SSN = "\\d{3}-\\d{2}-\\d{4}(?![\\w-])"
@@ -75,10 +79,16 @@ _CARD = (
 )
 # Between the groups of a phone number: no other finding starts there. From the third group on, a number
 # may be whole, so that a social security or local number is one of its own.
-_OTHER = f"{_IP}|{_EMAIL}|{_CARD}"
+# Groups of four before a card are not part of it.
+_NEXT_CARD = (
+    f"{_FIRST}(?: \\d{{4}}){{3}}(?:(?: \\d{{4}}){{4}})*+(?! \\d{{4}}(?!\\w))(?![\\w-])"
+    f"|(?:{_FIRST}(?:-\\d{{4}}){{3}}|{_SIXES}|{_THREES}|{_UNSPACED})(?![\\w-])"
+)
+_OTHER = f"{_IP}|{_EMAIL}|{_NEXT_CARD}"
 _GROUP = f"(?: (?!{_OTHER})|-(?!{_IP})|\\.)?\\d{{2,4}}"
 _LATER = f"(?: (?!{_OTHER}|{_SSN}|{_LOCAL})|-(?!{_IP})|\\.)?\\d{{2,4}}"
-_ABROAD = f"\\+\\d{{1,3}}[ .-]?(?:\\(\\d{{1,4}}\\)[ .-]?)?\\d{{2,4}}{_GROUP}(?:{_LATER}){{0,2}}"
+_START = "\\+\\d{1,3}[ .-]?(?:\\(\\d{1,4}\\)[ .-]?)?\\d{2,4}"
+_ABROAD = f"{_START}{_GROUP}(?:{_LATER}){{0,2}}"
 # The digits after the country's number, where all numbers of a country have as many.
 _DIGITS = {10: "1|7|44|52|57|90|91|92|98", 9: "27|31|33|34|41|48|61|351|380", 8: "45|47|65|852"}
 _WHOLE = "|".join(f"(?<=\\+(?:{of})(?:[ .-]?\\(0\\))?{'[ .()-]{0,2}[0-9]' * n})" for n, of in _DIGITS.items())
@@ -87,24 +97,25 @@ _WHOLE = "|".join(f"(?<=\\+(?:{of})(?:[ .-]?\\(0\\))?{'[ .()-]{0,2}[0-9]' * n})"
 # that most places of a text are passed over at the cost of a look at one or two characters.
 FORMS = {
     "email": _EMAIL,
-    "secret": "(?=[aApPsStT])" + _LABEL + "[ \\t]{0,2}[\"']?[A-Za-z0-9+/_=-]{6,200}",
+    "secret": "(?=[aApPsStT])" + _LABEL + f"[ \\t]{{0,2}}(?:{_QUOTED}|{_BARE})",
     "access": "AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "iban": "(?=[A-Z]{2}\\d)[A-Z]{2}\\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": f"(?=\\d)(?<![\\w.]){_IP}",
     "ssn": f"(?=\\d)(?<![\\w-]){_SSN}",
-    "phone": f"(?=[+(\\d])(?<![\\w+])(?:{_ABROAD}(?:{_WHOLE})(?!\\w)|{_ABROAD}(?!\\w)"
+    "phone": f"(?=[+(\\d])(?<![\\w+])(?:{_START}(?:[ .-]?\\d{{2,4}}){{1,3}}(?:{_WHOLE})(?!\\w)|{_ABROAD}(?!\\w)"
              f"|\\(\\d{{3}}\\) ?\\d{{3}}[ .-]\\d{{4}}(?!\\w)|(?<![.-]){_LOCAL})",
     "card": _CARD,
     "person": f"(?=[\\p{{Lu}}г])(?<!\\p{{L}})(?:{_TITLE} (?:{_NAME} )?{_NAME}|{_GIVEN} {_NAME})",
 }
+_CLOSING = "[\"']$"
 ANYTHING = "(?<![A-Za-z0-9])(?:" + "|".join(FORMS.values()) + ")"
 # A text without these has no findings.
 HINT = "[0-9@]|(?<![A-Za-z0-9])(?:(?=[aApPsStT])" + _LABEL + f"|(?=[\\p{{Lu}}г])(?<!\\p{{L}})(?:{_TITLE}|{_GIVEN}) \\p{{Lu}})"
 
 
 def _kind(found: Column) -> Column:
-    kind = F.when(F.contains(found, F.lit("@")), "email")
-    for name in ("secret", "access", "ip", "ssn", "iban", "card", "phone"):
+    kind = F.when(found.rlike(f"^(?:{FORMS['secret']})$"), "secret").when(F.contains(found, F.lit("@")), "email")
+    for name in ("access", "ip", "ssn", "iban", "card", "phone"):
         kind = kind.when(found.rlike(f"^(?:{FORMS[name]})$"), name)
     return kind.otherwise("person")
 
@@ -138,12 +149,13 @@ def atoms(found: Column) -> Column:
     keeps and values in order are the finding, but for what :func:`tail` gives."""
     kind = _kind(found)
     domain = F.regexp_extract(found, "@(.*)\\.[^.]*$", 1)
-    label = F.regexp_extract(found, "^([A-Za-z_-]+[ \\t]*[=:][ \\t]*[\"']?)", 1)
+    label = F.regexp_extract(found, "^([A-Za-z_-]+[\"']?[ \\t]*[=:][ \\t]*[\"']?)", 1)
+    closed = F.length(F.regexp_extract(found, _CLOSING, 0))
     country = F.regexp_extract(found, "^(\\+\\d{1,3})", 1)
     rest = lambda keep: F.substr(found, F.length(keep) + 1)
     return (
         F.when(kind == "email", F.array(_atom("", "mailbox", F.substring_index(found, "@", 1)), _atom("@", "domain", domain)))
-        .when(kind == "secret", F.array(_atom(label, "secret", rest(label))))
+        .when(kind == "secret", F.array(_atom(label, "secret", F.substr(rest(label), F.lit(1), F.length(rest(label)) - closed))))
         .when(kind == "access", F.array(_atom("AKIA", "access", F.substr(found, F.lit(5)))))
         .when(kind == "iban", F.array(_atom(F.substr(found, F.lit(1), F.lit(2)), "iban", F.substr(found, F.lit(3)))))
         .when((kind == "phone") & found.rlike("^\\+\\d{1,3}[ .(-]"), F.array(_atom(country, "phone", rest(country))))
@@ -157,7 +169,9 @@ def tail(found: Column) -> Column:
     """The end of a finding that comes after its atoms."""
     kind = _kind(found)
     after = F.substr(found, _end(cards(found)) + 1)
-    return F.when(kind == "email", F.regexp_extract(found, "(\\.[^.]*)$", 1)).when(kind == "card", after).otherwise("")
+    return F.when(kind == "email", F.regexp_extract(found, "(\\.[^.]*)$", 1)).when(kind == "card", after).when(
+        kind == "secret", F.regexp_extract(found, _CLOSING, 0)
+    ).otherwise("")
 
 
 def canonical(kind: Column, value: Column) -> Column:
@@ -174,7 +188,9 @@ def _hashed(key: str, kind: Column, name: Column, attempt: Column, block: Column
 
 
 def _number(digits: Column, at: Column, size: int = 4) -> Column:
-    return F.conv(F.substr(digits, at, F.lit(size)), 16, 10).cast("int")
+    """The number at a place of ``digits``, an array of blocks of 128 hex digits."""
+    block = F.get(digits, F.floor((at - 1) / 128).cast("int"))
+    return F.conv(F.substr(block, ((at - 1) % 128 + 1).cast("int"), F.lit(size)), 16, 10).cast("int")
 
 
 def _luhn(digits: Column) -> Column:
@@ -191,7 +207,7 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     name = canonical(kind, value)
     longer = F.when(kind.isin("mailbox", "domain", "secret"), F.repeat(F.lit("q"), F.floor(attempt / 3).cast("int"))).otherwise("")
     blocks = F.sequence(F.lit(0), F.floor((F.length(value) + F.length(longer) - 1) / 32).cast("int"))
-    digits = F.array_join(F.transform(blocks, lambda b: _hashed(key, kind, name, attempt, b)), "")
+    digits = F.transform(blocks, lambda b: _hashed(key, kind, name, attempt, b))
     result = F.when(kind.rlike("^(given|surname)_"), _drawn(kind, digits, attempt)).otherwise(
         _let(digits, lambda d: _mapped(kind, F.concat(value, longer), d))
     )
@@ -224,11 +240,12 @@ def _mapped(kind: Column, form: Column, digits: Column) -> Column:
             .when(c.between("0", "9"), F.char(digit))
             .when(c.between("a", "z"), F.char(n % 26 + 97))
             .when(c.between("A", "Z"), F.char(n % 26 + 65))
+            .when((kind == "secret") & c.rlike(_ALNUM), F.char(n % 26 + 97))
             .otherwise(c)
         )
 
-    at = lambda i: F.substr(form, i, F.lit(1))
-    chars = F.transform(F.sequence(F.lit(1), F.length(form)), lambda i: one(at(i), F.when(grouped, F.greatest(upto(i), F.lit(1))).otherwise(i)))
+    place = lambda i: F.when(grouped, F.greatest(upto(i), F.lit(1))).otherwise(i)
+    chars = F.transform(F.split(form, ""), lambda c, i: one(c, place(i + 1)))
     octets = [_number(digits, F.lit(1)) % 223 + 1, *[_number(digits, F.lit(4 * i + 1)) % 256 for i in (1, 2, 3)]]
     checked = (kind == "card") & _luhn(F.regexp_replace(form, "[^0-9]", ""))
     return F.when(kind == "ip", F.concat_ws(".", *[o.cast("string") for o in octets])).otherwise(

@@ -110,7 +110,7 @@ FORMS = {
 _CLOSING = "[\"']$"
 ANYTHING = "(?<![A-Za-z0-9])(?:" + "|".join(FORMS.values()) + ")"
 # A text without these has no findings.
-HINT = "[0-9@]|(?<![A-Za-z0-9])(?:(?=[aApPsStT])" + _LABEL + f"|(?=[\\p{{Lu}}г])(?<!\\p{{L}})(?:{_TITLE}|{_GIVEN}) \\p{{Lu}})"
+HINT = "[0-9@]|(?<![A-Za-z0-9])(?:AKIA|(?=[aApPsStT])" + _LABEL + f"|(?=[\\p{{Lu}}г])(?<!\\p{{L}})(?:{_TITLE}|{_GIVEN}) \\p{{Lu}})"
 
 
 def _kind(found: Column) -> Column:

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tidemill.llm.toxicity import fit, fit_thresholds, score, without_toxic
+from tidemill.llm.toxicity import fit, fit_thresholds, labelled_sample, score, without_toxic
 
 DOCS = "doc_id long, text string, severity string, toxic long, grade string"
 LABELS = "doc_id long, quality int, toxic int, text string"
@@ -81,3 +81,14 @@ def test_fit_recovers_order_and_thresholds_rise():
     weights, limits = fit_thresholds([{0: a, 1: b} for a, b in x], grades, 2, 4, spread=100.0, steps=1500)
     assert np.allclose(weights, [2, 1], atol=0.35) and np.allclose(limits, [2, 5, 7], atol=0.8)
     assert (np.diff(limits) > 0).all()
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    docs, labels, truth = corpus()
+    rows = [d[:2] for d in docs]
+    frames = [spark.createDataFrame(r, "doc_id long, text string") for r in (rows, rows + rows[:1] * 3000 + rows[1:2] * 3000)]
+    marked = spark.createDataFrame(labels, LABELS)
+    once, often = (sorted(map(tuple, labelled_sample(f, marked, "doc_id", "text", "toxic").collect())) for f in frames)
+    assert once == often == sorted((d, text, int(truth[d] > 0)) for d, text in rows if d < 200)
+    other = spark.createDataFrame([*rows, *((0, f"other {i}") for i in range(50))], "doc_id long, text string")
+    assert [r[0] for r in sorted(map(tuple, labelled_sample(other, marked, "doc_id", "text", "toxic").collect()))] == list(range(200))

@@ -10,7 +10,8 @@ sum of these probabilities, its grade the number of them that are at least one h
 grade 1.
 
 Defined cases: a null or empty text has no features; labels that are null, or of documents that are
-not there, do not count, and a document labelled both ways counts as toxic; without labels of both
+not there, do not count, and a document labelled both ways counts as toxic, and
+one text of an id that repeats is in the sample; without labels of both
 kinds every severity is 0 and nothing is toxic; null ids are kept and scored; repeated rows get
 the same score each; empty tables give no rows; other columns are ignored, or kept where rows are kept.
 """
@@ -89,8 +90,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
     chosen = marked.where("toxic = 1").orderBy(*order).limit(SAMPLE_TOXIC)
     chosen = chosen.unionByName(marked.where("toxic = 0").orderBy(*order).limit(SAMPLE_CLEAN))
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    # At most SAMPLE_TOXIC + SAMPLE_CLEAN ids, by the limits above.
-    return texts.join(F.broadcast(written(chosen, "labelled")), "doc_id")
+    # At most SAMPLE_TOXIC + SAMPLE_CLEAN ids, by the limits above, and one row of each, however often it is there.
+    found = texts.join(F.broadcast(written(chosen, "labelled")), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    return found.groupBy("doc_id", "toxic").agg(one).select("doc_id", "one.text", "toxic")
 
 
 def choose_features(sample: DataFrame, most: int = FEATURES) -> list[tuple[str, bool]]:

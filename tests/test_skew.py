@@ -40,10 +40,40 @@ def test_hashed_keys_and_null_groups(spark):
     df = spark.createDataFrame(rows, "key long, grp long, v long")
     before = skew.totals_before(df, ["grp"], "key", "v", "before", blocks=100)
     assert {(r.grp, r.key): r.before for r in before.collect()} == brute_totals(rows)
-    # The null group has a third of the rows, and still about a hundredth of all in a block.
-    cuts = df.approxQuantile("key", [i / 100 for i in range(1, 100)], 0.0025)
-    sizes = Counter(bisect.bisect_right(cuts, key) for key, grp, _ in rows if grp is None)
-    assert max(sizes.values()) < 60
+    # The null group has a third of the rows, and is cut by keys where it is, into many small blocks.
+    text = before._jdf.queryExecution().toString()
+    assert "Window [sum" in text and "Exchange hashpartitioning(__whose" in text
+    cut = skew.cuts_of(df.select(F.struct("grp").alias("__whose"), F.struct("key").alias("__place")), 100).collect()
+    cuts = next(r["__cuts"] for r in cut if r["__whose"].grp is None)
+    sizes = Counter(bisect.bisect_right([c.key for c in cuts], key) for key, grp, _ in rows if grp is None)
+    assert len(cuts) > 15 and max(sizes.values()) < 400
+
+
+def test_nothing_runs_before_the_result_is_asked_for(spark):
+    seen = []
+    df = spark.range(1000).selectExpr("id % 3 AS grp", "id AS key", "raise_error('read') IS NULL AS v").withColumn("v", F.col("v").cast("long"))
+    seen.append(skew.totals_before(df, ["grp"], "key", "v", "before"))
+    with pytest.raises(Exception, match="read"):
+        seen[0].collect()
+
+
+def test_rows_are_shuffled_once_and_only_once(spark, small):
+    said = spark.read.parquet(f"{small}/conversations.parquet")
+    plan = skew.positions(said, ["conv_id"], "turn", "role", "text")._jdf.queryExecution().optimizedPlan().toString()
+    # One window over the rows and one over the totals of blocks; the texts go through the first only.
+    assert plan.count("Window [") == 2 and plan.count("text#") and "Sort [" not in plan
+    counted = skew.positions(said, ["conv_id"], "turn", "role", "text").groupBy("conv_id").agg(F.min("position"), F.max("position"), F.count("*"))
+    assert all(r[1] == 0 and r[2] == r[3] - 1 for r in counted.collect())
+
+
+def test_keys_may_be_texts_and_null(spark):
+    rows = [(f"g{i % 3}", None if i % 7 == 0 else f"k{i % 50:02d}", i) for i in range(600)]
+    got = skew.positions(spark.createDataFrame(rows, "grp string, key string, tie int"), ["grp"], "key", "tie", blocks=32).collect()
+    want = {}
+    for grp, key, tie in sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or "", r[2])):
+        want[tie] = want.get(("n", grp), 0)
+        want["n", grp] = want[tie] + 1
+    assert all(r.position == want[r.tie] for r in got) and len(got) == 600
 
 
 def test_positions_count_from_zero(spark):

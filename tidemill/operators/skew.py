@@ -2,13 +2,40 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+BLOCKS = 256
+PREFIX = 32
+
+
+def _place(rows: DataFrame, key: str, ties: tuple[str, ...]) -> Column:
+    """What rows of a group are cut by: the key and the ties, up to the first text, of which a prefix."""
+    parts = []
+    for name in (key, *ties):
+        if isinstance(rows.schema[name].dataType, StringType):
+            parts.append(F.substring(name, 1, PREFIX).alias(name))
+            break
+        parts.append(F.col(name))
+    return F.struct(*parts)
+
+
+def _block(cuts: Column, place: Column, blocks: int) -> Column:
+    """How many of the sorted ``cuts`` are not above ``place``, by halving."""
+    steps = F.lit([1 << s for s in reversed(range((8 * blocks).bit_length()))])
+    step = lambda low, jump: F.when(F.get(cuts, low + jump - 1) <= place, low + jump).otherwise(low)
+    return F.when(cuts.isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), step))
 
-BLOCKS = 1024
+
+def cuts_of(places: DataFrame, blocks: int) -> DataFrame:
+    """``__whose, __cuts``: about ``blocks`` of all places, picked by their hash, sorted, of the groups they fall in.
+
+    A hash under a part of its range picks the same rows wherever and whenever they are read.
+    """
+    total = places.select(F.lit(1).alias("__one")).agg(F.greatest(F.count("*"), F.lit(1)).alias("n")).scalar()
+    picked = F.shiftrightunsigned(F.xxhash64("__whose", "__place"), 2) < F.lit(float(1 << 62)) * (F.lit(blocks) / total)
+    return places.where(picked).groupBy("__whose").agg(F.sort_array(F.collect_set("__place")).alias("__cuts"))
 
 
 def totals_before(
@@ -16,29 +43,36 @@ def totals_before(
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over rows of the group that come before, by ``key`` and ``ties``.
 
-    Keys are numbers of any kind, dense, sparse or hashed, and null ones come first; null groups are
-    groups. The key's range is cut at ``blocks`` approximate quantiles of all rows, so a group has at most
-    some ``rows / blocks`` rows in a block, however large its share, unless they have one key. A window
-    runs in each block of a group, another over the group's block totals.
+    Keys and ties may be of any type that sorts, and null ones come first; null groups are groups.
+    About ``blocks`` places, picked from all rows by their hash, cut the groups that they fall in. A
+    small group is rarely cut; a group with a third of the rows has a third of the cuts, and so blocks of
+    some ``rows / blocks`` rows. A window runs in each block, which is the one shuffle of the rows.
+    Cuts and the totals of blocks are the only other data, some ``blocks`` rows, and they are
+    broadcast. They are functions of the rows alone, so whatever is computed again comes out the same, and
+    nothing runs before the result is asked for. Rows of a group that agree in all they are cut by
+    share a block.
     """
-    share = [i / blocks for i in range(1, blocks)]
-    cuts = sorted(set(rows.approxQuantile(key, share, 0.25 / blocks))) if share else []
-    place, number = f"__place_{out}", f"__block_{out}"
-    cut = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol=place, outputCol=number, handleInvalid="keep")
     # A struct of the group's columns is never null, and null fields are equal.
-    whose = F.struct(*group) if group else F.struct(F.lit(0))
-    numbered = rows.select("*", whose.alias("__whose"), F.coalesce(F.col(key).cast("double"), F.lit(-math.inf)).alias(place))
-    numbered = cut.transform(numbered) if cuts else numbered.withColumn(number, F.lit(0.0))
-    frame = Window.partitionBy("__whose", number).orderBy(F.asc_nulls_first(key), *ties).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.partitionBy("__whose").orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
-    totals = numbered.groupBy("__whose", number).agg(F.sum(value).alias("__total"))
-    before = totals.select("__whose", number, F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__before"))
-    inside = numbered.select("*", F.coalesce(F.sum(value).over(frame), F.lit(0)).alias("__inside"))
-    # Same partitioning as the window: the rows are not shuffled a second time.
-    return inside.join(before, ["__whose", number]).select(*rows.columns, (F.col("__inside") + F.col("__before")).alias(out))
+    whose = F.struct(*group) if group else F.struct(F.lit(0).alias("all"))
+    named = rows.select("*", whose.alias("__whose"), _place(rows, key, ties).alias("__place"))
+    cuts = cuts_of(named.select("__whose", "__place"), blocks)
+    cut = F.broadcast(cuts.select(F.col("__whose").alias("__cut_group"), "__cuts"))
+    block = _block(F.col("__cuts"), F.col("__place"), blocks).alias("__block")
+
+    crossing = named.select("__whose", "__place", F.col(value).alias("__value")).join(cut, F.col("__whose") == F.col("__cut_group"))
+    sums = crossing.select("__whose", block, "__value").groupBy("__whose", "__block").agg(F.sum("__value").alias("__sum"))
+    earlier = Window.partitionBy("__whose").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("__whose", "__block", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__sum"))
+    offsets = before.groupBy("__whose").agg(F.map_from_entries(F.collect_list(F.struct("__block", "__sum"))).alias("__offsets"))
+    known = F.broadcast(offsets.join(cut, F.col("__whose") == F.col("__cut_group")).select("__cut_group", "__cuts", "__offsets"))
+
+    numbered = named.join(known, F.col("__whose") == F.col("__cut_group"), "left").select(*rows.columns, "__whose", block, "__offsets")
+    frame = Window.partitionBy("__whose", "__block").orderBy(F.asc_nulls_first(key), *ties).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum(value).over(frame), F.lit(0))
+    return numbered.select(*rows.columns, (inside + F.coalesce(F.col("__offsets")[F.col("__block")], F.lit(0))).alias(out))
 
 
 def positions(df: DataFrame, group: list[str], key: str, *ties: str, out: str = "position", blocks: int = BLOCKS) -> DataFrame:
-    """0-based position of each row in its group, ordered by a number ``key`` and then by ``ties``."""
+    """0-based position of each row in its group, ordered by ``key`` and then by ``ties``."""
     ones = df.select("*", F.lit(1).cast("long").alias("__one"))
     return totals_before(ones, group, key, "__one", out, ties, blocks).drop("__one")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemill.llm import chat, merkle, neardup, neighbours, packing, pieces, pii, threshold, token_counts, toxicity, warc
+from tidemill.llm import chat, merkle, neardup, neighbours, packing, pieces, pii, runs, simhash, threshold, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_pieces": pieces.op8_pieces,
     "op9_near_copies": neardup.op9_near_copies,
     "op10_warc": warc.op10_warc,
+    "op11_runs": runs.op11_runs,
+    "op12_simhash": simhash.op12_simhash,
     "op13_merkle": merkle.op13_merkle,
 }
 
@@ -23,5 +25,6 @@ ORACLES = {
     "op6_threshold_topk": threshold.SQL,
     "op9_near_copies": neardup.SQL,
     "op10_warc": warc.SQL,
+    "op11_runs": runs.SQL,
     "op13_merkle": merkle.SQL,
 }

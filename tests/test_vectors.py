@@ -234,3 +234,56 @@ def test_confusion_matrix_fills_zeros(spark):
     assert other == {"a": 1, "b": 1}
     scores = {r.y: r.accuracy for r in rel.accuracy_by_class(df, "y", "p").collect()}
     assert scores == {"a": 0.5, "b": 0.0}
+
+
+def clustered(n, groups=40, dim=32, seed=3):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(0, 1, (groups, dim))
+    return [(i, [float(x) for x in centers[i % groups] + rng.normal(0, 0.3, dim)], 0) for i in range(n)]
+
+
+@pytest.mark.parametrize("lists", [1, 8, 30])
+def test_search_by_code_finds_the_exact_neighbours(spark, root, lists):
+    rows = clustered(1500) + [(5000 + i, [0.5] * 32, 0) for i in range(40)]  # copies tie
+    index = vectors.build_index(spark.createDataFrame(rows, VECTORS), "vec_id", "embedding", 32).repartition(6)
+    queries = [(i, rows[i][1]) for i in range(25)] + [(77, [0.5] * 32), (78, [0.0] * 32)]
+    centers = vectors.coarse_centers(index, "vec_id", "embedding", lists)
+    stored = vectors.store_index(vectors.coded_index(index, centers, "vec_id", "embedding"), root, "vec_id")
+    assert stored.count() == 1540 and len(centers) == lists
+    exact = {(r.query_id, r.rank): (r.vec_id, r.score) for r in vectors.nearest(index, queries, k=10).collect()}
+    whole = {(r.query_id, r.rank): (r.vec_id, r.score) for r in vectors.nearest_by_code(stored, centers, queries, 10, 1.0).collect()}
+    pairs = [(exact[q, r], whole[q, r]) for q, r in exact if q != 77]
+    assert len(whole) == 260 and sum(a[0] == b[0] for a, b in pairs) >= 0.99 * len(pairs)
+    assert all(abs(a[1] - b[1]) < 2e-6 for a, b in pairs if a[0] == b[0])
+    some = {(r.query_id, r.vec_id) for r in vectors.nearest_by_code(stored, centers, queries, 10, 0.4).collect()}
+    found = {(q, v) for (q, _), (v, _) in exact.items() if q != 77}
+    assert len(some & found) >= 0.9 * len(found)
+
+
+def test_index_lists_are_read_alone(spark, root):
+    index = vectors.build_index(spark.createDataFrame(clustered(800), VECTORS), "vec_id", "embedding", 32)
+    centers = vectors.coarse_centers(index, "vec_id", "embedding", 8)
+    stored = vectors.store_index(vectors.coded_index(index, centers, "vec_id", "embedding"), root, "vec_id")
+    found = vectors.nearest_by_code(stored, centers, [(0, clustered(1)[0][1])], 5, 0.25)
+    text = found._jdf.queryExecution().toString()
+    # Codes and vectors are read apart, codes from the probed lists.
+    assert "ReadSchema: struct<list:int,vec_id:bigint,code:binary,scale:float>" in text and "PushedFilters: [In(list, [" in text
+    assert "ReadSchema: struct<list:int,vec_id:bigint,embedding:array<double>>" in text
+
+
+def test_empty_index(spark, root):
+    index = vectors.build_index(spark.createDataFrame([], VECTORS), "vec_id", "embedding", 32)
+    centers = vectors.coarse_centers(index, "vec_id", "embedding")
+    stored = vectors.store_index(vectors.coded_index(index, centers, "vec_id", "embedding"), root, "vec_id")
+    assert vectors.nearest_by_code(stored, centers, [(0, [1.0] * 32)], 5).collect() == []
+
+
+def test_winners_are_merged_in_two_rounds(spark):
+    rows = [(q, i, float((i * 37) % 1000)) for q in range(3) for i in range(1000)]
+    found = spark.createDataFrame(rows, "query_id long, vec_id long, score double").repartition(7)
+    got = vectors._rank(found, 20, "vec_id")
+    want = {q: [(r + 1, i) for r, (s, i) in enumerate(sorted((-s, i) for p, i, s in rows if p == q)[:20])] for q in range(3)}
+    assert {q: sorted((r.rank, r.vec_id) for r in got.collect() if r.query_id == q) for q in range(3)} == want
+    # A reducer of the first round has the winners of a part of the tasks.
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning(query_id") == 2 and "__part" in plan

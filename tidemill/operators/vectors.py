@@ -9,6 +9,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -20,6 +21,14 @@ from tidemill.functions.vector_math import dot, euclidean
 MAX_RESULTS = 100
 MAX_QUERIES = 1000
 HASHES = 4
+# Tasks whose winners are merged at once.
+FAN_IN = 256
+# An index: most lists it may have, rows per list it aims at, rows its lists are fitted on, and how many
+# candidates by code are scored exactly for each result asked for.
+MOST_LISTS = 4096
+LIST_SIZE = 1000
+FITTED_ON = 20_000
+KEEP = 5
 
 
 def vector_dims(df: DataFrame, vector: str) -> DataFrame:
@@ -137,8 +146,15 @@ def nearest(
 
 
 def _rank(found: DataFrame, k: int, key: str) -> DataFrame:
+    """The ``k`` best rows of each query, with their rank, in two rounds: of the winners of ``FAN_IN`` tasks, then
+    of all rounds. So a reducer reads at most ``FAN_IN * k`` rows of a query in the first, and as many rows
+    for each ``FAN_IN`` ** 2 tasks in the second."""
+    parts = found.withColumn("__part", F.floor(F.spark_partition_id() / F.lit(FAN_IN)))
+    first = Window.partitionBy("query_id", "__part").orderBy(F.desc("score"), F.asc(key))
+    some = parts.select("*", F.row_number().over(first).alias("__r")).where(F.col("__r") <= k)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc(key))
-    return found.select("query_id", F.row_number().over(order).alias("rank"), key, "score").where(F.col("rank") <= k)
+    kept = [c for c in found.columns if c not in ("query_id", key, "score")]
+    return some.select("query_id", F.row_number().over(order).alias("rank"), key, "score", *kept).where(F.col("rank") <= k)
 
 
 def build_index(df: DataFrame, key: str, vector: str, dim: int, *payload: str) -> DataFrame:
@@ -151,6 +167,131 @@ def build_index(df: DataFrame, key: str, vector: str, dim: int, *payload: str) -
     return units.select(key, *payload, vector_to_array("__u").alias(vector))
 
 
+def coarse_centers(index: DataFrame, key: str, vector: str, lists: int | None = None, seed: int = 1) -> np.ndarray:
+    """Centers of the coarse lists of an index, fitted on about ``FITTED_ON`` of its rows, picked by hash.
+
+    There is a list for every ``LIST_SIZE`` rows, up to ``MOST_LISTS``, unless ``lists`` are asked for.
+    """
+    rows = index.count()
+    lists = lists or max(1, min(MOST_LISTS, rows // LIST_SIZE))
+    part = min(1.0, FITTED_ON / max(rows, 1))
+    picked = F.shiftrightunsigned(F.xxhash64(key), 2) < F.lit(int(part * (1 << 62)))
+    sample = index.where(picked).select(array_to_vector(F.col(vector)).alias("features"))
+    if lists == 1:
+        return np.zeros((1, index.select(F.size(vector)).first()[0] if rows else 1))
+    return np.array(KMeans(k=lists, seed=seed, maxIter=10).fit(sample).clusterCenters())
+
+
+def coded_index(index: DataFrame, centers: np.ndarray, key: str, vector: str) -> DataFrame:
+    """``list, <key>, code, scale, <vector>``: the list of the nearest center and the vector in bytes.
+
+    A byte is an element in units of ``scale``, the largest element by 127.
+    """
+    half = (centers**2).sum(axis=1) / 2
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            scale = np.abs(rows).max(axis=1) / 127
+            codes = np.round(rows / np.where(scale > 0, scale, 1)[:, None]).astype(np.int8)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array((rows @ centers.T - half).argmax(axis=1), pa.int32()), batch.column(0),
+                    pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(scale, pa.float32()), batch.column(1),
+                ],
+                names=["list", key, "code", "scale", vector],
+            )
+
+    rows = index.select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias(vector))
+    return rows.mapInArrow(encode, f"list int, {key} long, code binary, scale float, {vector} array<double>")
+
+
+def store_index(coded: DataFrame, path: str, key: str) -> DataFrame:
+    """Write a coded index in the order of its lists, so that a search skips the row groups of other lists.
+
+    Lists are cut by key range: one that holds a third of all rows is in as many files as its share.
+    """
+    coded.repartitionByRange("list", key).sortWithinPartitions("list", key).write.parquet(path)
+    return coded.sparkSession.read.schema(coded.schema).parquet(path)
+
+
+def nearest_by_code(
+    stored: DataFrame,
+    centers: np.ndarray,
+    queries: Sequence[tuple[int, Sequence[float]]],
+    k: int = 10,
+    probe: float = 0.75,
+    keep: int = KEEP,
+    key: str = "vec_id",
+    vector: str = "embedding",
+) -> DataFrame:
+    """Top ``k`` by cosine for each query in the ``probe`` share of lists nearest to it: ``query_id, rank, <key>, score``.
+
+    Codes of these lists are scored first, a byte an element and a matrix product per Arrow batch, and a task
+    keeps ``keep * k`` rows per query. The best ``keep * k`` of all are then scored exactly on their
+    vectors, which are read from their lists only. Scores are rounded to 6 places, ties go to the smaller key.
+    """
+    if not 1 <= k <= MAX_RESULTS or not 0 < probe <= 1:
+        raise ValueError(f"k must be 1 to {MAX_RESULTS}, probe above 0 and at most 1")
+    spark, most = stored.sparkSession, k * keep
+    asked = [(q, np.array(v, np.float64)) for q, v in queries]
+    asked = [(q, v / np.linalg.norm(v)) for q, v in asked if np.linalg.norm(v) > 0]
+    if not asked:
+        return _rank(spark.createDataFrame([], f"query_id long, {key} long, score double"), k, key)
+    ids, matrix = np.array([q for q, _ in asked], np.int64), np.stack([v for _, v in asked])
+    half = (centers**2).sum(axis=1) / 2
+    places = np.argsort(-(matrix @ centers.T - half) if len(centers) > 1 else np.zeros((len(ids), 1)), axis=1)
+    probed = np.zeros((len(centers), len(ids)), bool)
+    for q, lists in enumerate(places[:, : max(1, int(np.ceil(probe * len(centers))))]):
+        probed[lists, q] = True
+    floats = matrix.T.astype(np.float32)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = [(np.empty(0, np.float32), np.empty(0, np.int64), np.empty(0, np.int32)) for _ in ids]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            codes = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.int8).reshape(batch.num_rows, -1)
+            scores = codes.astype(np.float32) @ floats * batch.column(3).to_numpy(zero_copy_only=False)[:, None]
+            scores[~probed[lists]] = -np.inf
+            for q, (old, old_keys, old_lists) in enumerate(best):
+                good = np.flatnonzero(scores[:, q] > (old.min() if len(old) == most else -np.inf))
+                s, i, of = np.append(old, scores[good, q]), np.append(old_keys, keys[good]), np.append(old_lists, lists[good])
+                if len(s) > most:
+                    kept = np.argpartition(-s, most - 1)[:most]
+                    s, i, of = s[kept], i[kept], of[kept]
+                best[q] = s, i, of
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat(ids, [len(s) for s, _, _ in best])), pa.array(np.concatenate([i for _, i, _ in best])),
+                pa.array(np.concatenate([of for _, _, of in best]), pa.int32()),
+                pa.array(np.concatenate([s for s, _, _ in best]).astype(np.float64)),
+            ],
+            names=["query_id", key, "list", "score"],
+        )
+
+    wanted = np.flatnonzero(probed.any(axis=1)).tolist()
+    part = stored if len(wanted) == len(centers) else stored.where(F.col("list").isin(wanted))
+    found = part.select("list", key, "code", "scale").mapInArrow(scan, f"query_id long, {key} long, list int, score double")
+    # At most MAX_QUERIES * MAX_RESULTS * keep rows.
+    survivors = F.broadcast(_rank(found, most, key).select("query_id", "list", key))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = {int(q): v for q, v in zip(ids, matrix)}
+        for batch in batches:
+            of = batch.column(0).to_pylist()
+            exact = [round(float(np.dot(at[q], v)), 6) for q, v in zip(of, batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(exact, pa.float64())], names=["query_id", key, "score"])
+
+    scored = part.select("list", key, vector).join(survivors, ["list", key]).select("query_id", key, vector)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc(key))
+    final = scored.mapInArrow(score, f"query_id long, {key} long, score double")
+    return final.select("query_id", F.row_number().over(order).alias("rank"), key, "score").where(F.col("rank") <= k)
+
+
 def lsh_model(
     df: DataFrame, vector: str, tables: int = 12, width: float = 1.5, seed: int = 0
 ) -> BucketedRandomProjectionLSHModel:

@@ -11,6 +11,7 @@ from tidemill.functions.vector_math import argmax
 from tidemill.operators import learning, relational as rel, sampling, vectors, windows
 from tidemill.operators.filters import Condition, KeyFilter, active, metadata_filter
 from tidemill.plans.registry import Tables, query
+from tidemill.sources.shared import run_dir
 
 RADIUS = 0.99
 SWEEP = vectors.radius_range(94, 106, 1)
@@ -143,12 +144,39 @@ def _(t: Tables) -> DataFrame:
     return vectors.nearest(corpus, vectors.query_batch(centroid_queries(t)), k=10)
 
 
+LISTS = 16
+
+
+def _by_code(t: Tables, queries: list) -> DataFrame:
+    """The queries' nearest rows from an index that is stored first."""
+    index = vectors.build_index(t.embeddings, "vec_id", "embedding", 64)
+    centers = vectors.coarse_centers(index, "vec_id", "embedding", LISTS)
+    stored = vectors.store_index(vectors.coded_index(index, centers, "vec_id", "embedding"), run_dir(t.spark, "index"), "vec_id")
+    return vectors.nearest_by_code(stored, centers, queries, k=10)
+
+
 @query("ann_topk")
 def _(t: Tables) -> DataFrame:
-    index = vectors.build_index(t.embeddings, "vec_id", "embedding", 64)
-    units = vectors.build_index(centroid_queries(t), "query_id", "vector", 64)
-    model = vectors.lsh_model(index, "embedding")
-    return vectors.nearest_approximate(vectors.hash_index(model, index, "vec_id", "embedding"), units, model, k=10)
+    return _by_code(t, vectors.query_batch(centroid_queries(t)))
+
+
+@query(
+    "ann_recall",
+    f"""WITH {SCORES_SQL} SELECT count(DISTINCT query_id) AS n_queries, count(*) AS n_exact, true AS recall_from_90_percent,
+            true AS scores_exact FROM ranked WHERE rank <= 10""",
+)
+def _(t: Tables) -> DataFrame:
+    """Recall of the index against the exact search, and whether what it finds has the exact score."""
+    queries = vectors.query_batch(centroid_queries(t))
+    exact = vectors.nearest(t.embeddings, queries, k=vectors.MAX_RESULTS).withColumnRenamed("score", "exact")
+    found = _by_code(t, queries).select("query_id", "vec_id", "score")
+    both = exact.join(found, ["query_id", "vec_id"], "left").where((F.col("rank") <= 10) | F.col("score").isNotNull())
+    best = F.col("rank") <= 10
+    return both.agg(
+        F.countDistinct("query_id").alias("n_queries"), F.count(F.when(best, 1)).alias("n_exact"),
+        (F.count(F.when(best & F.col("score").isNotNull(), 1)) >= 0.9 * F.count(F.when(best, 1))).alias("recall_from_90_percent"),
+        F.every(F.coalesce(F.abs(F.col("score") - F.col("exact")) < 2e-6, F.lit(True))).alias("scores_exact"),
+    )
 
 
 @query(

@@ -12,7 +12,9 @@ key in each segment; or one segment differs in three or more, and of the other t
 differs in at most one bit. So a fingerprint is entered under every triple of keys, and under each segment
 with each key of another one: 182 entries on average, of 34 bits or more, and no pair under the distance is missed.
 
-Equal fingerprints are one node. Only entries that several nodes share are kept. In some rounds every node
+Equal fingerprints are one node. A count, the least, the greatest and the exclusive or of an entry's nodes
+name all of them if they are three or fewer, which most shared entries have: these are tested without a
+join. The rows of the others are read once more. In some rounds every node
 of an entry is tested against the one that a mask picks, and links are contracted, so that a crowd of near
 copies becomes one component without ever being paired. Then, in entries that still hold several
 components, rows outside the largest meet all rows of other components. Every pair is verified inside the
@@ -41,11 +43,11 @@ from tidemill.llm.graph import components
 SHINGLE = 4
 SEED = 42
 MOST = 4
-ROUNDS = 3
+ROUNDS = 2
 MOST_SENT = 1 << 20
 # Where segments start, and how many bits they have.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
-MASKS = (0, -1, 0x5555555555555555)
+MASKS = (0, -1)
 
 # The generator polynomial of the binary Golay code, its length and its check bits.
 GENERATOR, LENGTH, CHECKS = 0b110001110101, 23, 11
@@ -159,12 +161,6 @@ def _few(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= MOST_SENT else rows
 
 
-def _mixed(rows: DataFrame) -> DataFrame:
-    """Of ``entry, node, component``, the rows of entries that hold several components."""
-    held = rows.groupBy("entry").agg(F.min("component").alias("__least"), F.max("component").alias("__most"))
-    return rows.join(held.where("__least <> __most").select("entry"), "entry")
-
-
 def _moved(rows: DataFrame, joined: DataFrame) -> DataFrame:
     """``rows`` after components were joined as ``joined`` (``node, component``, of component names)."""
     to = joined.select(F.col("node").alias("component"), F.col("component").alias("__to"))
@@ -183,8 +179,9 @@ def _led(rows: DataFrame, mask: int) -> DataFrame:
 def _across(rows: DataFrame) -> DataFrame:
     """All links ``a, b`` of components that share an entry: rows outside an entry's largest component meet the rest."""
     counts = rows.groupBy("entry", "component").agg(F.count("*").alias("__n"))
-    largest = counts.groupBy("entry").agg(F.max(F.struct("__n", "component")).alias("__top"))
-    every = rows.join(largest, "entry").select("entry", "node", "component", (F.col("component") != F.col("__top.component")).alias("outside"))
+    held = counts.groupBy("entry").agg(F.max(F.struct("__n", "component")).alias("__top"), F.count("*").alias("__held"))
+    every = rows.join(held.where("__held > 1").select("entry", "__top"), "entry")
+    every = every.select("entry", "node", "component", (F.col("component") != F.col("__top.component")).alias("outside"))
     left = every.where("outside").select("entry", F.col("node").alias("node_a"), F.col("component").alias("a"))
     right = every.select("entry", F.col("node").alias("node_b"), F.col("component").alias("b"), "outside")
     once = ~F.col("outside") | (F.col("node_b") < F.col("node_a"))
@@ -192,21 +189,36 @@ def _across(rows: DataFrame) -> DataFrame:
     return left.join(right, "entry").where(linked).select("a", "b").distinct()
 
 
+def _listed(shared: DataFrame) -> DataFrame:
+    """All links ``a, b`` of entries with two or three nodes, which the entry's sums name."""
+    third = F.when(F.col("n") == 3, F.col("every").bitwiseXOR(F.col("a")).bitwiseXOR(F.col("b"))).otherwise(F.col("a"))
+    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    pairs = shared.select("a", "b", third.alias("c")).select(
+        F.inline(F.array(pair(F.col("a"), F.col("b")), pair(F.col("a"), F.col("c")), pair(F.col("b"), F.col("c"))))
+    )
+    return pairs.where((F.col("a") != F.col("b")) & (_apart("a", "b") <= MOST)).distinct()
+
+
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """``doc_id, node, component_id`` of every row: its fingerprint, and the smallest id reachable by links."""
     signed = written(fingerprints(docs, key, text), "fingerprints")
     nodes = written(signed.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "nodes")
     index = index_entries(nodes)
-    # A node has an entry once: an entry counted twice is shared. Only entries and counts are shuffled.
-    shared = written(index.groupBy("entry").agg(F.count("*").alias("n")).where("n > 1").select("entry"), "shared")
-    rows = written(index.join(_few(shared), "entry").withColumn("component", F.col("node")), "entries")
-    names = nodes.select("node", F.col("node").alias("component"))
+    # A node has an entry once.
+    sums = index.groupBy("entry").agg(
+        F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b"), F.bit_xor("node").alias("every")
+    )
+    shared = written(sums.where("n > 1"), "shared")
+    joined = written(components(_listed(shared.where("n <= 3"))), "components")
+    names = written(_moved(nodes.select("node", F.col("node").alias("component")), joined), "names")
+    crowded = _few(shared.where("n > 3").select("entry"))
+    rows = written(index.join(crowded, "entry", "left_semi").join(names, "node"), "entries")
     for step in range(rounds + 1):
         links = _led(rows, MASKS[step % len(MASKS)]) if step < rounds else _across(rows)
         joined = written(components(links), "components")
         names = written(_moved(names, joined), "names")
         if step < rounds:
-            rows = written(_mixed(_moved(rows, joined)), "entries")
+            rows = written(_moved(rows, joined), "entries")
     smallest = names.join(nodes, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_node = names.join(smallest, "component").select("node", "component_id")
     return signed.join(of_node, "node").select("doc_id", "node", "component_id")

@@ -90,3 +90,68 @@ def test_language(spark):
     }
     got = chunking.with_language(docs_of(spark, *samples.values())).orderBy("doc_id").collect()
     assert [r.language for r in got] == list(samples)
+
+
+def test_words_are_counted_in_their_row(spark):
+    rng = random.Random(7)
+    lists = [[], ["a"], ["b", "a", "b"], [rng.choice("abcdefé日") for _ in range(3000)], [f"w{i}" for i in range(500)]]
+    df = spark.createDataFrame(list(enumerate(lists)), "i long, ws array<string>")
+    got = {r.i: [(c.word, c.tf) for c in r.c] for r in df.select("i", chunking.counted(F.col("ws")).alias("c")).collect()}
+    for i, ws in enumerate(lists):
+        assert got[i] == [(w, ws.count(w)) for w in sorted(set(ws), key=lambda w: w.encode())]
+
+
+def test_no_exchange_carries_texts_or_their_words(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    for df in (chunking.piece_themes(docs), chunking.tag_with_topic(docs.select("doc_id", "text"))):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+        for at, line in enumerate(plan):
+            if "Exchange hashpartitioning(doc_id" in line:
+                # Only the best words of a task's pieces are sent on.
+                assert "WindowGroupLimit" in plan[at + 1] and "Partial" in plan[at + 1]
+        assert not any("text#" in line for line in plan if "Exchange" in line)
+
+
+def test_tags_are_checked(spark):
+    docs = spark.createDataFrame([(1, "good happy day volcano volcano", "u1"), (2, "", "u2"), (3, None, "u3"), (4, "hate war volcano", None)],
+                                 "doc_id long, text string, url string")
+    got = {r.doc_id: r for r in chunking.tag_with_topic(docs, "doc_id", "text", "url").collect()}
+    assert len(got) == 4 and (got[1].sentiment, got[1].valid, got[1].errors, got[1].url) == ("happy", True, [], "u1")
+    assert not got[2].valid and got[2].errors == ["primary_topic: missing"] and got[2].sentiment == "neutral"
+    assert not got[3].valid and got[3].url == "u3" and got[4].aggressiveness == 5
+
+
+def test_refine_adds_in_order(spark):
+    rng = random.Random(3)
+    docs = docs_of(spark, *[" ".join(f"w{rng.randrange(40)}" for _ in range(n)) for n in (0, 3, 50, 400)])
+    themes = chunking.piece_themes(docs, size=10, n=3).cache()
+    added = sorted(map(tuple, chunking.refine_additions(themes).collect()), key=lambda r: (r[0], r[2]))
+    assert len(added) == themes.select("doc_id", "word").distinct().count()
+    best = {}
+    for r in sorted(themes.collect(), key=lambda r: (r.doc_id, r.piece, -r.score, r.word)):
+        best.setdefault((r.doc_id, r.word), r.piece)
+    want, place = [], {}
+    for (doc, word), piece in best.items():
+        want.append((doc, piece, place.setdefault(doc, 0), word))
+        place[doc] += 1
+    assert added == sorted(want, key=lambda r: (r[0], r[2]))
+    for step in chunking.refine_summary(themes).collect():
+        assert step.summary == [w for d, p, _, w in added if d == step.doc_id and p <= step.piece]
+
+
+def test_page_text(spark):
+    html = "<html><head><style>a{b}</style><SCRIPT src='x'>var a = '<p>';</script ></head><!-- no --><body>Hello <b>big</b> world</body></html>"
+    page = spark.createDataFrame([(html,)], "html string").select(chunking.page_text(F.col("html")).alias("t")).first().t
+    assert page.split() == ["Hello", "big", "world"]
+
+
+@pytest.mark.parametrize("size,budget", [(300, 4000), (3, 9), (3, 10), (3, 11), (5, 5), (5, 3), (4, 7), (1, 1)])
+def test_packing_by_division_is_greedy(spark, size, budget):
+    counts = [0, 1, size - 1, size, size + 1, *range(2 * size, 2 * budget + 3 * size, max(1, budget // 7)), 5 * budget + 1]
+    docs = docs_of(spark, *[" ".join(["w"] * n) for n in counts])
+    got = {}
+    for r in chunking.packed_pieces(docs, size, budget).orderBy("doc_id", "piece").collect():
+        got.setdefault(r.doc_id, []).append(r.grp)
+    for i, n in enumerate(counts):
+        sizes = [size] * (n // size) + [n % size] * (n % size > 0)
+        assert got.get(i, []) == python_pack(sizes, budget), (n, sizes)

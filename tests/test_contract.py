@@ -60,3 +60,28 @@ def test_themes_shuffle_texts_once(spark, small):
     text = contract.queries()["theme_summary"](spark, small)._jdf.queryExecution().executedPlan().toString()
     wide = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "word#" in line]
     assert not wide
+
+
+@pytest.mark.parametrize("blocked", ["tidemill.llm", "ahocorasick", "sentencepiece", "corpus_pipeline"])
+def test_a_missing_library_costs_its_queries_only(blocked):
+    """In a process of its own, where an import fails."""
+    import os
+    import subprocess
+    import sys
+
+    code = f"""
+import sys
+class Block:
+    def find_spec(self, name, *_):
+        if name == {blocked!r} or name.startswith({blocked!r} + "."):
+            raise ModuleNotFoundError(name)
+sys.meta_path.insert(0, Block())
+import __spark_entry__ as contract
+from tidemill.plans import catalog
+assert set(catalog.QUERIES) <= set(contract.queries()) and set(catalog.ORACLES) <= set(contract.oracle_sql())
+print("fine", "pipeline" in contract.queries())
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert done.stdout.startswith("fine"), done.stderr[-2000:]
+    assert blocked != "corpus_pipeline" or "fine False" in done.stdout

@@ -173,3 +173,24 @@ def test_more_than_99_batches(spark, root):
     landed = replay.land_next(spark, f"{root}/staged", f"{root}/landing", everything=True)
     assert landed == list(range(1, 121))
     assert spark.read.option("recursiveFileLookup", True).parquet(f"{root}/landing").distinct().count() == 2000
+
+
+def test_a_hot_book_is_one_row_of_state_and_of_the_join(spark, root, feed):
+    """5000 lines of one book in two landings: the gold stream keeps and joins one row for it."""
+    orders, customers, books, layers = feed
+    hot = [(f"h{i}", 0, "c1", 1, 1, [{"book_id": "b1", "quantity": 1, "subtotal": 2}] * 5) for i in range(1000)]
+    many = orders.unionByName(spark.createDataFrame(hot, schemas.ORDERS_RAW))
+    replay.stage(many, "order_id", 2, f"{root}/staged")
+    replay.land_next(spark, f"{root}/staged", f"{root}/landing", everything=True)
+    runner.finish(runner.append_stream(medallion.bronze(spark, f"{root}/landing", schemas.ORDERS_RAW, 1), layers.bronze, root), spark, layers.bronze)
+    runner.finish(runner.append_stream(medallion.silver(spark, layers.bronze, customers), layers.silver, root), spark, layers.silver)
+
+    def shape(sums):
+        assert sums.columns == ["book_id", "subtotal", "quantity"]
+        return batch.author_totals(sums, books)
+
+    query = runner.replace_stream(medallion.gold_by_book(spark, layers.silver), layers.gold, root, shape)
+    runner.finish(query, spark, layers.gold)
+    # The state holds a row for each of the four books, whatever was sold of them.
+    assert sum(p["numRowsTotal"] for p in query.lastProgress["stateOperators"]) == 4
+    assert totals(spark.table(layers.gold)) == totals(batch.sales_by_author(batch.order_facts(many, customers), books))

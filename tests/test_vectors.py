@@ -287,3 +287,92 @@ def test_winners_are_merged_in_two_rounds(spark):
     # A reducer of the first round has the winners of a part of the tasks.
     plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.count("Exchange hashpartitioning(query_id") == 2 and "__part" in plan
+
+
+def test_millions_of_labels_are_coded_side_by_side(spark):
+    n = 3_000_000
+    df = spark.range(n).select(F.format_string("%010d", (F.col("id") * 7919) % n).alias("name"))
+    coded = learning.encode_labels(df, "name")
+    assert coded.where(F.col("name").cast("int") != F.col("encoded")).count() == 0 and coded.count() == n
+    plan = coded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == plan.count("windowspecdefinition(__block") == 1
+
+
+def test_large_samples_are_cut_by_a_hash_threshold(spark):
+    n = 400_000
+    df = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, "big").when(F.col("id") % 50 == 1, "small").when(F.col("id") % 50 > 1, "mid").alias("label"))
+    sizes = {r.label: r["count"] for r in df.groupBy("label").count().collect()}
+    sample = sampling.stratified_sample(df, "label", "id", 60_000, seed=5)
+    assert {r.label: r["count"] for r in sample.groupBy("label").count().collect()} == {k: min(v, 60_000) for k, v in sizes.items()}
+    # They are the rows with the smallest hashes.
+    hashed = df.withColumn("h", sampling.hash_order("id", 5)).where("label = 'big'")
+    edge = sample.where("label = 'big'").withColumn("h", sampling.hash_order("id", 5)).agg(F.max("h")).first()[0]
+    assert hashed.where(F.col("h") <= edge).count() == 60_000
+    # A small sample is the beginning of a large one.
+    assert sampling.stratified_sample(df, "label", "id", 900, seed=5).exceptAll(sample).count() == 0
+    plan = sample._jdf.queryExecution().toString()
+    assert "Window [" in plan and all("__bin" in line for line in plan.splitlines() if "Window [" in line)
+
+
+def test_large_split(spark):
+    df = spark.range(30_000).select("id", (F.col("id") % 2).alias("label"))
+    split = sampling.train_test_split(df, "label", "id", 5000, 1200)
+    sizes = {(r.label, r.part): r["count"] for r in split.groupBy("label", "part").count().collect()}
+    assert sizes == {(k, p): c for k in (0, 1) for p, c in (("train", 5000), ("test", 1200))}
+    assert split.columns == ["id", "label", "part"]
+
+
+def test_gradients_match_differences():
+    rng = np.random.default_rng(2)
+    layers = [rng.normal(0, 0.5, (6, 6)), rng.normal(0, 0.1, 6), rng.normal(0, 0.5, (6, 3)), rng.normal(0, 0.1, 3)]
+    rows, codes = rng.normal(0, 1, (9, 6)), rng.integers(0, 3, 9)
+
+    def loss():
+        return learning._quality(learning._softmax(learning._outputs(layers, rows)[1]), codes)[0]
+
+    slopes, _ = learning.gradients(layers, rows, codes)
+    for layer, slope in zip(layers, slopes):
+        for place in np.ndindex(*layer.shape):
+            old = layer[place]
+            layer[place] = old + 1e-6
+            up = loss()
+            layer[place] = old - 1e-6
+            down = loss()
+            layer[place] = old
+            assert abs((up - down) / 2e-6 - slope[place]) < 1e-6
+
+
+def test_network_learns_planted_classes_and_stops(spark):
+    known = spark.createDataFrame(planted(seed=6, per_class=250, far=0), VECTORS).repartition(5)
+    split = sampling.with_part(known, "vec_id", 0.6)
+    train, held_out = split.where("part = 'train'"), split.where("part = 'test'")
+    network = learning.train_network(train, "embedding", "label", held_out)
+    assert network.classes == (0, 1, 2, 3) and network.epochs <= 20
+    scored = learning.score_rows(held_out, network, "embedding", "label", "vec_id")
+    whole = {r.bin: r for r in learning.evaluate_rows(scored, "label").collect()}
+    assert whole[None].accuracy >= 0.95 and whole[None].n == held_out.count() == sum(r.n for b, r in whole.items() if b is not None)
+    curve = network.curve
+    assert [c[0] for c in curve] == list(range(1, network.epochs + 1)) and curve[-1][1] < curve[0][1]
+    # It ends three epochs after the best training accuracy, or after twenty.
+    best = max(range(len(curve)), key=lambda i: (curve[i][2], -i))
+    assert network.epochs == 20 or network.epochs == best + 4
+    again = learning.train_network(train.repartition(3), "embedding", "label", held_out)
+    assert again.curve == curve
+    with pytest.raises(ValueError, match="no rows"):
+        learning.train_network(train.limit(0), "embedding", "label")
+
+
+def test_evaluation_matches_sql_over_the_scored_rows(spark, table, tmp_path):
+    import duckdb
+
+    network = learning.train_network(table.where("vec_id < 100"), "embedding", "label", epochs=3)
+    scored = learning.score_rows(table, network, "embedding", "label", "vec_id")  # labels 3 were not seen
+    scored.toPandas().to_parquet(tmp_path / "scored.parquet")
+    sql = f"""SELECT bin, count(*), -avg(ln(greatest(chance, 1e-7))), avg((predicted = label)::INTEGER), avg(confidence)
+              FROM (SELECT *, least(floor(confidence * 10), 9)::INTEGER AS bin FROM '{tmp_path}/scored.parquet') GROUP BY ROLLUP (bin)"""
+    want = sorted(duckdb.sql(sql).fetchall(), key=str)
+    got = sorted(map(tuple, learning.evaluate_rows(scored, "label").collect()), key=str)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert all(g[2:] == pytest.approx(w[2:]) for g, w in zip(got, want))
+    rows = learning.curve_rows(spark, network).collect()
+    assert [r.epoch for r in rows] == [1, 2, 3] and rows[0].held_out_loss is None and rows[2].loss < rows[0].loss

@@ -7,10 +7,14 @@ statistics, not the output of a language model.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.functions.jsonx import DOCUMENT_TAGS, validate
 from tidemill.functions.text import TOKEN, tokens, word_bucket, words
+from tidemill.operators.skew import positions
 
 # Frequent function words of five languages.
 STOP_WORDS = {
@@ -85,6 +89,24 @@ def pack(sizes: Column, budget: int) -> Column:
     return F.flatten(F.transform(groups, lambda n, i: F.array_repeat(i, n)))
 
 
+def packed_pieces(docs: DataFrame, size: int, budget: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``<key>, piece, grp``: groups of consecutive pieces of ``size`` tokens, filled up to ``budget``; no shuffle.
+
+    All pieces are of one size but the last, so a group follows from a division, and only the last piece asks
+    whether it still fits. :func:`pack` takes pieces of any sizes.
+    """
+    together = max(budget // size, 1)
+    n = F.regexp_count(F.col(text), F.lit(TOKEN))
+    counted_ = docs.select(key, n.alias("__n")).where(F.col("__n") > 0)
+    full, rest = F.floor(F.col("__n") / F.lit(size)).cast("int"), F.col("__n") % size
+    pieces = counted_.select(key, "__n", F.explode(F.sequence(F.lit(0), F.ceil(F.col("__n") / F.lit(size)).cast("int") - 1)).alias("piece"))
+    group = F.floor(F.col("piece") / F.lit(together)).cast("int")
+    # The group before the last piece, if that piece begins one and is small enough for what is left there.
+    left = budget - F.when(F.col("piece") > 0, together * size).otherwise(budget + 1)
+    fits = (F.col("piece") == full) & (F.col("piece") % together == 0) & (rest <= left)
+    return pieces.select(key, "piece", F.when(fits, group - 1).otherwise(group).alias("grp"))
+
+
 def stuff(text: Column, separator: str = " ") -> Column:
     """All tokens of a document in one string with single separators."""
     return F.array_join(tokens(text), separator)
@@ -101,14 +123,51 @@ def word_weights(docs: DataFrame, n_docs: Column, text: str = "text") -> DataFra
     return per_bucket.select("bucket", F.log((n_docs + 1) / (F.col("uses") + 1)).alias("idf"))
 
 
-def piece_words(docs: DataFrame, size: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``<key>, piece, word, tf`` with pieces of ``size`` words."""
-    return (
-        docs.select(key, F.posexplode(words(F.col(text))).alias("__pos", "word"))
-        .select(key, F.floor(F.col("__pos") / F.lit(size)).cast("int").alias("piece"), "word")
-        .groupBy(key, "piece", "word")
-        .agg(F.count("*").alias("tf"))
-    )
+def counted(ws: Column) -> Column:
+    """``array<struct<word,tf>>`` of an array of words, by word: counted in the row, without an exchange.
+
+    Equal words are neighbours in the sorted array, so a count is the distance of two starts.
+    """
+
+    def starts_in(ordered: Column) -> Column:
+        n = F.size(ordered)
+        starts = F.filter(
+            F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
+            lambda i: (i < n) & ((i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))),
+        )
+        count = lambda at, j, starts: F.struct(
+            F.get(ordered, at).alias("word"), (F.coalesce(F.get(starts, j + 1), n) - at).cast("long").alias("tf")
+        )
+        return _bound(starts, lambda held: F.transform(held, lambda at, j: count(at, j, held)))
+
+    return _bound(F.sort_array(ws), starts_in)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used, also inside lambdas."""
+    return F.transform(F.array(value), use)[0]
+
+
+def piece_words(docs: DataFrame, size: int, key: str = "doc_id", text: str = "text", *keep: str) -> DataFrame:
+    """``<key>, <keep>, piece, word, tf`` with pieces of ``size`` words, each counted where its text is."""
+    last = F.greatest(F.floor((F.size("__w") - 1) / F.lit(size)).cast("int"), F.lit(0))
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda p: F.slice("__w", p * size + 1, F.lit(size)))
+    cut = docs.select(key, *keep, words(F.col(text)).alias("__w")).select(key, *keep, F.posexplode(pieces).alias("piece", "__p"))
+    return cut.select(key, *keep, "piece", F.inline(counted(F.col("__p"))))
+
+
+def _top(rows: DataFrame, by: list[str], n: int) -> DataFrame:
+    """The ``n`` rows of each group with the highest score; cut inside each task before anything is shuffled."""
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), F.asc("word")))
+    return rows.select("*", rank.alias("__r")).where(F.col("__r") <= n).drop("__r")
+
+
+def _scored(rows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """``word`` and ``tf`` replaced by ``word, score``, with the weights of all texts in ``docs``."""
+    weights = F.broadcast(word_weights(docs, docs.agg(F.count("*")).scalar(), text))
+    kept = [c for c in rows.columns if c not in ("word", "tf")]
+    scored = rows.withColumn("bucket", word_bucket(F.col("word"))).join(weights, "bucket")
+    return scored.select(*kept, "word", (F.col("tf") * F.col("idf")).cast("decimal(18,6)").alias("score"))
 
 
 def piece_themes(docs: DataFrame, size: int = 1000, n: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -117,17 +176,10 @@ def piece_themes(docs: DataFrame, size: int = 1000, n: int = 5, key: str = "doc_
     Scores are decimals of 6 places: equal ones tie, so that the word decides, and sums of them
     do not depend on the order.
 
-    Texts are shuffled once, by document; counting, weighting (a broadcast of at most 2**20 rows)
-    and ranking then stay where the document is.
+    No exchange carries a text or all of its words: words are counted in the text's row, weighted by a
+    broadcast of at most 2**20 rows, and only the best of each piece in a task go on to the reducers.
     """
-    by_doc = docs.select(key, text).repartition(key)
-    weights = F.broadcast(word_weights(by_doc, docs.agg(F.count("*")).scalar(), text))
-    counted = piece_words(by_doc, size, key, text).withColumn("bucket", word_bucket(F.col("word")))
-    scored = counted.join(weights, "bucket").select(
-        key, "piece", "word", (F.col("tf") * F.col("idf")).cast("decimal(18,6)").alias("score")
-    )
-    rank = F.row_number().over(Window.partitionBy(key, "piece").orderBy(F.desc("score"), F.asc("word")))
-    return scored.select("*", rank.alias("__r")).where(F.col("__r") <= n).drop("__r")
+    return _top(_scored(piece_words(docs, size, key, text), docs, text), [key, "piece"], n)
 
 
 def primary_topics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -148,14 +200,25 @@ def theme_summary(themes: DataFrame, n: int = 10, key: str = "doc_id") -> DataFr
     return merged.select("*", rank.alias("rank")).where(F.col("rank") <= n)
 
 
+def refine_additions(themes: DataFrame, key: str = "doc_id") -> DataFrame:
+    """What each piece adds to the summary so far: ``<key>, piece, position, word``.
+
+    A word is added by the first piece that has it, in the order of that piece's scores. The summary
+    after a piece is the words of all pieces up to it by ``position``, so every state is a prefix of one list,
+    and the result has a row per word, not per word and piece.
+    """
+    firsts = themes.groupBy(key, "word").agg(F.min(F.struct("piece", (-F.col("score")).alias("below"))).alias("__f"))
+    placed = firsts.select(key, F.col("__f.piece").alias("piece"), F.col("__f.below").alias("__below"), "word")
+    return positions(placed, [key], "piece", "__below", "word").select(key, "piece", "position", "word")
+
+
 def refine_summary(themes: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The summary after each piece, in order: a piece adds its themes unless already there."""
-    per_piece = themes.groupBy(key, "piece").agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "word"))).alias("__t")
-    )
-    frame = Window.partitionBy(key).orderBy("piece").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    so_far = F.flatten(F.collect_list(F.transform("__t", lambda t: t["word"])).over(frame))
-    return per_piece.select(key, "piece", F.array_distinct(so_far).alias("summary"))
+    """The summary after each piece that has themes, written out: as long as all states together."""
+    added = refine_additions(themes, key)
+    steps = themes.select(key, "piece").distinct().select(key, F.col("piece").alias("__step"))
+    so_far = F.sort_array(F.collect_list(F.struct("position", "word")))
+    states = steps.join(added, key).where(F.col("piece") <= F.col("__step")).groupBy(key, "__step").agg(so_far.alias("__s"))
+    return states.select(key, F.col("__step").alias("piece"), F.transform("__s", lambda s: s["word"]).alias("summary"))
 
 
 def _share(ws: Column, vocabulary: str) -> Column:
@@ -175,20 +238,44 @@ def with_language(docs: DataFrame, text: str = "text", out: str = "language") ->
     return found.withColumn(out, F.array_max(F.array(*scores))["name"]).drop("__s")
 
 
+def _tags(ws: Column) -> list[Column]:
+    """``sentiment`` (happy, neutral, sad) and ``aggressiveness`` (1 to 5) of an array of words, from word lists."""
+    lean = _share(ws, POSITIVE) - _share(ws, NEGATIVE)
+    per_hundred = F.floor(_share(ws, AGGRESSIVE) * 100 / F.greatest(F.size(ws), F.lit(1)))
+    return [
+        F.when(lean > 0, "happy").when(lean < 0, "sad").otherwise("neutral").alias("sentiment"),
+        F.least(1 + per_hundred, F.lit(5)).cast("int").alias("aggressiveness"),
+    ]
+
+
 def tag_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``sentiment`` (happy, neutral, sad) and ``aggressiveness`` (1 to 5) from word lists."""
+    """``sentiment`` and ``aggressiveness`` of each text."""
+    return docs.select(key, words(F.col(text)).alias("__w")).select(key, *_tags(F.col("__w")))
+
+
+def tag_with_topic(docs: DataFrame, key: str = "doc_id", text: str = "text", *keep: str) -> DataFrame:
+    """``<key>, <keep>, sentiment, aggressiveness, primary_topic``, one row per document, its tags checked as a reply.
+
+    Tags are found in the row that is counted for the topic, so a text is read once for both and once
+    for the weights. A text without words has no topic, and is reported as not valid: ``errors, valid``.
+    """
     ws = F.col("__w")
-    lean = F.col("__pos") - F.col("__neg")
-    per_hundred = F.floor(F.col("__agg") * 100 / F.greatest(F.size(ws), F.lit(1)))
-    return (
-        docs.select(key, words(F.col(text)).alias("__w"))
-        .select(
-            key, "__w", _share(ws, POSITIVE).alias("__pos"), _share(ws, NEGATIVE).alias("__neg"),
-            _share(ws, AGGRESSIVE).alias("__agg"),
-        )
-        .select(
-            key,
-            F.when(lean > 0, "happy").when(lean < 0, "sad").otherwise("neutral").alias("sentiment"),
-            F.least(1 + per_hundred, F.lit(5)).cast("int").alias("aggressiveness"),
-        )
+    # Tags come before the generator, which would find them, and copy the text, once for each word.
+    tagged = docs.select(key, *keep, words(F.col(text)).alias("__w")).select(key, *keep, *_tags(ws), counted(ws).alias("__c"))
+    rows = tagged.select(key, *keep, "sentiment", "aggressiveness", F.inline_outer("__c"))
+    # The weight of a bucket without a word is that of no word: an outer row keeps its place.
+    bucket = F.when(F.col("word").isNotNull(), word_bucket(F.col("word")))
+    weights = F.broadcast(word_weights(docs, docs.agg(F.count("*")).scalar(), text))
+    scored = rows.withColumn("bucket", bucket).join(weights, "bucket", "left").select(
+        key, *keep, "sentiment", "aggressiveness", "word", (F.col("tf") * F.col("idf")).cast("decimal(18,6)").alias("score")
     )
+    best = _top(scored, [key], 1).withColumnRenamed("word", "primary_topic")
+    reply = F.to_json(F.struct("sentiment", "aggressiveness", "primary_topic")).alias("__reply")
+    checked = validate(best.select(key, *keep, reply), "__reply", DOCUMENT_TAGS)
+    return checked.drop("__reply")
+
+
+def page_text(html: Column) -> Column:
+    """A page's words without its markup, scripts and styles."""
+    shown = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
+    return F.regexp_replace(shown, "<[^>]*>", " ")

@@ -7,7 +7,7 @@ from functools import reduce
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions import html as html_helper
@@ -108,6 +108,23 @@ def next_page(children: DataFrame, key: str, token=None, size: int = PAGE_DEFAUL
     return rest.orderBy(key).limit(size)
 
 
+def next_pages(children: DataFrame, tokens: DataFrame, parent: str, key: str, size: int = PAGE_DEFAULT) -> DataFrame:
+    """The page of each asked parent after its ``token``, the last key it has seen; null for the first page.
+
+    Adds ``next_page_token``, null on the last page. A parent's rows after its token are cut to a page and one row
+    inside each task before anything is shuffled.
+    """
+    if not 1 <= size <= PAGE_MAX:
+        raise ValueError(f"page size must be 1 to {PAGE_MAX}")
+    asked = tokens.select(F.col(parent).alias("__parent"), "token")
+    rest = children.join(asked, F.col(parent) == F.col("__parent")).where(F.col("token").isNull() | (F.col(key) > F.col("token")))
+    order = Window.partitionBy("__parent").orderBy(key)
+    cut = rest.select("*", F.row_number().over(order).alias("__r")).where(F.col("__r") <= size + 1)
+    more = F.max("__r").over(Window.partitionBy("__parent")) > size
+    last = F.max(F.when(F.col("__r") == size, F.col(key))).over(Window.partitionBy("__parent"))
+    return cut.select(*children.columns, F.when(more, last).alias("next_page_token"), "__r").where(F.col("__r") <= size).drop("__r")
+
+
 def quota_violations(
     corpora: DataFrame | None = None,
     documents: DataFrame | None = None,

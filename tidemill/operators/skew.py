@@ -61,9 +61,12 @@ def totals_before(
 
     crossing = named.select("__whose", "__place", F.col(value).alias("__value")).join(cut, F.col("__whose") == F.col("__cut_group"))
     sums = crossing.select("__whose", block, "__value").groupBy("__whose", "__block").agg(F.sum("__value").alias("__sum"))
-    earlier = Window.partitionBy("__whose").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select("__whose", "__block", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__sum"))
-    offsets = before.groupBy("__whose").agg(F.map_from_entries(F.collect_list(F.struct("__block", "__sum"))).alias("__offsets"))
+    kind = sums.schema["__sum"].dataType
+    add = lambda total, b: (total + F.coalesce(b["__sum"], F.lit(0))).cast(kind)
+    # A group's blocks are as many as its cuts and one more: their running sums are an expression on one row.
+    held = sums.groupBy("__whose").agg(F.sort_array(F.collect_list(F.struct("__block", "__sum"))).alias("__b"))
+    running = F.transform("__b", lambda b, i: F.struct(b["__block"], F.aggregate(F.slice("__b", F.lit(1), i), F.lit(0).cast(kind), add)))
+    offsets = held.select("__whose", F.map_from_entries(running).alias("__offsets"))
     known = F.broadcast(offsets.join(cut, F.col("__whose") == F.col("__cut_group")).select("__cut_group", "__cuts", "__offsets"))
 
     numbered = named.join(known, F.col("__whose") == F.col("__cut_group"), "left").select(*rows.columns, "__whose", block, "__offsets")

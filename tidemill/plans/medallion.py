@@ -71,19 +71,29 @@ def sales_columns() -> list[Column]:
     ]
 
 
-def sales_by_author(facts: DataFrame, books: DataFrame) -> DataFrame:
-    """Amount and quantity per author over all books sold; unknown books drop out.
-
-    Sums per book come first, so a hot book meets the join as one row.
-    """
-    per_book = explode_books(facts).groupBy("book_id").agg(
+def sales_by_book(facts: DataFrame) -> DataFrame:
+    """Amount and quantity per book sold, as a batch or as the one aggregation of a stream."""
+    return explode_books(facts).groupBy("book_id").agg(
         F.sum("subtotal").alias("subtotal"), F.sum("quantity").alias("quantity")
     )
+
+
+def author_totals(per_book: DataFrame, books: DataFrame) -> DataFrame:
+    """Sums per book to sums per author; unknown books drop out. A hot book meets the join as one row."""
     return per_book.join(books.select("book_id", "author"), "book_id").groupBy("author").agg(*sales_columns())
 
 
+def sales_by_author(facts: DataFrame, books: DataFrame) -> DataFrame:
+    """Amount and quantity per author over all books sold; unknown books drop out."""
+    return author_totals(sales_by_book(facts), books)
+
+
 def stream_sales_by_author(facts: DataFrame, books: DataFrame) -> DataFrame:
-    """The same totals as one streaming aggregation, which may have only one grouping."""
+    """The same totals as one streaming aggregation, which may have only one grouping.
+
+    Every book line is joined; :func:`sales_by_book` as the stream and :func:`author_totals` of its
+    result join one row per book.
+    """
     return (
         explode_books(facts)
         .join(books.select("book_id", "author"), "book_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.text import token_count
 from tidemill.operators import chunking, corpus
 from tidemill.plans.registry import Tables, query
 
@@ -80,6 +81,19 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "html_passage_words",
+    r"""SELECT page_id, len(list_filter(regexp_split_to_array(regexp_replace(regexp_replace(html,
+            '<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>|<!--.*?-->', ' ', 'gis'),
+            '<[^>]*>|&nbsp;', ' ', 'g'), '\s+'), lambda w: w <> '')) AS n_words FROM pages""",
+)
+def _(t: Tables) -> DataFrame:
+    """No passage loses or repeats a word of its page."""
+    passages = corpus.page_passages(t.pages.select("page_id", "html"), max_words=200, merge=True)
+    counts = passages.groupBy("page_id").agg(F.sum(token_count(F.col("passage"))).alias("n"))
+    return t.pages.select("page_id").join(counts, "page_id", "left").select("page_id", F.coalesce("n", F.lit(0)).alias("n_words"))
+
+
 @query("html_passages_flat")
 def _(t: Tables) -> DataFrame:
     return corpus.page_passages(t.pages.select("page_id", "html"), max_words=100, merge=False)
@@ -119,6 +133,23 @@ def _(t: Tables) -> DataFrame:
     return corpus.pages_of(t.documents.select("source", "doc_id"), "source", "doc_id")
 
 
+@query(
+    "next_page",
+    """WITH placed AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS place,
+                              count(*) OVER (PARTITION BY source) AS n FROM documents)
+       SELECT p.source, p.doc_id, l.doc_id AS next_page_token
+       FROM placed p LEFT JOIN placed l ON l.source = p.source AND l.place = 20 AND p.n > 20
+       WHERE p.place BETWEEN 11 AND 20""",
+)
+def _(t: Tables) -> DataFrame:
+    """The second page of each source, asked for with the token that came with the first."""
+    children = t.documents.select("source", "doc_id")
+    first = children.select("source").distinct().withColumn("token", F.lit(None).cast("long"))
+    page = corpus.next_pages(children, first, "source", "doc_id")
+    tokens = page.where("next_page_token IS NOT NULL").select("source", F.col("next_page_token").alias("token")).distinct()
+    return corpus.next_pages(children, tokens, "source", "doc_id")
+
+
 @query(
     "quota_violations",
     rf"""WITH {NAMES_SQL}, found AS (

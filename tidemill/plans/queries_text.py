@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tidemill.functions import jsonx, text as tx
 from tidemill.functions.vector_math import dot, epoch_text
-from tidemill.operators import chunking, learning, relational as rel, windows
+from tidemill.operators import chunking, embedding, learning, relational as rel, sampling, windows
 from tidemill.plans.registry import Tables, as_double, query
 from tidemill.schemas import REPLY_WITH_PARTS
 from tidemill.sources.files import rescue_json
@@ -333,8 +333,7 @@ def _(t: Tables) -> DataFrame:
                FROM (SELECT doc_id, {TOKENS_SQL} AS n FROM documents))""",
 )
 def _(t: Tables) -> DataFrame:
-    groups = chunking.pack(chunking.piece_sizes(F.col("text"), 300), 4000)
-    return texts(t).select("doc_id", F.posexplode(groups).alias("piece", "grp"))
+    return chunking.packed_pieces(texts(t), 300, 4000)
 
 
 BUCKET_SQL = "('0x' || substr(md5(w), 1, 5))::INTEGER"
@@ -370,13 +369,12 @@ def _(t: Tables) -> DataFrame:
 @query(
     "refine_summary",
     f"""WITH {THEMES_SQL},
-        steps AS (SELECT DISTINCT doc_id, piece FROM themes)
-        SELECT doc_id, s.piece, string_agg(DISTINCT w, ' ' ORDER BY w) AS summary
-        FROM steps s JOIN themes t USING (doc_id) WHERE t.piece <= s.piece GROUP BY 1, 2""",
+        firsts AS (SELECT doc_id, w, min(piece) AS piece FROM themes GROUP BY 1, 2)
+        SELECT doc_id, piece, row_number() OVER (PARTITION BY doc_id ORDER BY piece, score DESC, w) - 1 AS position, w AS word
+        FROM firsts JOIN themes USING (doc_id, w, piece)""",
 )
 def _(t: Tables) -> DataFrame:
-    steps = chunking.refine_summary(chunking.piece_themes(t.documents))
-    return steps.select("doc_id", "piece", F.array_join(F.sort_array("summary"), " ").alias("summary"))
+    return chunking.refine_additions(chunking.piece_themes(t.documents))
 
 
 def _count_sql(words: str) -> str:
@@ -431,55 +429,151 @@ def _(t: Tables) -> DataFrame:
     return rel.confusion_matrix(_detected(t), "actual", "detected", sorted(CODES.values()))
 
 
-@query(
-    "tag_documents",
-    f"""WITH {THEMES_SQL.replace("// 1000", "// 1000000000")},
+def _tags_sql(themes: str, given: str) -> str:
+    return f"""WITH {themes},
         tagged AS (SELECT doc_id, len(ws) AS n, {_count_sql(chunking.POSITIVE)} AS pos, {_count_sql(chunking.NEGATIVE)} AS neg,
                           {_count_sql(chunking.AGGRESSIVE)} AS agg
-                   FROM (SELECT doc_id, {WORDS_SQL} AS ws FROM documents))
-        SELECT g.doc_id, CASE WHEN pos > neg THEN 'happy' WHEN pos < neg THEN 'sad' ELSE 'neutral' END AS sentiment,
-               CAST(least(1 + agg * 100 // greatest(n, 1), 5) AS INTEGER) AS aggressiveness, w AS primary_topic
+                   FROM (SELECT doc_id, {WORDS_SQL} AS ws FROM {given}))
+        SELECT g.doc_id, url, CASE WHEN pos > neg THEN 'happy' WHEN pos < neg THEN 'sad' ELSE 'neutral' END AS sentiment,
+               CAST(least(1 + agg * 100 // greatest(n, 1), 5) AS INTEGER) AS aggressiveness, w AS primary_topic,
+               CASE WHEN w IS NULL THEN 'primary_topic: missing' ELSE '' END AS errors, w IS NOT NULL AS valid
         FROM tagged g LEFT JOIN (SELECT doc_id, w FROM (SELECT *, row_number() OVER (
-            PARTITION BY doc_id ORDER BY score DESC, w) AS rn FROM scored) WHERE rn = 1) USING (doc_id)""",
-)
+            PARTITION BY doc_id ORDER BY score DESC, w) AS rn FROM scored) WHERE rn = 1) USING (doc_id)
+            LEFT JOIN pages ON page_id = doc_id"""
+
+
+def _tagged(docs: DataFrame) -> DataFrame:
+    tagged = chunking.tag_with_topic(docs, "doc_id", "text", "url")
+    return tagged.withColumn("errors", F.array_join("errors", "; "))
+
+
+@query("tag_documents", _tags_sql(THEMES_SQL.replace("// 1000", "// 1000000000"), "documents"))
 def _(t: Tables) -> DataFrame:
-    topics = chunking.primary_topics(t.documents)
-    return chunking.tag_documents(t.documents).join(topics, "doc_id", "left")
+    """A document's address is that of the page with its number."""
+    urls = t.pages.select(F.col("page_id").alias("doc_id"), "url")
+    tagged = chunking.tag_with_topic(t.documents.select("doc_id", "text"))
+    return tagged.join(urls, "doc_id", "left").withColumn("errors", F.array_join("errors", "; "))
 
 
-@query("embed_text")
+PAGE_TEXT_SQL = r"""(SELECT page_id AS doc_id, regexp_replace(regexp_replace(html,
+    '<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', ' ', 'gis'), '<[^>]*>', ' ', 'g') AS text FROM pages)"""
+
+
+@query("tag_pages", _tags_sql(THEMES_SQL.replace("// 1000", "// 1000000000").replace("documents", PAGE_TEXT_SQL), PAGE_TEXT_SQL))
 def _(t: Tables) -> DataFrame:
-    docs = t.documents.select("doc_id", "lang", "text")
-    vectors = learning.embed_text(learning.text_features(docs), docs, "doc_id", "lang")
-    values = vector_to_array("features")
-    return vectors.select("doc_id", "lang", F.round(F.array_max(values), 6).alias("peak"), F.size(values).alias("dim"))
+    """Web pages with their address, read as documents and tagged."""
+    return _tagged(t.pages.select(F.col("page_id").alias("doc_id"), "url", chunking.page_text(F.col("html")).alias("text")))
+
+
+# A bucket has 18 of the 20 bits of a word's hash; sign i of a bucket is bit i of md5 of "bucket:block".
+def _bags_sql(key: str, given: str) -> str:
+    words = f"SELECT {key}, unnest({WORDS_SQL}) AS w FROM ({given})"
+    return f"(SELECT {key}, b, count(*) AS tf FROM (SELECT {key}, {BUCKET_SQL} // 4 AS b FROM ({words})) GROUP BY {key}, b)"
 
 
-@query("text_similarity")
+def _vectors_sql(key: str, texts: str, given: str, name: str) -> str:
+    """SQL that defines ``<name>(key, i, x)``: unit vectors of ``texts``, with the weights of all of ``given``."""
+    return f"""
+    {name}_idf AS (SELECT b, ln((SELECT count(*) + 1 FROM ({given})) / (count(*) + 1)) AS idf FROM {_bags_sql(key, given)} GROUP BY b),
+    {name}_bag AS (SELECT {key}, b, tf * idf AS w FROM {_bags_sql(key, texts)} JOIN {name}_idf USING (b)),
+    {name}_bits AS (SELECT b, unnest(range(6)) AS block FROM (SELECT DISTINCT b FROM {name}_bag)),
+    {name}_hex AS (SELECT b, block * 128 + (p - 1) * 4 AS first_bit, ('0x' || substr(md5(b || ':' || block), p::INTEGER, 1))::INTEGER AS digit
+                   FROM (SELECT b, block, unnest(range(1, 33)) AS p FROM {name}_bits)),
+    {name}_sign AS (SELECT b, first_bit + k AS i, 2 * ((digit >> (3 - k)::INTEGER) & 1) - 1 AS s FROM (SELECT b, first_bit, digit, unnest(range(4)) AS k FROM {name}_hex)),
+    {name}_sum AS (SELECT {key}, i, sum(w * s) AS x FROM {name}_bag JOIN {name}_sign USING (b) GROUP BY ALL),
+    {name} AS (SELECT {key}, i, x / sqrt(nullif(sum(x * x) OVER (PARTITION BY {key}), 0)) AS x FROM {name}_sum)"""
+
+
+DOCS_SQL = "SELECT doc_id, text FROM documents"
+
+
+@query(
+    "embed_text",
+    f"""WITH {_vectors_sql("doc_id", DOCS_SQL, DOCS_SQL, "v")}
+        SELECT doc_id, lang, round(max(x), 6) AS peak, round(sum(x * (i + 1)) / 768, 6) AS digest, CAST(count(x) AS INTEGER) AS dim
+        FROM documents LEFT JOIN v USING (doc_id) GROUP BY doc_id, lang""",
+)
+def _(t: Tables) -> DataFrame:
+    """Vectors of 768 elements, told by their size, largest element, and a sum that weighs elements by their place."""
+    vectors = embedding.fit_embedder(t.documents.select("text")).embed(t.documents, "doc_id", "lang")
+    place = F.aggregate(F.transform("vector", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x) / embedding.DIMS
+    return vectors.select(
+        "doc_id", "lang", F.round(F.array_max("vector"), 6).alias("peak"), F.round(place, 6).alias("digest"),
+        F.coalesce(F.size("vector"), F.lit(0)).alias("dim"),
+    )
+
+
+MESSAGES_SQL = "SELECT conv_id, turn, text FROM conversations"
+NORMAL_SQL = r"""SELECT conv_id, turn, translate(regexp_replace(text, '^\S+\s+', ''), '"' || chr(39), '') AS text FROM conversations"""
+
+
+@query(
+    "text_similarity",
+    f"""WITH {_vectors_sql("conv_id, turn", MESSAGES_SQL, MESSAGES_SQL, "a")}, {_vectors_sql("conv_id, turn", NORMAL_SQL, MESSAGES_SQL, "b")}
+        SELECT conv_id, turn, round(sum(a.x * b.x), 6) AS similarity
+        FROM conversations LEFT JOIN a USING (conv_id, turn) LEFT JOIN b USING (conv_id, turn, i) GROUP BY conv_id, turn""",
+)
 def _(t: Tables) -> DataFrame:
     """How far dropping the first word and the quotes moves a message's vector."""
     messages = t.conversations.select("conv_id", "turn", "text")
-    model = learning.text_features(messages)
-    before = learning.embed_text(model, messages, "conv_id", "turn", "text")
-    normal = before.select(
-        "conv_id", "turn", vector_to_array("features").alias("before"),
-        tx.without_quotes(tx.without_first_word(F.col("text"))).alias("text"),
-    )
-    both = learning.embed_text(model, normal, "conv_id", "turn", "before")
-    similarity = dot(F.col("before"), vector_to_array("features"))
-    return both.select("conv_id", "turn", F.round(similarity, 6).alias("similarity"))
+    embedder = embedding.fit_embedder(messages)
+    normal = tx.without_quotes(tx.without_first_word(F.col("text"))).alias("normal")
+    before = embedder.embed(messages.select("*", normal), "conv_id", "turn", "normal", out="before")
+    both = embedder.embed(before, "conv_id", "turn", "before", text="normal", out="after")
+    return both.select("conv_id", "turn", F.round(dot(F.col("before"), F.col("after")), 6).alias("similarity"))
 
 
-QUALITY_SAMPLE = 10_000
+SIMILAR = 0.95
 
 
-@query("classify_quality")
+@query(
+    "similar_pairs",
+    f"""WITH {_vectors_sql("doc_id", DOCS_SQL, DOCS_SQL, "v")},
+        named AS (SELECT doc_id, string_agg(b || ':' || tf, ',' ORDER BY b) AS same FROM {_bags_sql("doc_id", DOCS_SQL)} GROUP BY doc_id),
+        classes AS (SELECT min(doc_id) AS id, count(*) AS size FROM named GROUP BY same),
+        packed AS (SELECT id, size, list(x ORDER BY i) AS v FROM classes JOIN v ON doc_id = id GROUP BY id, size),
+        pairs AS (SELECT a.id AS left_id, b.id AS right_id, list_inner_product(a.v, b.v) AS similarity, a.size AS left_size, b.size AS right_size
+                  FROM packed a JOIN packed b ON a.id < b.id)
+        SELECT left_id, right_id, round(similarity, 6) AS similarity, left_size, right_size FROM pairs WHERE similarity >= {SIMILAR}""",
+)
 def _(t: Tables) -> DataFrame:
-    """Every document's label, by a model of at most ``QUALITY_SAMPLE`` labelled rows, chosen by a hash."""
+    """Documents alike in their words: pairs of classes, found in hash tables of their vectors' signs."""
+    docs = t.documents.select("doc_id", "text", embedding.same_words(F.col("text")).alias("same"))
+    vectors = embedding.fit_embedder(docs).embed(docs, "doc_id", "same")
+    return embedding.similar_pairs(vectors, SIMILAR).withColumn("similarity", F.round("similarity", 6))
+
+
+QUALITY_SAMPLE = 10_000
+
+
+def _quality_model(t: Tables):
+    """Word features, and a model of at most ``QUALITY_SAMPLE`` labelled rows of the training part, those with the smallest hashes."""
     features = learning.text_features(t.documents.select("text"), dims=1024)
-    chosen = t.labels.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id").limit(QUALITY_SAMPLE)
+    known = sampling.with_part(t.labels.select("doc_id", "quality"), "doc_id").where("part = 'train'").drop("part")
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(QUALITY_SAMPLE)
     train = learning.embed_text(features, t.documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "doc_id", "quality")
-    model = learning.train_logistic(train, "features", "quality", max_iter=20)
+    return features, learning.train_logistic(train, "features", "quality", max_iter=20)
+
+
+@query("classify_quality")
+def _(t: Tables) -> DataFrame:
+    """Every document's label as a reply."""
+    features, model = _quality_model(t)
     label = F.when(F.col("prediction") == 1, "positive").otherwise("negative")
     scored = model.transform(learning.embed_text(features, texts(t), "doc_id"))
     return scored.select("doc_id", F.to_json(F.struct(label.alias("sentiment"))).alias("reply"))
+
+
+@query("evaluate_quality")
+def _(t: Tables) -> DataFrame:
+    """Loss, accuracy and calibration of the labels, over all labelled rows that were held out."""
+    features, model = _quality_model(t)
+    held_out = sampling.with_part(t.labels.select("doc_id", "quality"), "doc_id").where("part = 'test'").drop("part")
+    rows = learning.embed_text(features, texts(t).join(held_out, "doc_id"), "doc_id", "quality")
+    chances = vector_to_array("probability")
+    scored = model.transform(rows).select(
+        "quality", F.col("prediction").cast("int").alias("predicted"), F.array_max(chances).alias("confidence"),
+        F.get(chances, F.col("quality").cast("int")).alias("chance"),
+    )
+    found = learning.evaluate_rows(scored, "quality")
+    return found.select("bin", "n", *[F.round(c, 6).alias(c) for c in ("loss", "accuracy", "confidence")])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -242,24 +241,33 @@ def _(t: Tables) -> DataFrame:
     return learning.cluster(t.embeddings, "embedding", k=4, seed=1).select("vec_id", "label", "cluster")
 
 
-def _parts(t: Tables) -> tuple[DataFrame, DataFrame]:
-    split = sampling.train_test_split(t.embeddings, "label", "vec_id", 100, 25)
-    ready = split.select("vec_id", "label", "part", array_to_vector("embedding").alias("features"))
-    return ready.where("part = 'train'"), ready.where("part = 'test'")
+TRAINED, WATCHED = 100, 25
+
+
+def _network(t: Tables) -> tuple[learning.Network, DataFrame]:
+    """A network trained on ``TRAINED`` rows a class, and all held-out rows."""
+    split = sampling.with_part(t.embeddings, "vec_id")
+    train = sampling.stratified_sample(split.where("part = 'train'"), "label", "vec_id", TRAINED)
+    held_out = split.where("part = 'test'").drop("part")
+    watched = sampling.stratified_sample(held_out, "label", "vec_id", WATCHED)
+    return learning.train_network(train, "embedding", "label", watched), held_out
 
 
 @query("train_classifier")
 def _(t: Tables) -> DataFrame:
-    train, test = _parts(t)
-    model = learning.train_perceptron(train, "features", "label", dims=64, classes=10)
-    return model.transform(test).select("vec_id", "label", F.col("prediction").cast("int").alias("predicted"))
+    network, held_out = _network(t)
+    scored = learning.score_rows(held_out, network, "embedding", "label", "vec_id")
+    return scored.select("vec_id", "label", "predicted", F.round("confidence", 6).alias("confidence"), F.lit(network.epochs).alias("epochs"))
 
 
 @query("evaluate_classifier")
 def _(t: Tables) -> DataFrame:
-    train, test = _parts(t)
-    model = learning.train_logistic(train, "features", "label", max_iter=20)
-    scored = rel.accuracy_by_class(
-        model.transform(test).withColumn("predicted", F.col("prediction").cast("int")), "label", "predicted"
-    )
-    return scored.withColumn("accuracy", F.round("accuracy", 6))
+    network, held_out = _network(t)
+    found = learning.evaluate_rows(learning.score_rows(held_out, network, "embedding", "label"), "label")
+    return found.select("bin", "n", *[F.round(c, 6).alias(c) for c in ("loss", "accuracy", "confidence")])
+
+
+@query("learning_curve")
+def _(t: Tables) -> DataFrame:
+    network, _ = _network(t)
+    return learning.curve_rows(t.spark, network)

@@ -74,3 +74,14 @@ def describe_tables(spark: SparkSession, tables: Iterable[str]) -> DataFrame:
         for t in tables
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def drop_run_databases(spark: SparkSession, prefix: str = "run_") -> list[str]:
+    """Drop the databases that runs of table-writing queries left, with their tables; returns their names.
+
+    A run keeps its database, as its result is read from there; call this when results were read.
+    """
+    names = [d.name for d in spark.catalog.listDatabases(f"{prefix}*")]
+    for name in names:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    return names

@@ -7,6 +7,8 @@ sees one version or the next, and a repeated micro-batch writes its own version
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -87,14 +89,20 @@ def retire(spark: SparkSession, versions: str, batch_id: int) -> None:
             fs.delete(status.getPath(), True)
 
 
-def replace_stream(df: DataFrame, table: str, root: str) -> StreamingQuery:
-    """Start keeping ``table`` equal to the full result of an aggregated stream; two versions are kept."""
+def replace_stream(
+    df: DataFrame, table: str, root: str, shape: Callable[[DataFrame], DataFrame] | None = None
+) -> StreamingQuery:
+    """Start keeping ``table`` equal to the full result of an aggregated stream; two versions are kept.
+
+    ``shape`` is applied to each full result before it is published: what a stream, with its one
+    aggregation, cannot do.
+    """
     spark = df.sparkSession
     checkpoint = _claim(spark, table, root)
     versions = f"{root}/versions/{table}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        publish(batch, table, f"{versions}/{batch_id:010d}", spark, checkpoint)
+        publish(shape(batch) if shape else batch, table, f"{versions}/{batch_id:010d}", spark, checkpoint)
         retire(spark, versions, batch_id)
 
     return (

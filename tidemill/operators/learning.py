@@ -61,17 +61,22 @@ def embed_with(load: Callable[[], Callable[[list[str]], list[list[float]]]], att
 
 
 def project(df: DataFrame, vector: str, dims: int = 2) -> DataFrame:
-    """Principal components ``pc1, pc2, …``, a linear map to view vectors in the plane."""
+    """Principal components ``pc1, pc2, …``, a linear map to view vectors in the plane.
+
+    A component's sign is free: here its largest weight, the first of equals, is positive.
+    """
     ready = df.withColumn("__v", array_to_vector(F.col(vector)))
     model = PCA(k=dims, inputCol="__v", outputCol="__p").fit(ready)
+    weights = model.pc.toArray()
+    signs = [1.0 if column[np.abs(column).argmax()] > 0 else -1.0 for column in weights.T]
     point = vector_to_array("__p")
-    return model.transform(ready).select(*df.columns, *[point[i].alias(f"pc{i + 1}") for i in range(dims)])
+    return model.transform(ready).select(*df.columns, *[(point[i] * signs[i]).alias(f"pc{i + 1}") for i in range(dims)])
 
 
-def cluster(df: DataFrame, vector: str, k: int = 4, seed: int = 1) -> DataFrame:
+def cluster(df: DataFrame, vector: str, k: int = 4, seed: int = 1, steps: int = 20, tol: float = 1e-4) -> DataFrame:
     """k-means; adds ``cluster``."""
     ready = df.withColumn("__v", array_to_vector(F.col(vector)))
-    model = KMeans(k=k, seed=seed, featuresCol="__v", predictionCol="cluster").fit(ready)
+    model = KMeans(k=k, seed=seed, maxIter=steps, tol=tol, featuresCol="__v", predictionCol="cluster").fit(ready)
     return model.transform(ready).select(*df.columns, "cluster")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import token_count
-from tidemill.functions.vector_math import argmax
+from tidemill.functions.vector_math import argmax, euclidean
 from tidemill.operators import learning, relational as rel, sampling, vectors, windows
 from tidemill.operators.filters import Condition, KeyFilter, active, metadata_filter
 from tidemill.plans.registry import Tables, query
@@ -218,24 +218,80 @@ def _(t: Tables) -> DataFrame:
     return windows.context_budget(passages, 1000).select("query_id", "passage_id", "score", "tokens", "used")
 
 
-@query("project_2d")
+def _component_sql(name: str, matrix: str) -> str:
+    """SQL that defines ``<name>(i, w)``, the first principal component of ``matrix(i, j, c)``, and ``<name>_value``.
+
+    A matrix squared again and again, and scaled, is led by its largest eigenvalue alone.
+    """
+    return f"""
+    {name}_power(step, i, j, c) AS (
+        SELECT 0, i, j, c / (SELECT max(abs(c)) FROM {matrix}) FROM {matrix}
+        UNION ALL
+        SELECT step, i, j, c / max(abs(c)) OVER () FROM (
+            SELECT a.step + 1 AS step, a.i, b.j, sum(a.c * b.c) AS c FROM {name}_power a JOIN {name}_power b ON a.j = b.i
+            WHERE a.step < 24 GROUP BY a.step, a.i, b.j)),
+    {name}_column AS (SELECT i, c FROM {name}_power WHERE step = 24 AND j = (
+        SELECT arg_max(i, c) FROM {name}_power WHERE step = 24 AND i = j)),
+    {name}_unit AS (SELECT i, c / sqrt(sum(c * c) OVER ()) AS w FROM {name}_column),
+    {name} AS (SELECT i, w * (SELECT sign(arg_max(w, abs(w))) FROM {name}_unit) AS w FROM {name}_unit),
+    {name}_value AS (SELECT sum(a.w * m.c * b.w) AS value FROM {name} a JOIN {matrix} m ON m.i = a.i JOIN {name} b ON b.i = m.j)"""
+
+
+PROJECTED_SQL = f"""RECURSIVE {ELEMENTS_SQL},
+    centered AS (SELECT vec_id, i, x - avg(x) OVER (PARTITION BY i) AS x FROM elements),
+    spread AS (SELECT a.i, b.i AS j, sum(a.x * b.x) / ((SELECT count(*) FROM embeddings) - 1) AS c
+               FROM centered a JOIN centered b USING (vec_id) GROUP BY a.i, b.i),
+    {_component_sql("first", "spread")},
+    deflated AS (SELECT s.i, s.j, s.c - (SELECT value FROM first_value) * a.w * b.w AS c
+                 FROM spread s JOIN "first" a ON a.i = s.i JOIN "first" b ON b.i = s.j),
+    {_component_sql("second", "deflated")},
+    points AS (SELECT vec_id, label, sum(x * a.w) AS pc1, sum(x * b.w) AS pc2
+               FROM elements e JOIN "first" a USING (i) JOIN "second" b USING (i) GROUP BY 1, 2)"""
+
+
+@query("project_2d", f"WITH {PROJECTED_SQL} SELECT vec_id, label, round(pc1, 6) AS pc1, round(pc2, 6) AS pc2 FROM points")
 def _(t: Tables) -> DataFrame:
     points = learning.project(t.embeddings, "embedding").select("vec_id", "label", "pc1", "pc2")
     return points.withColumns({c: F.round(c, 6) for c in ("pc1", "pc2")})
 
 
-@query("projected_outliers")
+@query(
+    "projected_outliers",
+    f"""WITH {PROJECTED_SQL}, {DISTANCES_SQL[len(ELEMENTS_SQL):].lstrip(",")}
+        SELECT vec_id, round(pc1, 6) AS pc1, round(pc2, 6) AS pc2, d.label, round(distance, 6) AS distance
+        FROM points JOIN distances d USING (vec_id) WHERE distance > {RADIUS}""",
+)
 def _(t: Tables) -> DataFrame:
     points = learning.project(t.embeddings, "embedding").select("vec_id", "pc1", "pc2")
-    return rel.align(points, vectors.outliers(distances(t), RADIUS), "vec_id")
+    found = rel.align(points, vectors.outliers(distances(t), RADIUS), "vec_id")
+    return found.withColumns({c: F.round(c, 6) for c in ("pc1", "pc2", "distance")})
 
 
-@query("projected_centroids")
+@query(
+    "projected_centroids",
+    f"WITH {PROJECTED_SQL} SELECT label, round(avg(pc1), 6) AS pc1, round(avg(pc2), 6) AS pc2 FROM points GROUP BY 1",
+)
 def _(t: Tables) -> DataFrame:
     points = learning.project(t.embeddings, "embedding")
     return points.groupBy("label").agg(F.round(F.avg("pc1"), 6).alias("pc1"), F.round(F.avg("pc2"), 6).alias("pc2"))
 
 
+@query("kmeans_nearest", "SELECT count(*) AS n, 4 AS n_clusters, true AS all_nearest FROM embeddings")
+def _(t: Tables) -> DataFrame:
+    """Whether, when k-means has settled, every row is in the cluster whose mean is nearest."""
+    rows = learning.cluster(t.embeddings.select("vec_id", "embedding"), "embedding", k=4, seed=1, steps=200, tol=0.0)
+    means = vectors.centroids(rows, "cluster", "embedding").agg(F.collect_list(F.struct("cluster", "centroid")).alias("__m"))
+    least = F.array_min(F.transform("__m", lambda m: euclidean(F.col("embedding"), m["centroid"])))
+    own = F.get(F.filter("__m", lambda m: m["cluster"] == F.col("cluster")), F.lit(0))
+    seen = rows.select("cluster", "embedding", means.scalar().alias("__m")).select(
+        "cluster", least.alias("least"), euclidean(F.col("embedding"), own["centroid"]).alias("own")
+    )
+    return seen.agg(
+        F.count("*").alias("n"), F.countDistinct("cluster").cast("int").alias("n_clusters"),
+        F.every(F.col("own") <= F.col("least") + 1e-9).alias("all_nearest"),
+    )
+
+
 @query("kmeans_assign")
 def _(t: Tables) -> DataFrame:
     return learning.cluster(t.embeddings, "embedding", k=4, seed=1).select("vec_id", "label", "cluster")

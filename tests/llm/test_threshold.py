@@ -5,13 +5,17 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tidemill.llm.grid import Best
-from tidemill.llm.threshold import LARGEST, threshold_search, top_k
+from tidemill.llm.threshold import threshold_search, top_k
 
 DDL = "vec_id long, embedding array<float>, rank int, score string, block long"
 
 
 def whole(x):
-    return max(-LARGEST, min(LARGEST, math.floor(64 * float(np.float32(x)))))
+    return math.floor(64 * float(np.float32(x)))
+
+
+def shown(score):
+    return max(-(2**63), min(2**63 - 1, score))
 
 
 def brute(rows, queries, k):
@@ -20,7 +24,7 @@ def brute(rows, queries, k):
     out = []
     for q, v in asked:
         found = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in usable if i != q and len(w) == len(v))[:k]
-        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found)]
+        out += [(q, n + 1, i, shown(-s)) for n, (s, i) in enumerate(found)]
     return sorted(out)
 
 
@@ -49,6 +53,20 @@ def test_odd_rows(spark):
     assert run(spark, [], [1], 3) == []
 
 
+def test_numbers_of_any_size(spark):
+    """Against Python's integers: around 2**24, in 64 bits, and far beyond them."""
+    rng = random.Random(3)
+    for size in (3e5, 1e9, 1e12, 1e30, 3e38):
+        rows = [(i, [rng.uniform(-1, 1) * size for _ in range(4)]) for i in range(150)] + [(500 + i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(50)]
+        rows += [(600, [3e5, 4e5, 0.0, 0.0]), (601, [4e5, 3e5, 0.0, 0.0]), (602, [3e5, 3e5, 0.0, 0.0])]
+        assert run(spark, rows, [0, 7, 510, 600], 30, group_rows=70) == brute(rows, [0, 7, 510, 600], 30)
+
+
+def test_clamped_no_more(spark):
+    rows = [(1, [1.0]), (2, [300_000.0]), (3, [400_000.0])]
+    assert run(spark, rows, [1], 2) == [(1, 1, 3, 64 * 64 * 400_000), (1, 2, 2, 64 * 64 * 300_000)]
+
+
 def test_search_stops_before_the_end_of_the_lists():
     rng = np.random.default_rng(2)
     # One long component, so its list alone nearly settles the order.

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import below
 
 QUERY_BLOCK = 4096
+END = 2**63 - 1
+# Totals of numbers up to 64e300 are under this.
+SHIFT, DIGITS = 10**620, 621
 
 
 def usable(df: DataFrame, key: str, vector: str, zero: bool) -> DataFrame:
@@ -45,7 +48,10 @@ class Best:
         if not keep.any():
             return
         scores, ids = np.concatenate([self.scores, scores[keep]]), np.concatenate([self.ids, ids[keep]])
-        order = np.lexsort((ids, -scores))
+        if scores.dtype == object:
+            order = np.array(sorted(range(len(ids)), key=lambda i: (-int(scores[i]), ids[i])))
+        else:
+            order = np.lexsort((ids, -scores))
         if self.once:
             order = order[np.sort(np.unique(ids[order], return_index=True)[1])]
         order = order[: self.k]
@@ -58,6 +64,15 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
+def shown(scores: list, kind) -> tuple[np.ndarray, list[str]]:
+    """Scores as ``kind``, and, for whole ones at or beyond the ends of 64 bits, a text that sorts as they do."""
+    if kind is not np.int64:
+        return np.concatenate(scores).astype(kind), []
+    exact = [int(s) for part in scores for s in part]
+    held = np.array([max(-END - 1, min(END, s)) for s in exact], np.int64)
+    return held, ["" if -END - 1 < s < END else f"{s + SHIFT:0{DIGITS}d}" for s in exact]
+
+
 def mark(vector: np.ndarray) -> int:
     """Tells queries of one id and different vectors apart."""
     return xxhash.xxh3_64_intdigest(vector.astype(np.float64).tobytes()) - 2**63
@@ -66,7 +81,8 @@ def mark(vector: np.ndarray) -> int:
 def search_cells(
     rows: DataFrame, cell: list[str], more: list[str], k: int, search: Callable, kind, score_type: str, once: bool = False,
 ) -> DataFrame:
-    """Run ``search`` in every cell and give ``query_id, mark, id, score`` of each query's best.
+    """Run ``search`` in every cell and give ``query_id, mark, id, score`` of each query's best; whole scores
+    also have ``beyond``, by which those that 64 bits do not hold are ranked.
 
     ``rows`` has the columns of ``cell`` (the first is the dimension), ``is_row`` (0 for queries),
     ``id, vector``, and the columns ``more`` that queries bring. ``search(queries, batch, best)`` gets
@@ -76,9 +92,8 @@ def search_cells(
     names = [*cell, "is_row", "id", "vector", *more]
     schema = pa.schema([
         ("query_id", pa.int64()), ("mark", pa.int64()), ("id", pa.int64()),
-        ("score", pa.int64() if score_type == "long" else pa.float64()),
+        *([("score", pa.int64()), ("beyond", pa.string())] if score_type == "long" else [("score", pa.float64())]),
     ])
-    low = np.iinfo(np.int64).min if score_type == "long" else -np.inf
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_cell, pending, queries, best = None, [], None, []
@@ -88,11 +103,11 @@ def search_cells(
             if found:
                 counts = [len(b.ids) for b in best]
                 marks = np.array([mark(v) for v in queries[1]], np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(queries[0], counts)), pa.array(np.repeat(marks, counts)),
-                    pa.array(np.concatenate([b.ids for b in best])),
-                    pa.array(np.concatenate([b.scores for b in best]).astype(kind), schema.field("score").type),
-                ], schema=schema)
+                scores, beyond = shown([b.scores for b in best], kind)
+                columns = [np.repeat(queries[0], counts), np.repeat(marks, counts), np.concatenate([b.ids for b in best]), scores]
+                if score_type == "long":
+                    columns.append(beyond)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
         for batch in batches:
             if not batch.num_rows:
@@ -113,19 +128,20 @@ def search_cells(
                     continue
                 if pending:
                     queries = tuple(np.concatenate(parts) for parts in zip(*pending))
-                    best = [Best(k, kind, low, once) for _ in queries[0]]
+                    best = [Best(k, kind, -np.inf, once) for _ in queries[0]]
                     pending = []
                 if queries is not None:
                     search(queries, (ids, vectors), best)
         yield from results()
 
     ordered = rows.select(*names).repartition(*cell).sortWithinPartitions(*cell, "is_row")
-    return ordered.mapInArrow(run, f"query_id long, mark long, id long, score {score_type}")
+    return ordered.mapInArrow(run, f"query_id long, mark long, id long, score {score_type}" + ", beyond string" * (score_type == "long"))
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:
     """The best ``k`` of each query over all cells: ``query_id, rank, vec_id, score``."""
-    order = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), F.asc("id"))
+    beyond = [F.desc("beyond")] if "beyond" in found.columns else []
+    order = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), *beyond, F.asc("id"))
     rows = found.select("query_id", F.row_number().over(order).alias("rank"), F.col("id").alias("vec_id"), "score")
     return rows.where(F.col("rank") <= k)
 

@@ -1,14 +1,15 @@
 """Exact top-k by Fagin's threshold algorithm.
 
-Vectors become whole numbers, floor(64 x). In every cell of the grid the candidates are sorted once
+Vectors become whole numbers, floor(64 x). In every cell of the grid each batch of candidates is sorted once
 per dimension. A query reads the lists of its dimensions in parallel, from the top where its
 component is positive and from the bottom where it is negative, scores whatever it meets, and stops
 when the best total that unread entries could reach is below its k-th score. Since equal scores go
 to smaller ids, an equal bound does not stop it.
 
 Defined cases: rows whose id is null, or whose vector is null, empty or has a component that is null
-or not finite take no part; whole numbers beyond 2**24 in size are set to it, so that totals of up to
-2**14 dimensions are exact; a query meets only candidates of its dimension; rows that repeat an id
+or not finite, or beyond ``LARGEST`` in size, take no part; totals are exact, whatever their size, in floats,
+64-bit numbers or Python's integers, and ranked so; a score beyond 64 bits is shown as the largest or
+smallest such number; a query meets only candidates of its dimension; rows that repeat an id
 are candidates each, and no candidates of each other; a repeated id with the same vector is one query;
 fewer candidates than k give all of them; empty tables give no rows; other columns are ignored.
 """
@@ -23,13 +24,30 @@ from tidemill.llm.common import fan_out, table
 from tidemill.llm.grid import QUERY_BLOCK, Best, ranked, search_cells, spread, usable
 
 K = 20
-LARGEST = 1 << 24
+# 64 times a component must be a number.
+LARGEST = 1e300
 FIRST_DEPTH = 64
 
 
 def whole(x: Column) -> Column:
-    """floor(64 x) within the stated range."""
-    return F.greatest(F.least(F.floor(x * 64), F.lit(LARGEST)), F.lit(-LARGEST)).cast("double")
+    """floor(64 x); numbers from 2**53 on have no fraction."""
+    scaled = x * 64
+    return F.when(F.abs(scaled) < 2.0**53, F.floor(scaled).cast("double")).otherwise(scaled)
+
+
+def in_range(rows: DataFrame) -> DataFrame:
+    return rows.where(~F.exists("vector", lambda x: F.abs(x) > LARGEST)).select("id", "dim", F.transform("vector", whole).alias("vector"))
+
+
+def numbers(wanted: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both in the smallest kind of number that holds every total and bound exactly."""
+    most = int(np.abs(wanted).max()) * int(np.abs(vectors).max()) * vectors.shape[1]
+    if most < 2**53:
+        return wanted, vectors
+    if most < 2**63:
+        return wanted.astype(np.int64), vectors.astype(np.int64)
+    as_int = np.vectorize(int, otypes=[object])
+    return as_int(wanted), as_int(vectors)
 
 
 class Lists:
@@ -63,10 +81,7 @@ def threshold_search(queries: tuple, batch: tuple, best: list[Best]) -> None:
     query_ids, wanted = queries
     ids, vectors = batch
     lists = Lists(vectors)
-    # Products and sums of whole numbers are exact where they stay under 2**53; else in 64-bit numbers.
-    exact = np.abs(wanted).max() * np.abs(vectors).max() * lists.dim < 2.0**53
-    number = (lambda a: a) if exact else (lambda a: a.astype(np.int64))
-    all_vectors, wanted = number(vectors), number(wanted)
+    wanted, all_vectors = numbers(wanted, vectors)
     lists.vectors = all_vectors
     bounds = lists.bounds(wanted)
     dims = np.arange(lists.dim)
@@ -104,8 +119,8 @@ def top_k(
     candidates, and so is the traffic, divided by the size of a block.
     """
     spark = vectors.sparkSession
-    rows = usable(vectors, key, vector, zero=True).select("id", "dim", F.transform("vector", whole).alias("vector"))
-    asked = usable(queries, key, vector, zero=True).select("id", "dim", F.transform("vector", whole).alias("vector")).distinct()
+    rows = in_range(usable(vectors, key, vector, zero=True))
+    asked = in_range(usable(queries, key, vector, zero=True)).distinct()
     n, n_asked = vectors.count(), queries.count()
     groups = max(-(-n // group_rows), min(fan_out(spark), -(-n // 4096)), 1)
     blocks = max(1, -(-n_asked // QUERY_BLOCK))

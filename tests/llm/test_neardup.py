@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.graph import components
 from tidemill.llm.neardup import (
-    BITS, CHUNKS, ERRORS, MOST_DIFFERENT, VALUES, WIDTH, _across, entries, index_entries, near_copies, shingle_set, signature,
+    BITS, CHUNKS, ERRORS, MOST_DIFFERENT, VALUES, WIDTH, _across, entries, index_entries, near_copies, odd_sketch, shingle_set, signature,
     signed_documents,
 )
 
@@ -140,3 +140,34 @@ def test_components_by_contraction(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert {got[n] for n in nodes[:200]} == {min(nodes[:200])} and {got[n] for n in nodes[250:399]} == {min(nodes[250:399])}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_sketches_rule_out_texts_that_share_a_line(spark):
+    """The texts above, with sketches: no pair of them leaves the join; and linked ones do."""
+    rng = random.Random(4)
+    line = " ".join(f"l{i}" for i in range(18))
+    texts = [line + " " + " ".join(f"x{rng.randrange(10**6)}" for _ in range(6)) for _ in range(60)]
+    near = [" ".join(f"y{j}" for j in range(80)) + f" z{i}" for i in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts + near)), "doc_id long, text string")
+    nodes = signed_documents(docs, sketched=True).withColumnRenamed("n_shingles", "n")
+    rows = index_entries(nodes).withColumn("component", F.col("node"))
+    by_node = {r["node"]: r["doc_id"] for r in nodes.collect()}
+    pairs = {tuple(sorted(by_node[n] for n in r)) for r in _across(rows, nodes).collect()}
+    assert pairs == {(60 + i, 60 + j) for j in range(12) for i in range(j)}
+
+
+def test_odd_sketches_lose_no_link():
+    """Sketches differ in at most as many bits as the sets in shingles, and in hardly fewer where sets are small."""
+    rng = np.random.default_rng(4)
+    for size in (1, 5, 40, 150, 3000):
+        for share in (0.5, 0.7, 0.74, 0.75, 0.8, 1.0):
+            a = rng.integers(0, 2**64 - 1, size, dtype=np.uint64)
+            common = int(np.ceil(2 * size * share / (1 + share))) if size > 1 else 1
+            b = np.concatenate([a[:common], rng.integers(0, 2**64 - 1, size - min(common, size), dtype=np.uint64)])
+            differ = len(np.setxor1d(a, b))
+            bits = int(np.bitwise_count((odd_sketch(a) ^ odd_sketch(b)).view(np.uint64)).sum())
+            assert bits <= differ
+            # In large sets bits meet, and the sketch rules out less.
+            assert size > 150 or bits >= 0.8 * differ - 4
+            if 4 * len(np.intersect1d(a, b)) >= 3 * len(np.union1d(a, b)):
+                assert bits * 175 <= 25 * (len(a) + len(b))

@@ -8,9 +8,9 @@ pairs under that distance share an entry. Pairs beyond it are found by chance to
 similarity 0.75 shares no entry with a probability of (1 - 0.6328)**12, about 6 in a million.
 
 What shares an entry is confirmed on full sets. Entries are never expanded into pairs while they
-hold one component. Documents of equal sets are one node. In some rounds each node tests the one
-neighbour that a mask picks for an entry, and links are contracted; a crowd of near copies is one
-component after that, at a cost of a test per node and round. Then, in entries that still hold
+hold one component. Documents of equal sets are one node. In some rounds each node tests one
+neighbour, of those that hashes pick for its entries the one most like it by their sketches, and links are
+contracted; a crowd of near copies is one component after that, at a cost of a test per node and round. Then, in entries that still hold
 several components, every row outside the largest meets all rows of other components, so no pair is
 left out. A pair whose signatures or sizes rule the similarity out does not leave the join, and any
 other leaves it in one entry only, the first that it shares.
@@ -44,13 +44,13 @@ BITS = 12
 # Signatures of pairs at the threshold differ in 15 values, with a deviation of 3.35; in more than 30
 # with a probability of 8 in a million.
 MOST_DIFFERENT = 30
+ODD = 1024
 ROUNDS = 3
 MOST_SENT = 1 << 20
 
 _random = np.random.default_rng(20)
 _odd = lambda n: _random.integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 PLACES, FACTORS, SHIFTS = _odd(SHINGLE), _odd(VALUES), _odd(VALUES)
-MASKS = [int(m) for m in _random.integers(-(2**63), 2**63, 8)]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -83,6 +83,12 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (values << _LANES).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """The parities of ``ODD`` bits as 64-bit numbers."""
+    parity = np.bincount((shingles >> np.uint64(64 - ODD.bit_length() + 1)).astype(np.int64), minlength=ODD) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+
+
 _LANES = np.arange(WIDTH, dtype=np.uint64) * np.uint64(BITS)
 
 
@@ -110,14 +116,23 @@ def _differ(chunk: Column) -> Column:
     return F.bit_count((chunk.bitwiseAND(F.lit(_LOW)) + F.lit(_LOW)).bitwiseOR(chunk).bitwiseAND(F.lit(_TOP)))
 
 
-def _chunks(side: str) -> list[Column]:
-    """A signature as columns: a join tests millions of pairs, and plain numbers keep its code small."""
-    return [F.coalesce(F.get("sig", F.lit(c)), F.lit(0).cast("long")).alias(f"sig_{side}{c}") for c in range(CHUNKS)]
+def _chunks(side: str, columns: list[str]) -> list[Column]:
+    """A signature, and an odd sketch if there is one, as columns: a join tests millions of pairs, and plain numbers
+    keep its code small."""
+    at = lambda name, c: F.coalesce(F.get(name, F.lit(c)), F.lit(0).cast("long")).alias(f"{name}_{side}{c}")
+    odd = [at("odd", c) for c in range(ODD // 64)] if "odd" in columns else []
+    return [*[at("sig", c) for c in range(CHUNKS)], *odd]
 
 
-def _may_link(a: str, b: str) -> Column:
-    """Whether sizes ``n_`` and signatures ``sig_`` of both sides allow the similarity."""
+def _may_link(a: str, b: str, columns: list[str]) -> Column:
+    """Whether sizes ``n_``, signatures ``sig_`` and, if there are any, odd sketches ``odd_`` allow the similarity.
+
+    Sketches never lose a link: with 75 % of the union common, sets differ in a seventh of both sizes.
+    """
     sizes = 100 * F.least(f"n_{a}", f"n_{b}") >= PERCENT * F.greatest(f"n_{a}", f"n_{b}")
+    if "odd" in columns:
+        bits = reduce(Column.__add__, [F.bit_count(_apart(f"odd_{a}", f"odd_{b}", c)) for c in range(ODD // 64)])
+        sizes &= bits * (100 + PERCENT) <= (100 - PERCENT) * (F.col(f"n_{a}") + F.col(f"n_{b}"))
     distance = reduce(Column.__add__, [_differ(_apart(f"sig_{a}", f"sig_{b}", c)) for c in range(CHUNKS)])
     return sizes & (distance <= MOST_DIFFERENT)
 
@@ -133,29 +148,33 @@ def _first_shared(a: str, b: str, slot: Column) -> Column:
     return reduce(Column.__and__, before) & ((slot % WIDTH == 0) | reduce(Column.__and__, equal))
 
 
-SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sig", pa.list_(pa.int64()))])
+SIGNED = pa.schema([
+    ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sig", pa.list_(pa.int64())), ("odd", pa.list_(pa.int64())),
+])
 
 
-def signed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, node, sig``; ``node`` is a hash of the whole set, null for an empty one."""
+def signed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", sketched: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, node, sig`` and, if ``sketched``, ``odd``; ``node`` is a hash of the whole set, null for
+    an empty one."""
+    schema = pa.schema(list(SIGNED)[: 5 if sketched else 4])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                sizes, nodes, signatures = [], [], []
+                sizes, nodes, signatures, sketches = [], [], [], []
                 for content in part.column(1).to_pylist():
                     found = shingle_set(content)
                     sizes.append(len(found))
                     nodes.append(xxhash.xxh3_64_intdigest(found.tobytes()) - 2**63 if len(found) else None)
                     signatures.append(signature(found) if len(found) else None)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(signatures, pa.list_(pa.int64()))],
-                    schema=SIGNED,
-                )
+                    if sketched:
+                        sketches.append(odd_sketch(found) if len(found) else None)
+                columns = [pa.array(c, f.type) for c, f in zip((sizes, nodes, signatures, sketches), list(schema)[1:])]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], schema=schema)
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("__text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, node long, sig array<long>")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, node long, sig array<long>" + ", odd array<long>" * sketched)
 
 
 def index_entries(nodes: DataFrame) -> DataFrame:
@@ -179,9 +198,9 @@ def index_entries(nodes: DataFrame) -> DataFrame:
 def near_enough(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose sizes and signatures allow the similarity."""
     for side in "ab":
-        own = nodes.select(*[F.col(c).alias(f"{c}_{side}") for c in ("node", "n")], *_chunks(side))
+        own = nodes.select(*[F.col(c).alias(f"{c}_{side}") for c in ("node", "n")], *_chunks(side, nodes.columns))
         pairs = pairs.join(own, F.col(side) == F.col(f"node_{side}"))
-    return pairs.where(_may_link("a", "b")).select("a", "b")
+    return pairs.where(_may_link("a", "b", nodes.columns)).select("a", "b")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -233,17 +252,23 @@ def _renamed(rows: DataFrame, named: DataFrame) -> DataFrame:
     return rows.join(moved, "component", "left").withColumn("component", F.coalesce("__to", "component")).drop("__to")
 
 
-def _picked(rows: DataFrame, mask: int) -> DataFrame:
-    """One pair ``a, b`` for each node whose entry has a leader of another component.
+def _picked(rows: DataFrame, nodes: DataFrame, step: int) -> DataFrame:
+    """One pair ``a, b`` for each node that meets a leader of another component: the leader most like it.
 
-    The leader of an entry has its smallest masked node; a node takes the leader that is smallest.
+    An entry's leader is its row with the smallest hash, another one in each entry and round. Of the leaders
+    in all entries of a node, sketches tell which is most like it.
     """
-    masked = lambda name: F.col(name).bitwiseXOR(F.lit(mask))
-    first = F.min(F.struct(masked("node").alias("masked"), F.col("component").alias("of")))
-    leaders = rows.groupBy("entry").agg(first.alias("__leader"))
-    pairs = rows.join(leaders, "entry").where(F.col("component") != F.col("__leader.of"))
-    chosen = pairs.groupBy("node").agg(F.min("__leader.masked").alias("__b"))
-    return chosen.select(F.col("node").alias("a"), masked("__b").alias("b"))
+    place = F.xxhash64("entry", "node", F.lit(step)).alias("place")
+    leaders = rows.groupBy("entry").agg(F.min(F.struct(place, "node", "component")).alias("__l"))
+    leaders = leaders.select("entry", F.col("__l.node").alias("b"), F.col("__l.component").alias("of"))
+    met = rows.join(leaders, "entry").where("component <> of").select(F.col("node").alias("a"), "b").distinct()
+    for side in "ab":
+        met = met.join(nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("odd").alias(f"odd_{side}")), side)
+    bits = reduce(Column.__add__, [F.bit_count(F.get("odd_a", F.lit(c)).bitwiseXOR(F.get("odd_b", F.lit(c)))) for c in range(ODD // 64)])
+    told = met.select("a", "b", "n_a", "n_b", bits.alias("bits"))
+    both = F.col("n_a") + F.col("n_b")
+    alike = told.where(F.col("bits") * (100 + PERCENT) <= (100 - PERCENT) * both).select("a", "b", ((both - F.col("bits")) / (both + F.col("bits"))).alias("alike"))
+    return alike.groupBy("a").agg(F.max(F.struct("alike", "b")).alias("__b")).select("a", F.col("__b.b").alias("b"))
 
 
 def _across(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -254,15 +279,16 @@ def _across(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     counts = rows.groupBy("entry", "component").agg(F.count("*").alias("__n"))
     largest = counts.groupBy("entry").agg(F.max(F.struct("__n", "component")).alias("__top"))
     outside = F.col("component") != F.col("__top.component")
-    every = rows.join(largest, "entry").join(nodes.select("node", "n", "sig"), "node")
-    every = every.select("entry", "slot", "node", "component", "n", "sig", outside.alias("outside"))
+    told = [c for c in ("n", "sig", "odd") if c in nodes.columns]
+    every = rows.join(largest, "entry").join(nodes.select("node", *told), "node")
+    every = every.select("entry", "slot", "node", "component", *told, outside.alias("outside"))
     names = ("node", "component", "n", "outside")
-    left = every.where("outside").select("entry", "slot", *[F.col(c).alias(f"{c}_a") for c in names], *_chunks("a"))
-    right = every.select("entry", *[F.col(c).alias(f"{c}_b") for c in names], *_chunks("b"))
+    left = every.where("outside").select("entry", "slot", *[F.col(c).alias(f"{c}_a") for c in names], *_chunks("a", told))
+    right = every.select("entry", *[F.col(c).alias(f"{c}_b") for c in names], *_chunks("b", told))
     # Rows outside meet from both sides: once is enough.
     once = ~F.col("outside_b") | (F.col("node_b") < F.col("node_a"))
     other = F.col("component_a") != F.col("component_b")
-    kept = other & once & _may_link("a", "b") & _first_shared("sig_a", "sig_b", F.col("slot"))
+    kept = other & once & _may_link("a", "b", told) & _first_shared("sig_a", "sig_b", F.col("slot"))
     return left.join(right, "entry").where(kept).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
@@ -270,9 +296,9 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds
     """``doc_id, n_shingles, component_id, kept`` of every row: the smallest id reachable by links, and
     whether it is the row's own."""
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = written(signed_documents(docs), "signed")
+    signed = written(signed_documents(docs, sketched=True), "signed")
     nodes = signed.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("odd").alias("odd")
     )
     nodes = written(nodes, "nodes")
     index = index_entries(nodes)
@@ -280,7 +306,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds
     names = nodes.select("node", F.col("node").alias("component"))
     named = nodes.where("doc_id IS NOT NULL")
     for step in range(rounds + 1):
-        pairs = near_enough(_picked(rows, MASKS[step]), named) if step < rounds else _across(rows, named)
+        pairs = near_enough(_picked(rows, named, step), named) if step < rounds else _across(rows, named)
         links = confirmed(pairs, named, docs)
         own = names.select(F.col("node").alias("__node"), F.col("component").alias("__name"))
         for side in "ab":

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -5,7 +6,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
-from tidemill.llm.pieces import Codec, Pieces, decode_ids, encode_texts
+from tidemill.llm.pieces import Codec, Pieces, decode_ids, encode_texts, round_trips
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 ALPHABET = " \n\t▁abcdeéßñ日本語한국👍🏽‍\0\x01.,;:!()[]{}<>=+-*/'\"0123456789ABCXYZ\\_ſİ́\r\x85 "
@@ -20,6 +21,9 @@ def agree(codec, library, text):
     ids = np.frombuffer(codec.encode(text), "<i4").tolist()
     assert ids == library.encode(text), repr(text)[:100]
     assert codec.decode(ids) == library.decode(ids), repr(text)[:100]
+    numbers, decimals, decoded = codec.round_trip(text)
+    assert numbers == codec.encode(text) and decimals.decode() == ",".join(map(str, ids)), repr(text)[:100]
+    assert decoded.decode() == library.decode(ids), repr(text)[:100]
 
 
 def test_random_texts(both):
@@ -70,6 +74,18 @@ def test_frames(spark, both):
     assert decode_ids(nothing, PATH).first()["text"] == ""
 
 
+def test_digests_are_those_of_ids_and_texts(spark, both):
+    texts = [None, "", "a  b", "same", "same", "é \x00 日本 \n\n x" * 50, "▁ ▁▁a", "x" * 100_000, "s</s> <s><unk>"]
+    docs = spark.createDataFrame([(i if i else None, t, 1, "n") for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int, __text string")
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    want = []
+    for i, t in enumerate(texts):
+        ids = both[1].encode(t or "")
+        want.append((i if i else None, len(ids), sha(",".join(map(str, ids))), sha(both[1].decode(ids))))
+    assert sorted(map(tuple, round_trips(docs, PATH).collect()), key=str) == sorted(want, key=str)
+    assert round_trips(docs.limit(0), PATH).collect() == []
+
+
 def test_other_models_are_refused(tmp_path):
     from sentencepiece import sentencepiece_model_pb2
 

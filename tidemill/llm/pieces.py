@@ -15,6 +15,7 @@ ignored. A model other than an identity-normalised merge model with byte fallbac
 
 from __future__ import annotations
 
+import hashlib
 import re
 from array import array
 from collections.abc import Iterator
@@ -119,7 +120,11 @@ class Codec:
     def __init__(self, model: Pieces):
         self.model, self.texts = model, model.texts
         self.lengths = [len(t) for t in model.texts]
-        self.longest = max((self.lengths[i] for i in model.sound), default=1)
+        # For each token the longest one that it begins with, if there is one.
+        sound = {model.texts[i]: i for i in model.sound}
+        self.shorter = [-1] * len(model.texts)
+        for text, i in sound.items():
+            self.shorter[i] = next((sound[text[:k]] for k in range(len(text) - 1, 0, -1) if text[:k] in sound), -1)
         self.known = {t for t in model.score_of if len(t) == 1}
         self.bytes = {int(t[3:5], 16): i for i, (t, k) in enumerate(zip(model.texts, model.kinds)) if k == BYTE}
         self.automaton = ahocorasick.Automaton()
@@ -128,6 +133,7 @@ class Codec:
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
         self.words = Recent(lambda word: array("i", self.encode_word(word)).tobytes())
+        self.forms = Recent(self._forms, limit=300_000)
 
     def fits(self, left: int, right: int) -> bool:
         """Whether two tokens stay apart when the characters of both are merged again."""
@@ -141,65 +147,50 @@ class Codec:
             self.pairs[key] = known
         return known
 
-    def _matches(self, text: str):
-        """For a position, the tokens that start there, shortest first."""
-        if len(text) <= 1024:
-            starts: list[list[int]] = [[] for _ in text]
-            for end, token in self.automaton.iter(text):
-                starts[end + 1 - self.lengths[token]].append(token)
-            return starts.__getitem__
-
-        def look(at: int) -> list[int]:
-            near = self.automaton.iter(text, at, min(len(text), at + self.longest))
-            return [t for end, t in near if end + 1 - self.lengths[t] == at]
-
-        return look
-
     def _encode_known(self, text: str) -> list[int]:
         """The merge encoding of characters that are all pieces.
 
-        The longest matches in a row are tried first; from the first one that does not fit its
-        predecessor, shorter matches are tried, and earlier tokens taken back where none fits.
+        The longest matches in a row are taken while each fits its predecessor. Where one does not, the
+        tokens that begin it are tried, from the longest on, and where none fits the position has failed, and the
+        token before it is taken back. From a shorter token on, longest matches are taken again.
         """
-        fits, lengths = self.fits, self.lengths
+        fits, lengths, shorter, known = self.fits, self.lengths, self.shorter, self.pairs.get
         tokens: list[int] = []
-        at = 0
-        for _, token in self.automaton.iter_long(text):
-            if tokens and not fits(tokens[-1], token):
-                break
-            tokens.append(token)
-            at += lengths[token]
-        if at == len(text):
-            return tokens
-        starts, size = self._matches(text), len(text)
-        failed = bytearray(size // 8 + 1)
-        taken: list[int] = []
-        begin = 0
-        for token in tokens:
-            taken.append(len(starts(begin)) - 1)
-            begin += lengths[token]
-        # The longest match here is the one that did not fit.
-        choices = starts(at)
-        i = len(choices) - 2
+        at, size, last = 0, len(text), -1
+        failed = None
         while True:
-            while i >= 0:
-                token = choices[i]
+            for _, token in self.automaton.iter_long(text, at, size):
+                if last >= 0:
+                    fit = known(last << 32 | token)
+                    if not (fits(last, token) if fit is None else fit):
+                        break
                 end = at + lengths[token]
-                if not failed[end >> 3] >> (end & 7) & 1 and (not tokens or fits(tokens[-1], token)):
+                if failed is not None and failed[end >> 3] >> (end & 7) & 1:
                     break
-                i -= 1
-            if i >= 0:
                 tokens.append(token)
-                taken.append(i)
-                at = end
-                if at == size:
-                    return tokens
-                choices = starts(at)
-                i = len(choices) - 1
-            else:
+                last, at = token, end
+            if at == size:
+                return tokens
+            if failed is None:
+                failed = bytearray(size // 8 + 1)
+            token = shorter[token]
+            while True:
+                while token >= 0:
+                    end = at + lengths[token]
+                    if not failed[end >> 3] >> (end & 7) & 1 and (last < 0 or fits(last, token)):
+                        break
+                    token = shorter[token]
+                if token >= 0:
+                    break
                 failed[at >> 3] |= 1 << (at & 7)
-                at -= lengths[tokens.pop()]
-                choices, i = starts(at), taken.pop() - 1
+                token = tokens.pop()
+                at -= lengths[token]
+                last = tokens[-1] if tokens else -1
+                token = shorter[token]
+            tokens.append(token)
+            last, at = token, end
+            if at == size:
+                return tokens
 
     def encode_word(self, word: str) -> list[int]:
         if self.known.issuperset(word):
@@ -219,6 +210,37 @@ class Codec:
         """The ids of a text as 32-bit numbers."""
         return b"".join(map(self.words.__getitem__, self.model.split(text)))
 
+    def _forms(self, word: str) -> tuple[bytes, bytes, bytes]:
+        """A word's ids as 32-bit numbers, as decimals with commas, and the bytes that they stand for."""
+        ids = self.encode_word(word)
+        return array("i", ids).tobytes(), b",".join(map(self.decimals.__getitem__, ids)), b"".join(map(self.surface.__getitem__, ids))
+
+    @cached_property
+    def decimals(self) -> list[bytes]:
+        return [str(i).encode() for i in range(len(self.texts))]
+
+    def round_trip(self, text: str) -> tuple[bytes, bytes, bytes]:
+        """A text's ids as 32-bit numbers and as decimals with commas, and the UTF-8 of the text they decode to.
+
+        Ids are those of the words in a row, so all three are put together from the words' forms.
+        """
+        forms = list(map(self.forms.__getitem__, self.model.split(text)))
+        ids = b"".join([f[0] for f in forms])
+        joined = b"".join([f[2] for f in forms])
+        try:
+            joined.decode()
+        except UnicodeDecodeError:
+            decoded = self.decode(np.frombuffer(ids, "<i4").tolist()).encode()
+        else:
+            decoded = joined[self._skipped(np.frombuffer(ids[:4], "<i4").tolist() if ids else []):]
+        return ids, b",".join([f[1] for f in forms]), decoded
+
+    def _skipped(self, ids: list[int]) -> int:
+        """How many characters of the decoded text stand for the prefix: one space, or none."""
+        kinds = self.model.kinds
+        first = next((i for i in ids if kinds[i] != CONTROL), None) if self.model.prefix else None
+        return int(first is not None and kinds[first] == NORMAL and self.texts[first].startswith(SPACE))
+
     @cached_property
     def surface(self) -> list[bytes]:
         """The bytes each id stands for. Control ids stand for none, but part the bytes around them: theirs
@@ -236,10 +258,7 @@ class Codec:
     def decode(self, ids: list[int]) -> str:
         """The text of ids; each byte that belongs to no character becomes U+FFFD."""
         surface, kinds = self.surface, self.model.kinds
-        skip = 0
-        if self.model.prefix:
-            first = next((i for i in ids if kinds[i] != CONTROL), None)
-            skip = first is not None and kinds[first] == NORMAL and self.texts[first].startswith(SPACE)
+        skip = self._skipped(ids)
         joined = b"".join(map(surface.__getitem__, ids))
         try:
             return joined.decode()[skip:]
@@ -310,13 +329,32 @@ def decode_ids(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "i
     return rows.mapInArrow(run, f"{key} long, ids array<int>, text string")
 
 
+def round_trips(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, n_tokens, ids_sha256, decoded_sha256`` of every row: digests of its ids, in decimal with commas, and of the
+    text that they decode to. No shuffle; encoding, decoding and both digests are one pass over the text."""
+    model = share(docs.sparkSession, Pieces.load(path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_of(shared(model))
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                sizes, ids, texts = [], [], []
+                for content in part.column(1):
+                    numbers, decimals, decoded = codec.round_trip(content.as_py() or "")
+                    sizes.append(len(numbers) // 4)
+                    ids.append(hashlib.sha256(decimals).hexdigest())
+                    texts.append(hashlib.sha256(decoded).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
+                    names=[key, "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+
+    rows = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias("__text"))
+    return rows.mapInArrow(run, f"{key} long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    decoded = decode_ids(encode_texts(table(spark, folder, "documents"), path), path)
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
-    )
+    return round_trips(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -56,10 +56,16 @@ def totals_before(
     whose = F.struct(*group) if group else F.struct(F.lit(0).alias("all"))
     named = rows.select("*", whose.alias("__whose"), _place(rows, key, ties).alias("__place"))
     cuts = cuts_of(named.select("__whose", "__place"), blocks)
-    cut = F.broadcast(cuts.select(F.col("__whose").alias("__cut_group"), "__cuts"))
+    cut = cuts.select(F.col("__whose").alias("__cut_group"), "__cuts")
     block = _block(F.col("__cuts"), F.col("__place"), blocks).alias("__block")
 
-    crossing = named.select("__whose", "__place", F.col(value).alias("__value")).join(cut, F.col("__whose") == F.col("__cut_group"))
+    # Without a group there is one row of cuts and one of offsets, which are values and not tables to join.
+    theirs = F.col("__whose") == F.col("__cut_group")
+    valued = named.select("__whose", "__place", F.col(value).alias("__value"))
+    if group:
+        crossing = valued.join(F.broadcast(cut), theirs)
+    else:
+        crossing = valued.select("*", cut.select("__cuts").scalar().alias("__cuts")).where(F.col("__cuts").isNotNull())
     sums = crossing.select("__whose", block, "__value").groupBy("__whose", "__block").agg(F.sum("__value").alias("__sum"))
     kind = sums.schema["__sum"].dataType
     add = lambda total, b: (total + F.coalesce(b["__sum"], F.lit(0))).cast(kind)
@@ -67,9 +73,12 @@ def totals_before(
     held = sums.groupBy("__whose").agg(F.sort_array(F.collect_list(F.struct("__block", "__sum"))).alias("__b"))
     running = F.transform("__b", lambda b, i: F.struct(b["__block"], F.aggregate(F.slice("__b", F.lit(1), i), F.lit(0).cast(kind), add)))
     offsets = held.select("__whose", F.map_from_entries(running).alias("__offsets"))
-    known = F.broadcast(offsets.join(cut, F.col("__whose") == F.col("__cut_group")).select("__cut_group", "__cuts", "__offsets"))
-
-    numbered = named.join(known, F.col("__whose") == F.col("__cut_group"), "left").select(*rows.columns, "__whose", block, "__offsets")
+    if group:
+        known = offsets.join(F.broadcast(cut), theirs).select("__cut_group", "__cuts", "__offsets")
+        told = named.join(F.broadcast(known), theirs, "left")
+    else:
+        told = named.select("*", cut.select("__cuts").scalar().alias("__cuts"), offsets.select("__offsets").scalar().alias("__offsets"))
+    numbered = told.select(*rows.columns, "__whose", block, "__offsets")
     frame = Window.partitionBy("__whose", "__block").orderBy(F.asc_nulls_first(key), *ties).rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum(value).over(frame), F.lit(0))
     return numbered.select(*rows.columns, (inside + F.coalesce(F.col("__offsets")[F.col("__block")], F.lit(0))).alias(out))

@@ -85,3 +85,14 @@ def test_ctas_keeps_an_existing_table(spark, database):
 def test_delete_where_keeps_nulls(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "x int")
     assert {r.x for r in tables.delete_where(df, F.col("x") > 1).collect()} == {1, None}
+
+
+def test_databases_of_runs_are_dropped_on_request(spark, root):
+    from tidemill.sources import tables
+
+    for name in ("run_gone1", "run_gone2", "kept_db"):
+        tables.create_database(spark, name, f"{root}/{name}")
+        tables.save_table(spark.range(3), f"{name}.numbers")
+    assert {"run_gone1", "run_gone2"} <= set(tables.drop_run_databases(spark))
+    assert not spark.catalog.databaseExists("run_gone1") and spark.table("kept_db.numbers").count() == 3
+    assert tables.drop_run_databases(spark) == []

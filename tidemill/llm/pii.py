@@ -5,7 +5,9 @@ access keys, labelled secrets, and names of people after a title or with a known
 is made of atoms (a mailbox and a domain; a given name and a surname; a value after its label), and an atom
 gets a surrogate of its kind from a keyed hash of its canonical form: letters for letters in their
 case, digits for digits, valid check digits for valid ones, given names of the same gender and names of
-the same script. So an atom has the same surrogate wherever it occurs.
+the same script. So an atom has the same surrogate wherever it occurs. The hash knows a name and its script, not
+its gender: that only chooses the names to draw from. Titles and known given names tell it, and where they differ
+from one occurrence to another, or are silent in some, what most tell holds for all; the first of f and m on a tie.
 
 Before texts are rewritten, the distinct atoms of all documents are checked: no two may share a
 surrogate, and none may be another atom of the corpus. An atom that loses its surrogate tries the
@@ -56,7 +58,8 @@ _OCTET = "(?:25[0-5]|2[0-4]\\d|1\\d\\d|[1-9]?\\d)"
 _LABEL = "(?i:password|passwd|pwd|token|secret|api[_-]?key)[\"']?[ \\t]{0,2}[=:]"
 # A labelled value: to its closing quote, or to the next white space without the signs that end a clause.
 _ALNUM = "[\\p{L}\\p{N}]"
-_QUOTED = "|".join(f"(?={q}[^{q}\\n]*{_ALNUM}){q}(?=[^{q}\\n]{{6}})[^{q}\\\\\\n]*+(?:\\\\.[^{q}\\\\\\n]*+){{0,200}}+{q}" for q in "\"'")
+# The closing quote is the first that an even number of backslashes precedes, and an escape counts as one sign.
+_QUOTED = "|".join(f"{q}(?=(?:\\\\.|[^{q}\\\\\\n]){{6}})[^\\n]*?(?<!\\\\)(?:\\\\\\\\)*+{q}" for q in "\"'")
 _BARE = f"[\"']?(?=\\S*{_ALNUM})\\S{{6,}}(?<![,.;:)\\]}}>\"'])"
 _EMAIL = "(?<![._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\\.){1,8}[A-Za-z]{2,24}(?![A-Za-z])"
 _IP = f"(?:{_OCTET}\\.){{3}}{_OCTET}(?!\\w|\\.\\d)"
@@ -144,34 +147,42 @@ def _person(found: Column) -> Column:
     return F.when(F.size(words) > 1, F.array(first, last(" "))).otherwise(F.array(last(title)))
 
 
-def atoms(found: Column) -> Column:
+def told(found: Column) -> Column:
+    """``struct<found, kind, cards>`` of a match: what all that follows asks for, computed once."""
+    return _let(_kind(found), lambda kind: F.struct(
+        found.alias("found"), kind.alias("kind"), F.when(kind == "card", cards(found)).alias("cards")
+    ))
+
+
+def atoms(match: Column) -> Column:
     """``array<struct<keep, kind, value>>`` of a finding: texts to keep, and the values to replace. The
     keeps and values in order are the finding, but for what :func:`tail` gives."""
-    kind = _kind(found)
+    found, kind = match["found"], match["kind"]
     domain = F.regexp_extract(found, "@(.*)\\.[^.]*$", 1)
     label = F.regexp_extract(found, "^([A-Za-z_-]+[\"']?[ \\t]*[=:][ \\t]*[\"']?)", 1)
-    closed = F.length(F.regexp_extract(found, _CLOSING, 0))
     country = F.regexp_extract(found, "^(\\+\\d{1,3})", 1)
     rest = lambda keep: F.substr(found, F.length(keep) + 1)
+    secret = lambda keep: _atom(keep, "secret", F.regexp_replace(rest(keep), _CLOSING, ""))
     return (
         F.when(kind == "email", F.array(_atom("", "mailbox", F.substring_index(found, "@", 1)), _atom("@", "domain", domain)))
-        .when(kind == "secret", F.array(_atom(label, "secret", F.substr(rest(label), F.lit(1), F.length(rest(label)) - closed))))
+        .when(kind == "secret", F.array(_let(label, secret)))
         .when(kind == "access", F.array(_atom("AKIA", "access", F.substr(found, F.lit(5)))))
         .when(kind == "iban", F.array(_atom(F.substr(found, F.lit(1), F.lit(2)), "iban", F.substr(found, F.lit(3)))))
-        .when((kind == "phone") & found.rlike("^\\+\\d{1,3}[ .(-]"), F.array(_atom(country, "phone", rest(country))))
+        .when((kind == "phone") & found.rlike("^\\+\\d{1,3}[ .(-]"), F.array(_let(country, lambda c: _atom(c, "phone", rest(c)))))
         .when(kind == "person", _person(found))
-        .when(kind == "card", _card_atoms(found))
+        .when(kind == "card", _card_atoms(found, match["cards"]))
         .otherwise(F.array(_atom("", kind, found)))
     )
 
 
-def tail(found: Column) -> Column:
+def tail(match: Column) -> Column:
     """The end of a finding that comes after its atoms."""
-    kind = _kind(found)
-    after = F.substr(found, _end(cards(found)) + 1)
-    return F.when(kind == "email", F.regexp_extract(found, "(\\.[^.]*)$", 1)).when(kind == "card", after).when(
-        kind == "secret", F.regexp_extract(found, _CLOSING, 0)
-    ).otherwise("")
+    found, kind = match["found"], match["kind"]
+    return (
+        F.when(kind == "email", F.regexp_extract(found, "(\\.[^.]*)$", 1))
+        .when(kind == "card", F.substr(found, _end(match["cards"]) + 1))
+        .when(kind == "secret", F.regexp_extract(found, _CLOSING, 0)).otherwise("")
+    )
 
 
 def canonical(kind: Column, value: Column) -> Column:
@@ -180,10 +191,15 @@ def canonical(kind: Column, value: Column) -> Column:
     return F.when(kind.isin("secret", "access"), value).when(grouped, F.regexp_replace(F.upper(value), "[^0-9A-Z]", "")).otherwise(F.lower(value))
 
 
+def base(kind: Column) -> Column:
+    """The kind without the gender of a name."""
+    return F.regexp_replace(kind, "^(given|surname)_[fmx]_", "$1_")
+
+
 def _hashed(key: str, kind: Column, name: Column, attempt: Column, block: Column | int) -> Column:
     """128 hex digits of a keyed hash."""
     block = F.lit(block) if isinstance(block, int) else block
-    message = F.concat_ws("\x1f", F.lit(key), kind, name, attempt.cast("string"), block.cast("string"))
+    message = F.concat_ws("\x1f", F.lit(key), base(kind), name, attempt.cast("string"), block.cast("string"))
     return F.sha2(F.concat(F.lit(key), F.sha2(message, 256)), 512)
 
 
@@ -290,28 +306,30 @@ def _end(chosen: Column) -> Column:
     return last["at"] + F.length(last["value"]) - 1
 
 
-def _card_atoms(found: Column) -> Column:
+def _card_atoms(found: Column, chosen: Column) -> Column:
     def one(c: Column, k: Column, chosen: Column) -> Column:
         before = F.coalesce(_end(F.slice(chosen, F.lit(1), k)), F.lit(0))
         return _atom(F.substr(found, before + 1, c["at"] - before - 1), "card", c["value"])
 
-    return _let(cards(found), lambda chosen: F.transform(chosen, lambda c, k: one(c, k, chosen)))
+    return F.transform(chosen, lambda c, k: one(c, k, chosen))
 
 
-def n_private(found: Column) -> Column:
-    """The findings in a match: a number in the form of a card's must have a valid check digit."""
-    return F.when(found.rlike(f"^(?:{FORMS['card']})$"), F.size(cards(found))).otherwise(1)
+def n_private(match: Column) -> Column:
+    """The findings in a match: a number in the form of a card's must have a valid check digit, and what is in
+    quotes after a label a letter or digit."""
+    empty = (match["kind"] == "secret") & match["found"].rlike(f"^{_LABEL}[ \\t]{{0,2}}[\"'](?:(?!{_ALNUM})[^\\n])*+$")
+    return F.when(match["kind"] == "card", F.size(match["cards"])).when(empty, 0).otherwise(1)
 
 
-def is_private(found: Column) -> Column:
+def is_private(match: Column) -> Column:
     """Whether a match has a finding."""
-    return n_private(found) > 0
+    return n_private(match) > 0
 
 
 def matches(text: Column) -> Column:
-    """Everything in a text that has the form of private data, in order."""
+    """Everything in a text that has the form of private data, in order, as :func:`told` tells it."""
     none = F.array().cast("array<string>")
-    return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANYTHING), F.lit(0))).otherwise(none)
+    return F.transform(F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANYTHING), F.lit(0))).otherwise(none), told)
 
 
 def findings(text: Column) -> Column:
@@ -319,25 +337,32 @@ def findings(text: Column) -> Column:
 
 
 def settle(found: DataFrame, key: str) -> DataFrame:
-    """``kind, name, attempt`` of the atoms whose first surrogate is taken: the exceptions.
+    """``kind, name, attempt, as_kind`` of the exceptions: atoms whose first surrogate is taken, and names whose
+    occurrences tell more than one gender. ``kind`` is without the gender, ``as_kind`` has the one that holds.
 
     ``found`` has the ``kind, value`` of all atoms. A surrogate belongs to the atom with the fewest
     attempts, then to the smallest; one that is an atom of the corpus itself belongs to none.
     """
     name = canonical(F.col("kind"), F.col("value"))
+    told = found.groupBy("kind", name.alias("name")).agg(F.min("value").alias("value"), F.count("*").alias("n"))
     # A name is judged by its smallest form: other forms differ in case or grouping only.
-    all_atoms = written(found.groupBy("kind", name.alias("name")).agg(F.min("value").alias("value")).withColumn("attempt", F.lit(0)), "atoms")
+    silent = F.col("kind").rlike("^(given|surname)_x_")
+    all_atoms = told.groupBy(base(F.col("kind")).alias("of"), "name").agg(
+        F.min("value").alias("value"), F.min(F.struct(silent.alias("silent"), (-F.col("n")).alias("less"), "kind"))["kind"].alias("as_kind"),
+        (F.count("*") > 1).alias("differs"),
+    )
+    all_atoms = written(all_atoms.withColumnRenamed("of", "kind").withColumn("attempt", F.lit(0)), "atoms")
     originals = all_atoms.select("kind", F.col("name").alias("claim"), F.lit(True).alias("original"))
-    claim = canonical(F.col("kind"), surrogate(key, F.col("kind"), F.col("value"), F.col("attempt")))
+    claim = canonical(F.col("kind"), surrogate(key, F.col("as_kind"), F.col("value"), F.col("attempt")))
     for _ in range(MOST_ROUNDS):
         claims = all_atoms.withColumn("claim", claim)
         owners = claims.groupBy("kind", "claim").agg(F.min(F.struct("attempt", "name")).alias("owner"))
         judged = claims.join(owners, ["kind", "claim"]).join(originals, ["kind", "claim"], "left")
         lost = F.col("original").isNotNull() | (F.col("owner.name") != F.col("name"))
-        judged = written(judged.select("kind", "name", "value", "attempt", lost.alias("lost")), "claims")
+        judged = written(judged.select("kind", "name", "value", "attempt", "as_kind", "differs", lost.alias("lost")), "claims")
         if judged.where("lost").isEmpty():
-            return judged.where("attempt > 0").select("kind", "name", "attempt")
-        all_atoms = judged.select("kind", "name", "value", (F.col("attempt") + F.col("lost").cast("int")).alias("attempt"))
+            return judged.where("attempt > 0 OR differs").select("kind", "name", "attempt", "as_kind")
+        all_atoms = judged.select("kind", "name", "value", (F.col("attempt") + F.col("lost").cast("int")).alias("attempt"), "as_kind", "differs")
     raise ValueError(f"surrogates still collide after {MOST_ROUNDS} rounds")
 
 
@@ -359,28 +384,30 @@ def replace_private(
     if not n:
         attempts = None
     elif n <= most_inline:
-        pair = F.struct(_label(F.col("kind"), F.col("name")), F.col("attempt"))
+        pair = F.struct(_label(F.col("kind"), F.col("name")), F.struct("attempt", "as_kind"))
         rows = docs.withColumn("__attempts", exceptions.agg(F.map_from_entries(F.collect_list(pair))).scalar())
         attempts = F.col("__attempts")
     else:
         # Too many to send along: each document gets its own.
-        own = every.withColumn("name", canonical(F.col("kind"), F.col("value"))).join(exceptions, ["kind", "name"])
-        pair = F.struct(_label(F.col("kind"), F.col("name")), F.col("attempt"))
+        own = every.select("doc", canonical(F.col("kind"), F.col("value")).alias("name"), base(F.col("kind")).alias("kind"))
+        own = own.join(exceptions, ["kind", "name"])
+        pair = F.struct(_label(F.col("kind"), F.col("name")), F.struct("attempt", "as_kind"))
         own = own.groupBy("doc").agg(F.map_from_entries(F.collect_set(pair)).alias("__attempts")).withColumnRenamed("doc", "__doc")
         rows = docs.join(own, F.col(doc).eqNullSafe(F.col("__doc")), "left")
         attempts = F.col("__attempts")
 
     def replaced(atom: Column) -> Column:
         kind, value = atom["kind"], atom["value"]
-        attempt = F.lit(0)
-        if attempts is not None:
-            attempt = F.coalesce(F.element_at(attempts, _label(kind, canonical(kind, value))), F.lit(0))
-        return F.concat(atom["keep"], surrogate(key, kind, value, attempt))
+        if attempts is None:
+            return F.concat(atom["keep"], surrogate(key, kind, value, F.lit(0)))
+        known = F.element_at(attempts, _label(base(kind), canonical(kind, value)))
+        chosen = F.coalesce(known, F.struct(F.lit(0).alias("attempt"), kind.alias("as_kind")))
+        return _let(chosen, lambda c: F.concat(atom["keep"], surrogate(key, c["as_kind"], value, c["attempt"])))
 
     rows = rows.withColumn("__found", matches(F.col(text)))
     gaps = F.split(F.col(text), ANYTHING, -1)
     whole = lambda f: F.concat(F.array_join(F.transform(atoms(f), replaced), ""), tail(f))
-    new = F.transform("__found", lambda f: F.when(is_private(f), whole(f)).otherwise(f))
+    new = F.transform("__found", lambda f: F.when(is_private(f), whole(f)).otherwise(f["found"]))
     woven = F.concat(F.array_join(F.zip_with(F.slice(gaps, F.lit(1), F.size("__found")), new, lambda gap, put: F.concat(gap, put)), ""), F.element_at(gaps, -1))
     has = F.exists("__found", is_private)
     rows = rows.withColumn("__woven", F.when(has, woven))

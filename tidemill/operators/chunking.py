@@ -193,7 +193,8 @@ def theme_summary(themes: DataFrame, n: int = 10, key: str = "doc_id") -> DataFr
 
     A sum combines in any grouping, so there is no size at which pieces need an extra merge round.
     """
-    merged = themes.groupBy(key, "word").agg(
+    # By document, where they are ranked: a few rows per piece move once.
+    merged = themes.repartition(key).groupBy(key, "word").agg(
         F.sum("score").alias("score"), F.count("*").alias("n_pieces")
     )
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), F.asc("word")))

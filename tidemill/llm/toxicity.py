@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,18 +133,27 @@ def fit_thresholds(
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     column = np.array([i for r in rows for i in r], dtype=np.int64)
     value = np.array([v for r in rows for v in r.values()], dtype=np.float64)
-    weight = 1 / max(1, len(rows))
+    return fit_sparse(row, column, value, grades, n_features, n_grades, spread, steps)
+
+
+def fit_sparse(
+    row: np.ndarray, column: np.ndarray, value: np.ndarray, grades: np.ndarray, n_features: int, n_grades: int = GRADES,
+    spread: float = 3.0, steps: int = 400,
+) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`fit_thresholds` of rows given as places and values."""
+    n_rows = len(grades)
+    weight = 1 / max(1, n_rows)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     # Parameters: weights, the first threshold, and logarithms of the gaps to the next ones.
     p = np.concatenate([np.zeros(n_features), [0.5], np.zeros(n_grades - 2)])
     first, second = np.zeros_like(p), np.zeros_like(p)
-    at = np.arange(len(rows))
+    at = np.arange(n_rows)
     for step in range(1, steps + 1):
         gaps = np.exp(p[n_features + 1:])
         limits = np.concatenate([[p[n_features]], p[n_features] + np.cumsum(gaps)])
-        z = np.bincount(row, p[column] * value, len(rows))
+        z = np.bincount(row, p[column] * value, n_rows)
         over = sigmoid(z[:, None] - limits)
-        padded = np.hstack([np.ones((len(rows), 1)), over, np.zeros((len(rows), 1))])
+        padded = np.hstack([np.ones((n_rows, 1)), over, np.zeros((n_rows, 1))])
         slope = padded * (1 - padded)
         chance = np.maximum(padded[at, grades] - padded[at, grades + 1], 1e-12)
         # d log P / dz, and with respect to the limits on both sides of the grade.
@@ -189,12 +199,16 @@ def fit(
                 })
 
     ddl = "doc_id long, toxic int, marked long, i array<int>, v array<double>"
-    rows = sample.select("doc_id", "toxic", "text").mapInArrow(run, ddl).orderBy("doc_id", "marked").collect()
-    toxic = np.array([r["toxic"] for r in rows])
-    marked = np.array([r["marked"] for r in rows])
+    # As Arrow columns: rows as Python objects would be many times as large on the driver.
+    rows = sample.select("doc_id", "toxic", "text").mapInArrow(run, ddl).orderBy("doc_id", "marked").toArrow().combine_chunks()
+    toxic, marked = (rows.column(c).to_numpy() for c in ("toxic", "marked"))
+    held = rows.column("i").combine_chunks()
+    sizes = pc.list_value_length(held).to_numpy(zero_copy_only=False)
+    column = held.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    value = rows.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     cuts = np.quantile(marked[toxic == 1], np.arange(1, grades - 1) / (grades - 1))
     graded = np.where(toxic == 1, 1 + np.searchsorted(cuts, marked, side="left"), 0)
-    weights, thresholds = fit_thresholds([dict(zip(r["i"], r["v"])) for r in rows], graded, len(names), grades)
+    weights, thresholds = fit_sparse(np.repeat(np.arange(len(sizes)), sizes), column, value, graded, len(names), grades)
     return Model(names, telling, weights, thresholds)
 
 

@@ -155,3 +155,14 @@ def test_packing_by_division_is_greedy(spark, size, budget):
     for i, n in enumerate(counts):
         sizes = [size] * (n // size) + [n % size] * (n % size > 0)
         assert got.get(i, []) == python_pack(sizes, budget), (n, sizes)
+
+
+def test_refine_query_has_every_state(spark, root):
+    """A row for each piece, with the words of all pieces so far, not only what the piece adds."""
+    from tidemill.plans import catalog
+
+    text = " ".join(["ant"] * 1000 + ["bee"] * 1000 + ["ant"] * 500)
+    docs_of(spark, text, "cat", "").write.parquet(f"{root}/documents.parquet")
+    got = sorted(map(tuple, catalog.QUERIES["refine_summary"](spark, root).collect()))
+    assert got == [(0, 0, "ant"), (0, 1, "ant bee"), (0, 2, "ant bee"), (1, 0, "cat")]
+    assert "string_agg" in catalog.ORACLES["refine_summary"]

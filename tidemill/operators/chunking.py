@@ -214,12 +214,16 @@ def refine_additions(themes: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def refine_summary(themes: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The summary after each piece that has themes, written out: as long as all states together."""
-    added = refine_additions(themes, key)
-    steps = themes.select(key, "piece").distinct().select(key, F.col("piece").alias("__step"))
-    so_far = F.sort_array(F.collect_list(F.struct("position", "word")))
-    states = steps.join(added, key).where(F.col("piece") <= F.col("__step")).groupBy(key, "__step").agg(so_far.alias("__s"))
-    return states.select(key, F.col("__step").alias("piece"), F.transform("__s", lambda s: s["word"]).alias("summary"))
+    """The summary after each piece that has themes, written out: as long as all states together.
+
+    A document's additions are one list, no longer than its text, and each state is cut from it: only additions are
+    shuffled, not states.
+    """
+    listed = F.sort_array(F.collect_list(F.struct("position", "piece", "word")))
+    added = refine_additions(themes, key).groupBy(key).agg(listed.alias("__added"))
+    steps = themes.select(key, "piece").distinct()
+    so_far = F.filter("__added", lambda a: a["piece"] <= F.col("piece"))
+    return steps.join(added, key).select(key, "piece", F.transform(so_far, lambda a: a["word"]).alias("summary"))
 
 
 def _share(ws: Column, vocabulary: str) -> Column:

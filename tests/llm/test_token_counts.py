@@ -2,6 +2,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
+from tidemill.llm import token_counts
 from tidemill.llm.pieces import Pieces
 from tidemill.llm.token_counts import Summary, count_tokens, frequent_words, op1_token_counts
 
@@ -50,3 +51,10 @@ def test_query_on_whole_table(spark, small, library):
     for r in op1_token_counts(spark, small).collect():
         n = len(library.encode(texts[r["doc_id"]]))
         assert (r["n_tokens"], r["over_limit"], r["n_bytes"]) == (n, n > 4096, len(texts[r["doc_id"]].encode()))
+
+
+def test_frequent_words_of_the_query_come_from_all_rows(spark, root, monkeypatch):
+    spark.range(30_000).selectExpr("id AS doc_id", "concat('w', id) AS text").write.parquet(f"{root}/documents.parquet")
+    counted = []
+    monkeypatch.setattr(token_counts, "frequent_words", lambda docs, model: counted.append(docs.count()) or [])
+    assert op1_token_counts(spark, root).count() == 30_000 and counted == [30_000]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.graph import components
 from tidemill.llm.neardup import (
-    BITS, CHUNKS, ERRORS, MOST_DIFFERENT, VALUES, WIDTH, _across, entries, index_entries, near_copies, odd_sketch, shingle_set, signature,
+    BITS, CHUNKS, ERRORS, MOST_DIFFERENT, VALUES, WIDTH, _across, _met, entries, index_entries, near_copies, odd_sketch, shingle_set, signature,
     signed_documents,
 )
 
@@ -171,3 +171,11 @@ def test_odd_sketches_lose_no_link():
             assert size > 150 or bits >= 0.8 * differ - 4
             if 4 * len(np.intersect1d(a, b)) >= 3 * len(np.union1d(a, b)):
                 assert bits * 175 <= 25 * (len(a) + len(b))
+
+
+def test_a_crowd_meets_a_leader_a_chunk(spark):
+    """In a crowd that shares all its entries, a node meets as many leaders as there are chunks, not entries."""
+    rows = spark.createDataFrame([(slot, slot, node, node) for slot in range(VALUES) for node in range(100)], "entry long, slot int, node long, component long")
+    met = _met(rows, 0)
+    assert 99 <= met.count() <= CHUNKS * 100 and met.select("a").distinct().count() == 100
+    assert met.where("a = b").isEmpty()

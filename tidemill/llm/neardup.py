@@ -252,16 +252,21 @@ def _renamed(rows: DataFrame, named: DataFrame) -> DataFrame:
     return rows.join(moved, "component", "left").withColumn("component", F.coalesce("__to", "component")).drop("__to")
 
 
-def _picked(rows: DataFrame, nodes: DataFrame, step: int) -> DataFrame:
-    """One pair ``a, b`` for each node that meets a leader of another component: the leader most like it.
+def _met(rows: DataFrame, step: int) -> DataFrame:
+    """``a, b``: every node with the leaders of other components in its entries.
 
-    An entry's leader is its row with the smallest hash, another one in each entry and round. Of the leaders
-    in all entries of a node, sketches tell which is most like it.
+    An entry's leader is its row with the smallest hash, another one in each chunk and round: entries of a chunk
+    that hold the same rows have the same leader.
     """
-    place = F.xxhash64("entry", "node", F.lit(step)).alias("place")
+    place = F.xxhash64(F.floor(F.col("slot") / F.lit(WIDTH)), "node", F.lit(step)).alias("place")
     leaders = rows.groupBy("entry").agg(F.min(F.struct(place, "node", "component")).alias("__l"))
     leaders = leaders.select("entry", F.col("__l.node").alias("b"), F.col("__l.component").alias("of"))
-    met = rows.join(leaders, "entry").where("component <> of").select(F.col("node").alias("a"), "b").distinct()
+    return rows.join(leaders, "entry").where("component <> of").select(F.col("node").alias("a"), "b").distinct()
+
+
+def _picked(rows: DataFrame, nodes: DataFrame, step: int) -> DataFrame:
+    """One pair ``a, b`` for each node that meets a leader of another component: the leader most like it, as sketches tell."""
+    met = _met(rows, step)
     for side in "ab":
         met = met.join(nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("odd").alias(f"odd_{side}")), side)
     bits = reduce(Column.__add__, [F.bit_count(F.get("odd_a", F.lit(c)).bitwiseXOR(F.get("odd_b", F.lit(c)))) for c in range(ODD // 64)])

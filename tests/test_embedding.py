@@ -7,7 +7,9 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidemill.operators import embedding
 
@@ -91,3 +93,22 @@ def test_copies_are_never_paired(spark):
     vectors = embedding.fit_embedder(docs).embed(docs, "doc_id", "same")
     assert embedding.similar_pairs(vectors, 0.95).collect() == []
     assert embedding.similar_pairs(vectors.limit(0), 0.95).collect() == []
+
+
+def test_few_vectors_are_held_at_a_time():
+    numbers = [[i % 7, 100 + i] if i % 50 else [] for i in range(1000)]
+    batch = pa.RecordBatch.from_pydict({
+        "doc_id": list(range(1000)), "n": pa.array(numbers, pa.list_(pa.int32())), "tf": pa.array([[1] * len(n) for n in numbers], pa.list_(pa.int64())),
+    })
+    made = list(embedding.project(iter([batch]), np.ones(embedding.BUCKETS), 768, ["doc_id", "vector"]))
+    assert max(b.num_rows for b in made) <= embedding.ROWS and sum(b.num_rows for b in made) == 1000
+    rows = [r for b in made for r in b.to_pylist()]
+    assert [r["doc_id"] for r in rows if r["vector"] is None] == list(range(0, 1000, 50))
+    assert all(abs(np.linalg.norm(r["vector"]) - 1) < 1e-12 for r in rows if r["vector"])
+
+
+def test_one_task_of_rows_is_dealt_over_all(spark):
+    docs = spark.createDataFrame([(i, f"a b{i}") for i in range(1000)], DDL).coalesce(1)
+    counts = embedding.spread(docs).groupBy(F.spark_partition_id()).count().collect()
+    assert len(counts) >= spark.sparkContext.defaultParallelism and max(r["count"] for r in counts) <= 1000 / 8
+

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import sys
+import types
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,8 +30,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BUCKETS = 1 << 18
 DIMS = 768
 BAND_BITS = 16
-# Signs that a task keeps: each is DIMS bytes.
-KEPT = 1 << 15
+# Texts that a task projects and hands on at once, and buckets whose signs it adds up at once.
+ROWS, AT_ONCE = 256, 2048
+
+
+def spread(docs: DataFrame) -> DataFrame:
+    """``docs`` dealt evenly over the tasks of a shuffle: a file whose rows are one group is else one task's work."""
+    spark = docs.sparkSession
+    return docs.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism))
 
 
 def bucket(word: Column) -> Column:
@@ -40,18 +47,71 @@ def bucket(word: Column) -> Column:
 
 def bag(text: Column) -> Column:
     """``array<struct<word,tf>>`` of a text's buckets and their counts, by bucket; ``word`` is the bucket."""
-    return counted(F.transform(words(F.coalesce(text, F.lit(""))), lambda w: F.lpad(F.hex(bucket(w)), 5, "0")))
+    return counted(F.transform(words(F.coalesce(text, F.lit(""))), bucket))
 
 
 def same_words(text: Column) -> Column:
     """A digest that texts with the same buckets and counts share: they have the same vector."""
-    return F.sha2(F.array_join(F.transform(bag(text), lambda b: F.concat(b["word"], F.lit(":"), b["tf"].cast("string"))), ","), 256)
-
-
-def signs(number: int, dims: int = DIMS) -> np.ndarray:
-    """The signs of a bucket: bits of md5 of ``bucket:block``, 128 for each block."""
-    blocks = [hashlib.md5(f"{number}:{block}".encode()).digest() for block in range(-(-dims // 128))]
-    return np.unpackbits(np.frombuffer(b"".join(blocks), np.uint8))[:dims].astype(np.int8) * 2 - 1
+    named = F.transform(bag(text), lambda b: F.concat(b["word"].cast("string"), F.lit(":"), b["tf"].cast("string")))
+    return F.sha2(F.array_join(named, ","), 256)
+
+
+def sign_bytes(number: int, blocks: int) -> bytes:
+    """The signs of a bucket, a bit each: md5 of ``bucket:block``, 128 for each block."""
+    return b"".join([hashlib.md5(b"%d:%d" % (number, block)).digest() for block in range(blocks)])
+
+
+class Signs:
+    """The signs of the buckets met so far: at most ``BUCKETS`` rows of ``dims / 8`` bytes."""
+
+    def __init__(self, dims: int):
+        self.dims, self.blocks = dims, -(-dims // 128)
+        self.bits = np.zeros((BUCKETS, self.blocks * 16), np.uint8)
+        self.met = np.zeros(BUCKETS, bool)
+        self.of_byte = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1) * 2.0 - 1.0
+        self.first = np.arange(self.blocks * 16) * 256
+
+    def project(self, numbers: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The sum of the buckets' signs by their weights: weights are added up by byte, and bytes stand for signs."""
+        new = numbers[~self.met[numbers]]
+        if len(new):
+            told = b"".join([sign_bytes(number, self.blocks) for number in new.tolist()])
+            self.bits[new] = np.frombuffer(told, np.uint8).reshape(len(new), -1)
+            self.met[new] = True
+        wide = len(self.first)
+        total = np.zeros(wide * 256)
+        for at in range(0, len(numbers), AT_ONCE):
+            byte = self.bits[numbers[at: at + AT_ONCE]] + self.first
+            total += np.bincount(byte.ravel(), np.repeat(weights[at: at + AT_ONCE], wide), wide * 256)
+        return (total.reshape(wide, 256) @ self.of_byte).ravel()[: self.dims]
+
+
+def _signs(dims: int) -> Signs:
+    """The signs that a worker process keeps from task to task."""
+    place = sys.modules.setdefault("_tidemill_signs", types.ModuleType("_tidemill_signs")).__dict__
+    if place.get("dims") != dims:
+        place |= {"dims": dims, "kept": Signs(dims)}
+    return place["kept"]
+
+
+def project(batches: Iterator[pa.RecordBatch], idf: np.ndarray, dims: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches whose last two columns, a text's buckets and their counts, become its vector; ``ROWS`` texts at a time."""
+    kept = _signs(dims)
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            part = batch.slice(at, ROWS)
+            number, tf = (c.flatten().to_numpy() for c in part.columns[-2:])
+            weights = tf * idf[number]
+            ends = np.cumsum(part.columns[-1].value_lengths().to_numpy()).tolist()
+            vectors = np.zeros((part.num_rows, dims))
+            for i, (start, end) in enumerate(zip([0, *ends[:-1]], ends)):
+                vectors[i] = kept.project(number[start:end], weights[start:end])
+            lengths = np.linalg.norm(vectors, axis=1)
+            told = lengths > 0
+            values = (vectors[told] / lengths[told, None]).ravel()
+            offsets = np.concatenate([[0], np.cumsum(told * dims)]).astype(np.int32)
+            made = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=pa.array(~told))
+            yield pa.RecordBatch.from_arrays([*part.columns[:-2], made], names=names)
 
 
 @dataclass(frozen=True)
@@ -62,43 +122,28 @@ class Embedder:
     dims: int = DIMS
 
     def embed(self, docs: DataFrame, *keep: str, text: str = "text", out: str = "vector") -> DataFrame:
-        """``<keep>, <out>``: vectors of length 1; null for a text without a word that has weight. No shuffle."""
+        """``<keep>, <out>``: vectors of length 1; null for a text without a word that has weight. No shuffle.
+
+        A task holds the vectors of ``ROWS`` texts at a time.
+        """
         dims = self.dims
         sent = docs.sparkSession.sparkContext.broadcast(self.idf)
 
-        def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            idf, held = sent.value, {}
-            for batch in batches:
-                vectors = []
-                for number, tf in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
-                    if len(held) > KEPT:
-                        held.clear()
-                    for n in number:
-                        if n not in held:
-                            held[n] = signs(n, dims)
-                    weights = np.array(tf, np.float64) * idf[np.array(number, np.int64)]
-                    vector = weights @ np.stack([held[n] for n in number]) if number else np.zeros(dims)
-                    length = np.linalg.norm(vector)
-                    vectors.append((vector / length).tolist() if length > 0 else None)
-                columns = [*batch.columns[:-2], pa.array(vectors, pa.list_(pa.float64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=[*keep, out])
-
         held = docs.select(*keep, bag(F.col(text)).alias("__b")).select(
-            *keep, F.transform("__b", lambda b: F.conv(b["word"], 16, 10).cast("int")).alias("__number"),
-            F.transform("__b", lambda b: b["tf"]).alias("__tf"),
+            *keep, F.transform("__b", lambda b: b["word"]).alias("__number"), F.transform("__b", lambda b: b["tf"]).alias("__tf"),
         )
         kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-        return held.mapInArrow(project, f"{kinds}, {out} array<double>")
+        return held.mapInArrow(lambda batches: project(batches, sent.value, dims, [*keep, out]), f"{kinds}, {out} array<double>")
 
 
 def fit_embedder(docs: DataFrame, text: str = "text", dims: int = DIMS) -> Embedder:
     """Weights from all of ``docs``: one row per bucket comes to the driver, at most 2**18."""
-    uses = docs.select(F.explode(F.transform(bag(F.col(text)), lambda b: F.conv(b["word"], 16, 10).cast("int"))).alias("number"))
-    rows = uses.groupBy("number").agg(F.count("*").alias("uses")).collect()
+    met = F.array_distinct(F.transform(words(F.coalesce(text, F.lit(""))), bucket))
+    uses = spread(docs.select(text)).select(F.explode(met).alias("number"))
+    rows = uses.groupBy("number").agg(F.count("*").alias("uses")).toArrow()
     documents = docs.count()
     counts = np.zeros(BUCKETS)
-    for row in rows:
-        counts[row["number"]] = row["uses"]
+    counts[rows["number"].to_numpy()] = rows["uses"].to_numpy()
     return Embedder(np.log((documents + 1) / (counts + 1)), dims)
 
 

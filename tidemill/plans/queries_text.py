@@ -496,7 +496,7 @@ DOCS_SQL = "SELECT doc_id, text FROM documents"
 )
 def _(t: Tables) -> DataFrame:
     """Vectors of 768 elements, told by their size, largest element, and a sum that weighs elements by their place."""
-    vectors = embedding.fit_embedder(t.documents.select("text")).embed(t.documents, "doc_id", "lang")
+    vectors = embedding.fit_embedder(t.documents.select("text")).embed(embedding.spread(t.documents.select("doc_id", "lang", "text")), "doc_id", "lang")
     place = F.aggregate(F.transform("vector", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x) / embedding.DIMS
     return vectors.select(
         "doc_id", "lang", F.round(F.array_max("vector"), 6).alias("peak"), F.round(place, 6).alias("digest"),
@@ -519,7 +519,7 @@ def _(t: Tables) -> DataFrame:
     messages = t.conversations.select("conv_id", "turn", "text")
     embedder = embedding.fit_embedder(messages)
     normal = tx.without_quotes(tx.without_first_word(F.col("text"))).alias("normal")
-    before = embedder.embed(messages.select("*", normal), "conv_id", "turn", "normal", out="before")
+    before = embedder.embed(embedding.spread(messages).select("*", normal), "conv_id", "turn", "normal", out="before")
     both = embedder.embed(before, "conv_id", "turn", "before", text="normal", out="after")
     return both.select("conv_id", "turn", F.round(dot(F.col("before"), F.col("after")), 6).alias("similarity"))
 
@@ -539,8 +539,8 @@ SIMILAR = 0.95
 )
 def _(t: Tables) -> DataFrame:
     """Documents alike in their words: pairs of classes, found in hash tables of their vectors' signs."""
-    docs = t.documents.select("doc_id", "text", embedding.same_words(F.col("text")).alias("same"))
-    vectors = embedding.fit_embedder(docs).embed(docs, "doc_id", "same")
+    docs = embedding.spread(texts(t)).select("doc_id", "text", embedding.same_words(F.col("text")).alias("same"))
+    vectors = embedding.fit_embedder(texts(t)).embed(docs, "doc_id", "same")
     return embedding.similar_pairs(vectors, SIMILAR).withColumn("similarity", F.round("similarity", 6))
 
 

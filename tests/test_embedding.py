@@ -112,3 +112,17 @@ def test_one_task_of_rows_is_dealt_over_all(spark):
     counts = embedding.spread(docs).groupBy(F.spark_partition_id()).count().collect()
     assert len(counts) >= spark.sparkContext.defaultParallelism and max(r["count"] for r in counts) <= 1000 / 8
 
+
+def test_vectors_are_made_once_for_all_joins(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame(list(enumerate(corpus())), DDL)
+    docs = docs.select("doc_id", "text", embedding.same_words(docs.text).alias("same"))
+    vectors = embedding.fit_embedder(docs).embed(docs, "doc_id", "same").mapInArrow(seen, "doc_id long, same string, vector array<double>")
+    assert embedding.similar_pairs(vectors, 0.9).count() > 0
+    assert made.value == docs.count()

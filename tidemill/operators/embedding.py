@@ -13,6 +13,7 @@ import sys
 import types
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.text import word_bucket, words
 from tidemill.functions.vector_math import dot
 from tidemill.operators.chunking import counted
+from tidemill.sources.shared import run_dir
 
 # Executors need not have this package: what tasks run travels with them.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -30,8 +32,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BUCKETS = 1 << 18
 DIMS = 768
 BAND_BITS = 16
+WORD_BITS = 64
 # Texts that a task projects and hands on at once, and buckets whose signs it adds up at once.
 ROWS, AT_ONCE = 256, 2048
+# Share of signs in which candidates may differ: 5/16 is that of a cosine of 0.56. An element is small below
+# SMALL / sqrt(size): its sign tells little. A fifth is small where elements are spread like a normal distribution.
+MOST_DIFFERENT, SMALL, USUALLY_SMALL = 5 / 16, 0.25, 1 / 4
 
 
 def spread(docs: DataFrame) -> DataFrame:
@@ -147,30 +153,55 @@ def fit_embedder(docs: DataFrame, text: str = "text", dims: int = DIMS) -> Embed
     return Embedder(np.log((documents + 1) / (counts + 1)), dims)
 
 
-def similar_pairs(vectors: DataFrame, least: float, key: str = "doc_id", vector: str = "vector", same: str = "same") -> DataFrame:
+def _sign_words(vector: Column, dims: int) -> list[Column]:
+    """The signs of a vector as 64-bit numbers, the last one filled up with zeros."""
+    def word(at: int) -> Column:
+        part = F.slice(vector, at + 1, min(WORD_BITS, dims - at))
+        return F.aggregate(part, F.lit(0).cast("long"), lambda a, x: F.shiftleft(a, 1).bitwiseOR((x >= 0).cast("long")))
+
+    return [word(at) for at in range(0, dims, WORD_BITS)]
+
+
+def _bands(words_: list[Column], dims: int) -> list[Column]:
+    """The whole bands of ``BAND_BITS`` signs."""
+    lanes = [F.shiftright(w, at).bitwiseAND(F.lit((1 << BAND_BITS) - 1)) for w in words_ for at in range(0, WORD_BITS, BAND_BITS)]
+    return lanes[: dims // BAND_BITS]
+
+
+def similar_pairs(
+    vectors: DataFrame, least: float, key: str = "doc_id", vector: str = "vector", same: str = "same", dims: int = DIMS
+) -> DataFrame:
     """Pairs of different texts with cosine of at least ``least``: ``left_id, right_id, similarity, left_size, right_size``.
 
     ``vectors`` have length 1, and rows with one ``same`` have one vector: such a class is one row here, named by
     its smallest key, with its size, so copies are never paired. Candidates meet in hash tables: the signs of
     a vector are cut in bands of ``BAND_BITS``, and a pair is made in the first band that both share, once.
-    A pair at 0.9 shares none of 48 bands with a chance of 1.5 %, at 0.95 of 6 in 100,000. Only ids and bands go through the
-    tables; vectors are joined to the pairs that are left.
+    A pair at 0.9 shares none of 48 bands with a chance of 1.5 %, at 0.95 of 6 in 100,000. Only ids, bands and signs, a
+    bit each, go through the tables. A pair leaves the join if at most ``MOST_DIFFERENT`` of its signs differ, and more
+    where a vector has more small elements than usual, as short texts have; a pair at 0.9 usually differs in a seventh. Vectors are
+    joined to the pairs that are left. Classes are written once, as every join reads them.
     """
+    spark = vectors.sparkSession
     classes = vectors.where(F.col(vector).isNotNull()).groupBy(same).agg(
         F.min(key).alias("id"), F.count("*").alias("size"), F.first(vector).alias("v")
     )
-    classes = classes.select("id", "size", "v")
-    size = F.size("s")
-    sign = F.transform(F.col("v"), lambda x: (x >= 0).cast("int"))
-    bands = F.transform(
-        F.sequence(F.lit(0), F.floor(size / F.lit(BAND_BITS)).cast("int") - 1),
-        lambda b: F.aggregate(F.slice("s", b * BAND_BITS + 1, F.lit(BAND_BITS)), F.lit(0), lambda a, x: a * 2 + x),
+    count = -(-dims // WORD_BITS)
+    small = F.size(F.filter("v", lambda x: F.abs(x) < SMALL / dims ** 0.5))
+    allowed = F.lit(int(MOST_DIFFERENT * dims)) + F.greatest(small - int(USUALLY_SMALL * dims), F.lit(0))
+    signed = classes.select("id", "size", "v", allowed.alias("allowed"), *[w.alias(f"s{i}") for i, w in enumerate(_sign_words(F.col("v"), dims))])
+    path = run_dir(spark, "classes")
+    signed.write.parquet(path)
+    classes = spark.read.schema(signed.schema).parquet(path)
+    words_ = [F.col(f"s{i}") for i in range(count)]
+    tables = spread(classes.select("id", "allowed", *words_)).select("*", F.posexplode(F.array(*_bands(words_, dims))).alias("band", "value"))
+    left, right = (
+        tables.select("band", "value", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "allowed")], *[w.alias(f"{s}_s{i}") for i, w in enumerate(words_)])
+        for s in ("left", "right")
     )
-    signed = classes.select("id", sign.alias("s")).select("id", bands.alias("bands"))
-    tables = signed.select("id", "bands", F.posexplode("bands").alias("band", "value"))
-    left, right = (tables.select("band", "value", F.col("id").alias(f"{s}_id"), F.col("bands").alias(f"{s}_bands")) for s in ("left", "right"))
-    first = F.array_position(F.zip_with("left_bands", "right_bands", lambda a, b: a == b), True) - 1
-    pairs = left.join(right, ["band", "value"]).where((F.col("left_id") < F.col("right_id")) & (first == F.col("band")))
+    differ = [F.col(f"left_s{i}").bitwiseXOR(F.col(f"right_s{i}")) for i in range(count)]
+    near = reduce(Column.__add__, [F.bit_count(d) for d in differ]) <= F.greatest("left_allowed", "right_allowed")
+    first = F.array_position(F.array(*_bands(differ, dims)), F.lit(0).cast("long")) - 1
+    pairs = left.join(right, ["band", "value"]).where((F.col("left_id") < F.col("right_id")) & near & (first == F.col("band")))
     pairs = pairs.select("left_id", "right_id")
     for side in ("left", "right"):
         own = classes.select(F.col("id").alias(f"{side}_id"), F.col("size").alias(f"{side}_size"), F.col("v").alias(f"{side}_v"))

@@ -4,9 +4,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemill.llm import neardup
+from tidemill.llm.common import fan_out
 from tidemill.llm.graph import components
 from tidemill.llm.neardup import (
-    BITS, CHUNKS, ERRORS, MOST_DIFFERENT, VALUES, WIDTH, _across, _met, entries, index_entries, near_copies, odd_sketch, shingle_set, signature,
+    BITS, CHUNKS, ERRORS, MOST_DIFFERENT, VALUES, WIDTH, _across, _met, confirmed, entries, index_entries, near_copies, odd_sketch, shingle_set, signature,
     signed_documents,
 )
 
@@ -179,3 +181,29 @@ def test_a_crowd_meets_a_leader_a_chunk(spark):
     met = _met(rows, 0)
     assert 99 <= met.count() <= CHUNKS * 100 and met.select("a").distinct().count() == 100
     assert met.where("a = b").isEmpty()
+
+
+def test_sets_of_a_pair_are_intersected_once(spark):
+    """At 75 % exactly a pair is linked, just below it is not; the sets are intersected in one place of the plan."""
+    shingles = [" ".join(f"w{j}" for j in range(n)) for n in (79, 104, 105)]  # 75, 100 and 101 shingles
+    docs = spark.createDataFrame(list(enumerate(shingles)), "doc_id long, text string")
+    nodes = signed_documents(docs).withColumnRenamed("n_shingles", "n")
+    node = {r["doc_id"]: r["node"] for r in nodes.collect()}
+    pairs = spark.createDataFrame([(node[0], node[1]), (node[0], node[2]), (node[1], node[2])], "a long, b long")
+    links = confirmed(pairs, nodes, docs)
+    assert {tuple(r) for r in links.collect()} == {(node[0], node[1]), (node[1], node[2])}
+    assert links._jdf.queryExecution().optimizedPlan().toString().count("array_intersect") == 1
+
+
+def test_entries_are_dealt_over_all_tasks(spark, monkeypatch):
+    """The few files that hold the nodes are not the tasks that make 60 entries of each."""
+    parts = []
+
+    def seen(nodes):
+        parts.append(nodes.rdd.getNumPartitions())
+        return index_entries(nodes)
+
+    monkeypatch.setattr(neardup, "index_entries", seen)
+    docs = spark.createDataFrame([(i, f"some words of the text with number {i}") for i in range(40)], "doc_id long, text string")
+    assert near_copies(docs).count() == 40
+    assert parts == [fan_out(spark)]

@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tidemill.llm.toxicity import fit, fit_thresholds, labelled_sample, score, without_toxic
+from tidemill.llm.toxicity import fit, fit_thresholds, labelled_sample, score, scored, without_toxic
 
 DOCS = "doc_id long, text string, severity string, toxic long, grade string"
 LABELS = "doc_id long, quality int, toxic int, text string"
@@ -92,3 +93,14 @@ def test_a_repeated_id_is_one_row_of_the_sample(spark):
     assert once == often == sorted((d, text, int(truth[d] > 0)) for d, text in rows if d < 200)
     other = spark.createDataFrame([*rows, *((0, f"other {i}") for i in range(50))], "doc_id long, text string")
     assert [r[0] for r in sorted(map(tuple, labelled_sample(other, marked, "doc_id", "text", "toxic").collect()))] == list(range(200))
+
+
+def test_rows_leave_a_worker_in_small_batches(fitted):
+    model, _, docs = fitted
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1200)), "text": [docs[i % 400][1] for i in range(1199)] + [None]})
+    parts = list(scored(batch, model, model.lookup(), "text", ["severity", "grade", "toxic"]))
+    assert [p.num_rows for p in parts] == [512, 512, 176]
+    whole = pa.Table.from_batches(parts)
+    assert whole.select(["doc_id", "text"]).to_pydict() == batch.to_pydict()
+    severity = whole.column("severity").to_pylist()
+    assert severity[400:800] == severity[:400] and whole.column("toxic").to_pylist()[-1] is False

@@ -46,13 +46,24 @@ def shared(sent: Broadcast):
 
 
 def remembered(name: str, key, make: Callable):
-    """An object that a worker process keeps from task to task: the last one made under ``name``, if its
-    key is still ``key``. What a task brings along is new each time, so the place is a module of the process."""
+    """An object that a worker process keeps from task to task: the last one made, if it is ``name``'s and its
+    key is still ``key``. What a task brings along is new each time, so the place is a module of the process.
+
+    Only one is kept: workers outlive a step, and its caches would take memory from the next one."""
     place = sys.modules.setdefault("_tidemill_worker", types.ModuleType("_tidemill_worker"))
-    kept = place.__dict__.get(name)
-    if kept is None or kept[0] != key:
-        place.__dict__[name] = kept = (key, make())
-    return kept[1]
+    kept = place.__dict__.get("kept")
+    if kept is None or kept[0] != name or kept[1] != key:
+        kept = None
+        forget()
+        place.__dict__["kept"] = kept = (name, key, make())
+    return kept[2]
+
+
+def forget() -> None:
+    """Lets go of what :func:`remembered` keeps in this worker, for steps that keep nothing themselves."""
+    place = sys.modules.get("_tidemill_worker")
+    if place is not None and place.__dict__.pop("kept", None) is not None:
+        pa.default_memory_pool().release_unused()
 
 
 class Rows:

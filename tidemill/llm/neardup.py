@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import table, written
+from tidemill.llm.common import fan_out, forget, table, written
 from tidemill.llm.graph import components
 
 SHINGLE = 5
@@ -159,6 +159,7 @@ def signed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     schema = pa.schema(list(SIGNED)[: 5 if sketched else 4])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
@@ -235,9 +236,9 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     # Several rows may have a node's text: one set each.
     sets = sets_of(docs, wanted).dropDuplicates(["node"])
     left, right = (sets.select(F.col("node").alias(s), F.col("shingles").alias(f"set_{s}")) for s in "ab")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - common
-    return pairs.join(left, "a").join(right, "b").where(100 * common >= PERCENT * union).select("a", "b")
+    # The union is both sizes less what is common; told without it, so that sets are intersected once a pair.
+    common, both = F.size(F.array_intersect("set_a", "set_b")).cast("long"), F.size("set_a").cast("long") + F.size("set_b")
+    return pairs.join(left, "a").join(right, "b").where((100 + PERCENT) * common >= PERCENT * both).select("a", "b")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -306,7 +307,8 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("odd").alias("odd")
     )
     nodes = written(nodes, "nodes")
-    index = index_entries(nodes)
+    # A node has 60 entries: dealt over all tasks, else the few tasks that read the nodes hold all entries at once.
+    index = index_entries(nodes.select("node", "sig").repartition(fan_out(docs.sparkSession), "node"))
     rows = written(_shared(index.withColumn("component", F.col("node"))), "entries")
     names = nodes.select("node", F.col("node").alias("component"))
     named = nodes.where("doc_id IS NOT NULL")

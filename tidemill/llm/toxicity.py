@@ -212,6 +212,21 @@ def fit(
     return Model(names, telling, weights, thresholds)
 
 
+def scored(batch: pa.RecordBatch, model: Model, found: Recent, text: str, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` with their severity, grade and verdict, 512 at a time: a whole batch with its texts would
+    be held once more by the worker and by its executor."""
+    at = batch.schema.get_field_index(text)
+    for start in range(0, batch.num_rows, 512):
+        part = batch.slice(start, 512)
+        chances = [model.severity(model.vector(word_counts(content), found)) for content in part.column(at).to_pylist()]
+        table_ = np.array(chances).reshape(len(chances), len(model.thresholds))
+        grade = (table_ >= 0.5).sum(axis=1)
+        yield pa.RecordBatch.from_arrays(
+            [*part.columns, pa.array(table_.sum(axis=1)), pa.array(grade, pa.int32()), pa.array(grade >= 1)],
+            names=[*part.schema.names, *names],
+        )
+
+
 def score(docs: DataFrame, model: Model, text: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with ``severity, grade, toxic`` (named after ``prefix``). No shuffle."""
     sent = share(docs.sparkSession, model)
@@ -221,17 +236,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", prefix: str = "") -
         own = shared(sent)
         found = remembered("toxic words", own.names, own.lookup)
         for batch in batches:
-            chances = []
-            at = batch.schema.get_field_index(text)
-            for start in range(0, batch.num_rows, 512):
-                for content in batch.column(at).slice(start, 512).to_pylist():
-                    chances.append(own.severity(own.vector(word_counts(content), found)))
-            table_ = np.array(chances).reshape(len(chances), len(own.thresholds))
-            grade = (table_ >= 0.5).sum(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(table_.sum(axis=1)), pa.array(grade, pa.int32()), pa.array(grade >= 1)],
-                names=[*batch.schema.names, *names],
-            )
+            yield from scored(batch, own, found, text, names)
 
     kinds = (T.DoubleType(), T.IntegerType(), T.BooleanType())
     added = [T.StructField(n, kind) for n, kind in zip(names, kinds)]

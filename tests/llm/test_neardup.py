@@ -5,10 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.llm import neardup
-from tidemill.llm.common import fan_out
+from tidemill.llm.common import fan_out, written
 from tidemill.llm.graph import components
 from tidemill.llm.neardup import (
-    BITS, CHUNKS, ERRORS, MOST_DIFFERENT, VALUES, WIDTH, _across, _met, confirmed, entries, index_entries, near_copies, odd_sketch, shingle_set, signature,
+    BITS, CHUNKS, ERRORS, MOST_DIFFERENT, VALUES, WIDTH, _across, _met, _picked, confirmed, entries, index_entries, near_copies, odd_sketch, shingle_set, signature,
     signed_documents,
 )
 
@@ -207,3 +207,28 @@ def test_entries_are_dealt_over_all_tasks(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"some words of the text with number {i}") for i in range(40)], "doc_id long, text string")
     assert near_copies(docs).count() == 40
     assert parts == [fan_out(spark)]
+
+
+def test_picked_pairs_bring_their_components(spark):
+    """A round needs no join to tell sizes, signatures and components of its pairs again: the driver plans each join."""
+    near = [" ".join(f"y{j}" for j in range(80)) + f" z{i}" for i in range(6)]
+    far = [" ".join(f"x{k}_{j}" for j in range(80)) for k in range(3)]
+    docs = spark.createDataFrame(list(enumerate(near + far)), "doc_id long, text string")
+    nodes = signed_documents(docs, sketched=True).withColumnRenamed("n_shingles", "n").cache()
+    group = {r["node"]: r["doc_id"] // 2 for r in nodes.collect()}
+    rows = written(index_entries(nodes).join(spark.createDataFrame(list(group.items()), "node long, component long"), "node"), "rows")
+    picked = _picked(rows, nodes, 0)
+    # Two joins with the nodes and one with the leaders.
+    assert picked._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 3
+    pairs = picked.collect()
+    assert pairs and len({r["a"] for r in pairs}) == len(pairs)
+    assert all((r["of_a"], r["of_b"]) == (group[r["a"]], group[r["b"]]) and r["of_a"] != r["of_b"] and r["of_b"] < 3 for r in pairs)
+
+
+def test_names_are_written_once(spark, monkeypatch):
+    """Not after every round: each table that is written costs the driver a plan, its tasks and its files."""
+    labels = []
+    monkeypatch.setattr(neardup, "written", lambda df, label, f=neardup.written: labels.append(label) or f(df, label))
+    docs = spark.createDataFrame([(i, f"some words of the text with number {i // 2}") for i in range(20)], "doc_id long, text string")
+    assert near_copies(docs).where("kept").count() == 10
+    assert labels.count("names") == 1

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.llm import pii
-from tidemill.llm.pii import NAMES, replace_private, settle
+from tidemill.llm.pii import NAMES, replace_private, settle, surrogate
 
 DDL = "doc_id long, text string, n_chars long, kind string, found string"
 
@@ -191,3 +191,15 @@ def test_quoted_secrets_of_any_number_of_escapes(spark):
     got = run(spark, texts)
     assert all(t.endswith(" after") and "tail" not in t for t in got[:5])
     assert got[5:] == texts[5:]
+
+
+def test_a_surrogate_is_planned_once(spark, monkeypatch):
+    """Its expression is large, so what uses its value twice must not write it out twice: plans of claims were half a megabyte."""
+    rows = spark.createDataFrame([("card", "4111 1111 1111 1111", 0)], "kind string, value string, attempt int")
+    size = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("isLuhnNumber")
+    one = size(rows.select(surrogate("key", F.col("kind"), F.col("value"), F.col("attempt")).alias("s")))
+    plans = []
+    monkeypatch.setattr(pii, "written", lambda df, label, f=pii.written: plans.append((label, size(df))) or f(df, label))
+    assert settle(rows.select("kind", "value"), "key").collect() == []
+    # A call for a card's check, and one for its digits.
+    assert one == 2 and sum(n for _, n in plans) == one

@@ -196,14 +196,6 @@ def index_entries(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "sig").mapInArrow(run, "entry long, slot int, node long")
 
 
-def near_enough(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose sizes and signatures allow the similarity."""
-    for side in "ab":
-        own = nodes.select(*[F.col(c).alias(f"{c}_{side}") for c in ("node", "n")], *_chunks(side, nodes.columns))
-        pairs = pairs.join(own, F.col(side) == F.col(f"node_{side}"))
-    return pairs.where(_may_link("a", "b", nodes.columns)).select("a", "b")
-
-
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``node, shingles`` of the nodes in ``wanted`` (``node, doc_id``), from their texts."""
 
@@ -229,7 +221,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that are links: 100 * intersection >= 75 * union, on full sets."""
+    """The pairs ``a, b`` that are links: 100 * intersection >= 75 * union, on full sets. Other columns are kept."""
     pairs = written(pairs, "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = written(ends.join(nodes.select("node", "doc_id"), "node"), "ends")
@@ -238,7 +230,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     left, right = (sets.select(F.col("node").alias(s), F.col("shingles").alias(f"set_{s}")) for s in "ab")
     # The union is both sizes less what is common; told without it, so that sets are intersected once a pair.
     common, both = F.size(F.array_intersect("set_a", "set_b")).cast("long"), F.size("set_a").cast("long") + F.size("set_b")
-    return pairs.join(left, "a").join(right, "b").where((100 + PERCENT) * common >= PERCENT * both).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where((100 + PERCENT) * common >= PERCENT * both).select(*pairs.columns)
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -254,31 +246,40 @@ def _renamed(rows: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def _met(rows: DataFrame, step: int) -> DataFrame:
-    """``a, b``: every node with the leaders of other components in its entries.
+    """``a, b, of_a, of_b``: every node with the leaders of other components in its entries, and the components of both.
 
     An entry's leader is its row with the smallest hash, another one in each chunk and round: entries of a chunk
     that hold the same rows have the same leader.
     """
     place = F.xxhash64(F.floor(F.col("slot") / F.lit(WIDTH)), "node", F.lit(step)).alias("place")
     leaders = rows.groupBy("entry").agg(F.min(F.struct(place, "node", "component")).alias("__l"))
-    leaders = leaders.select("entry", F.col("__l.node").alias("b"), F.col("__l.component").alias("of"))
-    return rows.join(leaders, "entry").where("component <> of").select(F.col("node").alias("a"), "b").distinct()
+    leaders = leaders.select("entry", F.col("__l.node").alias("b"), F.col("__l.component").alias("of_b"))
+    met = rows.join(leaders, "entry").where("component <> of_b")
+    return met.select(F.col("node").alias("a"), "b", F.col("component").alias("of_a"), "of_b").distinct()
 
 
 def _picked(rows: DataFrame, nodes: DataFrame, step: int) -> DataFrame:
-    """One pair ``a, b`` for each node that meets a leader of another component: the leader most like it, as sketches tell."""
+    """One pair for each node that meets a leader of another component, as :func:`_met` has them: the leader most like
+    it, as sketches tell, of those that sizes, signatures and sketches allow to be linked."""
     met = _met(rows, step)
     for side in "ab":
-        met = met.join(nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("odd").alias(f"odd_{side}")), side)
-    bits = reduce(Column.__add__, [F.bit_count(F.get("odd_a", F.lit(c)).bitwiseXOR(F.get("odd_b", F.lit(c)))) for c in range(ODD // 64)])
-    told = met.select("a", "b", "n_a", "n_b", bits.alias("bits"))
+        met = met.join(nodes.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "sig", "odd")]), side)
+    apart = lambda name, c: F.get(f"{name}_a", F.lit(c)).bitwiseXOR(F.get(f"{name}_b", F.lit(c)))
+    bits = reduce(Column.__add__, [F.bit_count(apart("odd", c)) for c in range(ODD // 64)])
+    distance = reduce(Column.__add__, [_differ(apart("sig", c)) for c in range(CHUNKS)])
     both = F.col("n_a") + F.col("n_b")
-    alike = told.where(F.col("bits") * (100 + PERCENT) <= (100 - PERCENT) * both).select("a", "b", ((both - F.col("bits")) / (both + F.col("bits"))).alias("alike"))
-    return alike.groupBy("a").agg(F.max(F.struct("alike", "b")).alias("__b")).select("a", F.col("__b.b").alias("b"))
+    allowed = (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")) & (distance <= MOST_DIFFERENT)
+    told = met.where(allowed).select("a", "b", "of_a", "of_b", both.alias("both"), bits.alias("bits"))
+    # As in _may_link: sketches never lose a link.
+    told = told.where(F.col("bits") * (100 + PERCENT) <= (100 - PERCENT) * F.col("both"))
+    alike = ((F.col("both") - F.col("bits")) / (F.col("both") + F.col("bits"))).alias("alike")
+    best = told.groupBy("a", "of_a").agg(F.max(F.struct(alike, "b", "of_b")).alias("__b"))
+    return best.select("a", F.col("__b.b").alias("b"), "of_a", F.col("__b.of_b").alias("of_b"))
 
 
-def _across(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Every pair ``a, b`` of nodes that share an entry, are of different components, and may be linked.
+def _across(rows: DataFrame, nodes: DataFrame, components: bool = False) -> DataFrame:
+    """Every pair ``a, b`` of nodes that share an entry, are of different components, and may be linked; and, if asked
+    for, their components ``of_a, of_b``.
 
     One of them is outside the entry's largest component, so only such rows are joined with all.
     """
@@ -295,7 +296,8 @@ def _across(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     once = ~F.col("outside_b") | (F.col("node_b") < F.col("node_a"))
     other = F.col("component_a") != F.col("component_b")
     kept = other & once & _may_link("a", "b", told) & _first_shared("sig_a", "sig_b", F.col("slot"))
-    return left.join(right, "entry").where(kept).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    of = [F.col(f"component_{side}").alias(f"of_{side}") for side in "ab"] if components else []
+    return left.join(right, "entry").where(kept).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), *of)
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
@@ -313,15 +315,13 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds
     names = nodes.select("node", F.col("node").alias("component"))
     named = nodes.where("doc_id IS NOT NULL")
     for step in range(rounds + 1):
-        pairs = near_enough(_picked(rows, named, step), named) if step < rounds else _across(rows, named)
-        links = confirmed(pairs, named, docs)
-        own = names.select(F.col("node").alias("__node"), F.col("component").alias("__name"))
-        for side in "ab":
-            links = links.join(own, F.col(side) == F.col("__node")).withColumn(side, F.col("__name")).drop("__node", "__name")
+        pairs = _picked(rows, named, step) if step < rounds else _across(rows, named, components=True)
+        links = confirmed(pairs, named, docs).select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
         joined = written(components(links), "components")
-        names = written(_renamed(names, joined), "names")
+        names = _renamed(names, joined)
         if step < rounds:
             rows = written(_shared(_renamed(rows, joined)), "entries")
+    names = written(names, "names")
     smallest = names.join(nodes.select("node", "doc_id"), "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_node = names.join(smallest, "component").select("node", "component_id")
     found = signed.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")

@@ -1,10 +1,12 @@
 """Sign projections and the similarity join, against plain Python."""
 
+import gc
 import hashlib
 import math
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators import embedding
+from tidemill.sources.shared import shared_root
 
 DDL = "doc_id long, text string"
 
@@ -126,3 +129,82 @@ def test_vectors_are_made_once_for_all_joins(spark):
     vectors = embedding.fit_embedder(docs).embed(docs, "doc_id", "same").mapInArrow(seen, "doc_id long, same string, vector array<double>")
     assert embedding.similar_pairs(vectors, 0.9).count() > 0
     assert made.value == docs.count()
+
+
+def disk(spark):
+    """Bytes of shuffle files and of files in the shared folder."""
+    gc.collect()
+    spark._jvm.System.gc()
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    shuffled = sum(blocks.apply(i).length() for i in range(blocks.length()))
+    return shuffled + sum(f.stat().st_size for f in Path(shared_root(spark).removeprefix("file:")).rglob("*") if f.is_file())
+
+
+def cluster(n, length=60, seed=5):
+    """Texts of which any two are alike, and none the same."""
+    rng = random.Random(seed)
+    words = [f"word{i}" for i in range(length)]
+    return [" ".join([*words * 3, *rng.sample(words, 3)]) for _ in range(n)] + [f"other{i} lone{i}" for i in range(n)]
+
+
+def test_vectors_are_not_written_for_each_pair(spark):
+    docs = spark.createDataFrame(list(enumerate(cluster(250))), DDL)
+    docs = docs.select("doc_id", "text", embedding.same_words(docs.text).alias("same"))
+    vectors = embedding.fit_embedder(docs).embed(docs, "doc_id", "same")
+    before = disk(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as of tables too large for it
+    try:
+        found = embedding.similar_pairs(vectors, 0.9)
+        pairs = found.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(pairs) > 20_000
+    # A vector has 6 KB: these are three times all vectors, and a twentieth of a vector a pair.
+    assert disk(spark) - before < 500 * 6200 * 3
+
+
+def test_pairs_of_bags_need_no_stored_vectors(spark):
+    texts = corpus(400, 9) + corpus(120, 4)
+    docs = spark.createDataFrame(list(enumerate(texts)), DDL).select("doc_id", embedding.bag_arrays(F.col("text")).alias("bag"))
+    docs = embedding.written(docs.select("*", embedding.same_words(docs.bag, bagged=True).alias("same")), "bags")
+    embedder = embedding.fit_embedder(docs, "bag")
+    vectors = embedder.embed(docs, "doc_id", "same", text="bag")
+    before = disk(spark)
+    found = embedding.similar_pairs(vectors, 0.9, source=embedding.packed(docs.select("doc_id", "same", "bag")), made=embedder.of_bags(spark)).collect()
+    assert disk(spark) - before < len(texts) * 6200 / 2
+    stored = embedding.similar_pairs(vectors, 0.9).collect()
+    assert len(found) > 10 and sorted((r.left_id, r.right_id, r.left_size, r.right_size) for r in found) == sorted(
+        (r.left_id, r.right_id, r.left_size, r.right_size) for r in stored
+    )
+    want = brute(texts)
+    assert all(abs(r.similarity - want[r.left_id] @ want[r.right_id]) < 1e-9 for r in found)
+
+
+def test_a_cluster_is_cut_into_tiles(spark, monkeypatch):
+    docs = spark.createDataFrame(list(enumerate(cluster(60))), DDL)
+    docs = docs.select("doc_id", "text", embedding.same_words(docs.text).alias("same"))
+    vectors = embedding.fit_embedder(docs).embed(docs, "doc_id", "same")
+    whole = sorted(embedding.similar_pairs(vectors, 0.9).collect())
+    monkeypatch.setattr(embedding, "TILE", 8)
+    monkeypatch.setattr(embedding, "BANDS_AT_ONCE", 7)
+    assert len(whole) > 1000 and [tuple(r)[:2] for r in sorted(embedding.similar_pairs(vectors, 0.9).collect())] == [tuple(r)[:2] for r in whole]
+    pairs = spark.createDataFrame([(i, j) for i in range(60) for j in range(i + 1, 60)], "left_id long, right_id long")
+    tiles = embedding._tiled(pairs)
+    ids = tiles.select("tile", F.explode(F.array("left_id", "right_id")).alias("id")).distinct().groupBy("tile").count().collect()
+    assert tiles.count() == pairs.count() and len(ids) > 8 and max(r["count"] for r in ids) < 60
+
+
+def test_pairs_of_vectors_half_zero_are_kept():
+    """Texts of two words of about one weight: half of the elements are small, and their signs tell nothing."""
+    rng = np.random.default_rng(3)
+    a, b = rng.choice([-1.0, 1.0], (2, 400, 768))
+    for first, second in ((5 * a + 5 * b, 5 * a + 6 * b), (5 * a + 5 * b, 6 * a + 5 * b)):
+        x, y = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (first, second))
+        assert ((x * y).sum(axis=1) > 0.95).all()
+        differ = ((x >= 0) != (y >= 0)).sum(axis=1)
+        assert differ.max() > 150 and (differ <= embedding.most_different(x, 0.95)).all()
+    x = rng.normal(size=(400, 768))
+    y = 0.95 * x + (1 - 0.95**2) ** 0.5 * rng.normal(size=x.shape)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    told = embedding.most_different(x, 0.95)
+    assert (((x >= 0) != (y >= 0)).sum(axis=1) <= told).all() and told.max() < 240

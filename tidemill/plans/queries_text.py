@@ -539,9 +539,13 @@ SIMILAR = 0.95
 )
 def _(t: Tables) -> DataFrame:
     """Documents alike in their words: pairs of classes, found in hash tables of their vectors' signs."""
-    docs = embedding.spread(texts(t)).select("doc_id", "text", embedding.same_words(F.col("text")).alias("same"))
-    vectors = embedding.fit_embedder(texts(t)).embed(docs, "doc_id", "same")
-    return embedding.similar_pairs(vectors, SIMILAR).withColumn("similarity", F.round("similarity", 6))
+    docs = embedding.spread(texts(t)).select("doc_id", embedding.bag_arrays(F.col("text")).alias("bag"))
+    docs = embedding.written(docs.select("doc_id", "bag", embedding.same_words(F.col("bag"), bagged=True).alias("same")), "bags")
+    embedder = embedding.fit_embedder(docs, "bag")
+    vectors = embedder.embed(docs, "doc_id", "same", text="bag")
+    source = embedding.packed(docs.select("doc_id", "same", "bag"))
+    found = embedding.similar_pairs(vectors, SIMILAR, source=source, made=embedder.of_bags(t.documents.sparkSession))
+    return found.withColumn("similarity", F.round("similarity", 6))
 
 
 QUALITY_SAMPLE = 10_000
